@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from routeflow import fixed_values as FV
 from routeflow.functions import columns as C
 from routeflow.schemas import ENRICHED_COLUMNS
+from routeflow.session import shared_root
 
 ENRICH_BASE_COLUMNS = tuple(c for c in ENRICHED_COLUMNS if c not in ("route_classification", "route_summary", "enriched_at"))
 NUMERIC_PLACEHOLDERS = ("distance_km", "seats")
@@ -196,15 +197,18 @@ def sample(curated: DataFrame, n: int | None = FV.ENRICH_SAMPLE_ROWS, ordered: b
            columns: Sequence[str] = ENRICH_BASE_COLUMNS) -> DataFrame:
     """The rows to enrich: ``n`` rows (all when ``n`` is None).
 
-    ``ordered=True`` takes the first ``n`` by all projected columns (a per-partition top-n then a
-    merge, no global sort); ``ordered=False`` takes any ``n`` like an unordered LIMIT.
+    ``ordered=True`` takes the first ``n`` by all projected columns as a top-n (per-partition top-n
+    then a merge of ``n`` rows per partition, no global sort); ``ordered=False`` takes any ``n`` like
+    an unordered LIMIT. The sample is checkpointed to the shared folder right away: the top-n plan
+    stays intact whatever is stacked on it later, and every later branch (distinct prompts, join
+    back, the table write) sees the same ``n`` rows.
     """
     base = curated.select(*columns)
     if n is None:
         return base
-    if ordered:
-        return base.orderBy(*[F.asc_nulls_first(c) for c in columns]).limit(n)
-    return base.limit(n)
+    picked = base.orderBy(*[F.asc_nulls_first(c) for c in columns]).limit(n) if ordered else base.limit(n)
+    shared_root(curated.sparkSession)
+    return picked.checkpoint(eager=True)
 
 
 def enrich(

@@ -28,11 +28,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an input that arrives in fewer splits than the cluster has task slots.
+
+    A single-file, single-row-group table is one scan task, which would run every join and the
+    write behind it on one core. Only then is it redistributed round-robin; a large table already
+    has more splits than slots and is left as it is (no extra shuffle).
+    """
+    if df.isStreaming:
+        return df
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def _joined_lines(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
     """One row per lineitem with the carrier / destination attributes it maps to."""
-    li = (lineitem if lineitem is not None else table(spark, sf_dir, "lineitem")).select(
+    li = spread((lineitem if lineitem is not None else table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_linestatus", "l_shipdate"
-    )
+    ))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
