@@ -94,12 +94,17 @@ class BatchProvider:
 
     ``fn`` maps a pandas Series of prompts to a Series of outputs of the same length; it is called
     with at most ``batch_size`` prompts at a time (bounded request size for remote models).
+
+    ``field`` names the member to read when the provider answers with a JSON object per prompt
+    (e.g. ``{"label": "DOMESTIC_SHORT"}`` read at ``label``) instead of plain text.
     """
 
-    def __init__(self, fn: Callable[[pd.Series], pd.Series], batch_size: int = 512, partitions: int | None = None):
+    def __init__(self, fn: Callable[[pd.Series], pd.Series], batch_size: int = 512, partitions: int | None = None,
+                 field: str | None = None):
         self.fn = fn
         self.batch_size = batch_size
         self.partitions = partitions
+        self.field = field
 
     def __call__(self, prompts: pd.Series) -> pd.Series:
         out = []
@@ -159,6 +164,8 @@ def apply_batch_provider(df: DataFrame, prompt_col: Column, provider: BatchProvi
 
     schema = T.StructType([T.StructField(key, T.StringType()), T.StructField(output, T.StringType())])
     scored = distinct.mapInPandas(score, schema)
+    if provider.field:
+        scored = scored.withColumn(output, F.get_json_object(F.col(output), f"$.{provider.field}"))
     return with_prompt.join(scored, key, "left").drop(key)
 
 

@@ -197,7 +197,8 @@ def dashboard(
     (``enriched_max_rows``, e.g. the sample size it was built with) within ``broadcast_max_rows``;
     otherwise the join strategy is left to AQE, which broadcasts only on measured size.
     """
-    right = enriched.select(*keys, *enriched_columns)
+    # fresh column identities: the enriched frame may descend from the same curated frame
+    right = enriched.select(*[F.col(c).alias(c) for c in (*keys, *enriched_columns)])
     if dedupe == "latest":
         right = latest_per_key(right, keys, enriched_columns)
     elif dedupe is not None:
@@ -213,3 +214,18 @@ def publish(df: DataFrame, name: str) -> DataFrame:
     """``CREATE OR REPLACE VIEW name``: register for SQL and return the frame."""
     df.createOrReplaceTempView(name)
     return df
+
+
+VIEW_NAMES = ("v_route_summary", "v_airline_stats", "v_busiest_airports", "v_enriched_routes_dashboard")
+
+
+def publish_all(curated: DataFrame, enriched: DataFrame | None = None, enriched_max_rows: int | None = None) -> dict[str, DataFrame]:
+    """Register the reporting views for SQL users (``SELECT * FROM v_airline_stats ...``)."""
+    views = {
+        "v_route_summary": route_summary(curated),
+        "v_airline_stats": airline_stats(curated),
+        "v_busiest_airports": busiest_airports(curated),
+    }
+    if enriched is not None:
+        views["v_enriched_routes_dashboard"] = dashboard(curated, enriched, enriched_max_rows=enriched_max_rows)
+    return {name: publish(df, name) for name, df in views.items()}
