@@ -40,6 +40,14 @@ def prompt(template: Sequence[str], numeric: Sequence[str] = NUMERIC_PLACEHOLDER
     return C.template(template, cols)
 
 
+def prompt_present(template: Sequence[str], numeric: Sequence[str] = NUMERIC_PLACEHOLDERS) -> Column:
+    """TRUE exactly when ``prompt(template)`` is not NULL, without building the string."""
+    names = [p[1:-1] for p in template if p.startswith("{") and p.endswith("}")]
+    return C.all_of(
+        F.col(n).try_cast(T.DecimalType(38, 6)).isNotNull() if n in numeric else F.col(n).isNotNull() for n in names
+    )
+
+
 def classify_prompt() -> Column:
     return prompt(FV.CLASSIFY_PROMPT_TEMPLATE)
 
@@ -177,12 +185,13 @@ def classify(
     output: str = "route_classification",
 ) -> DataFrame:
     """Add one label per row; NULL prompt -> NULL label; a label outside ``labels`` -> NULL."""
+    present = prompt_present(FV.CLASSIFY_PROMPT_TEMPLATE) if prompt_col is None else prompt_col.isNotNull()
     prompt_col = classify_prompt() if prompt_col is None else prompt_col
     provider = provider or RuleClassifier(labels=labels)
     if isinstance(provider, BatchProvider):
         out = apply_batch_provider(df, prompt_col, provider, output)
     else:
-        out = df.withColumn(output, F.when(prompt_col.isNotNull(), provider.column(df)))
+        out = df.withColumn(output, F.when(present, provider.column(df)))
     return out.withColumn(output, F.when(F.col(output).isin(*labels), F.col(output)))
 
 
@@ -193,11 +202,12 @@ def complete(
     output: str = "route_summary",
 ) -> DataFrame:
     """Add one generated text per row; NULL prompt -> NULL text."""
+    present = prompt_present(FV.SUMMARY_PROMPT_TEMPLATE) if prompt_col is None else prompt_col.isNotNull()
     prompt_col = summary_prompt() if prompt_col is None else prompt_col
     provider = provider or TemplateSummarizer()
     if isinstance(provider, BatchProvider):
         return apply_batch_provider(df, prompt_col, provider, output)
-    return df.withColumn(output, F.when(prompt_col.isNotNull(), provider.column(df)))
+    return df.withColumn(output, F.when(present, provider.column(df)))
 
 
 def sample(curated: DataFrame, n: int | None = FV.ENRICH_SAMPLE_ROWS, ordered: bool = True,

@@ -46,8 +46,7 @@ def test_ingest_never_reloads_a_file(spark, fresh):
     from routeflow.sources.landing import CSV_WRITE_OPTIONS
 
     ckpt = fresh.checkpoint("ingest")
-    text = _batch(spark, "C", 4).select(*[routes_df(spark, [route_row()])[c].cast("string").alias(c) for c in SOURCE_COLUMNS]) \
-        if False else _batch(spark, "C", 4).selectExpr(*[f"cast({c} as string) as {c}" for c in SOURCE_COLUMNS])
+    text = _batch(spark, "C", 4).selectExpr(*[f"cast({c} as string) as {c}" for c in SOURCE_COLUMNS])
     text.write.mode("append").options(**CSV_WRITE_OPTIONS).csv(fresh.landing)
     run_ingest(spark, fresh.landing, fresh.raw, fresh.rejects, ckpt)
     run_ingest(spark, fresh.landing, fresh.raw, fresh.rejects, ckpt)
@@ -58,3 +57,18 @@ def test_ingest_never_reloads_a_file(spark, fresh):
     assert raw.count() == 8
     assert raw.where("source_file like 'part-%'").count() == 8
     assert os.path.basename(fresh.raw) == "routes"
+
+
+def test_processing_time_trigger_keeps_running(spark, fresh):
+    ckpt = fresh.checkpoint("curate-timer")
+    load_raw_rows(_batch(spark, "T", 3), fresh)
+    q = run_curation(spark, fresh.raw, fresh.curated, ckpt, trigger="1 second", name="curate_timer_test")
+    try:
+        assert q.isActive
+        q.processAllAvailable()
+        load_raw_rows(_batch(spark, "U", 2), fresh)
+        q.processAllAvailable()
+        assert read_curated(spark, fresh.curated).count() == 5
+        assert "curate_timer_test" in [s.name for s in spark.streams.active]
+    finally:
+        q.stop()
