@@ -23,8 +23,10 @@ from pyspark.sql import types as T
 
 from routeflow import fixed_values as FV
 from routeflow.functions import columns as C
+from routeflow.sources.tables import new_load_id, read_layer, write_layer
 from routeflow.schemas import (
     AUDIT_COLUMNS,
+    AUDIT_SCHEMA,
     FLIGHT_KEY_COLUMNS,
     LATITUDE_COLUMNS,
     LONGITUDE_COLUMNS,
@@ -251,11 +253,20 @@ def run_checks(curated: DataFrame, raw: DataFrame, *, reference_subset: bool = F
     return raw_part.unionByName(cur_part).unionByName(trace_part)
 
 
-def append_audit(results: DataFrame, audit_path: str, run_at: _dt.datetime | Column | None = None) -> None:
-    """Append check results to the audit log (created on first write, history never wiped)."""
+def append_audit(results: DataFrame, audit_path: str, run_at: _dt.datetime | Column | None = None,
+                 run_id: str | None = None) -> str:
+    """Append check results to the audit log (created on first write, history never wiped).
+
+    Each run is its own ``load_id=<run_id>`` slice written with overwrite, so a retried write of
+    the same run replaces its rows instead of logging them twice. Returns the run id.
+    """
     ts = F.current_timestamp() if run_at is None else (run_at if isinstance(run_at, Column) else F.lit(run_at))
     out = results.withColumn("run_at", ts.cast(T.TimestampType())).select(*AUDIT_COLUMNS)
-    out.coalesce(1).write.mode("append").parquet(audit_path)
+    return write_layer(out.coalesce(1), audit_path, run_id or new_load_id("audit"), AUDIT_SCHEMA)
+
+
+def read_audit(spark, audit_path: str) -> DataFrame:
+    return read_layer(spark, audit_path, AUDIT_SCHEMA)
 
 
 def recent_audit(audit: DataFrame, as_of: _dt.datetime | Column | None = None,

@@ -258,7 +258,7 @@ def q_audit_append(spark, sf_dir):
     cur, raw = _cur_raw(spark, sf_dir)
     layers = new_layers(spark, "audit")
     Q.append_audit(Q.run_checks(cur, raw), layers.audit)
-    return spark.read.parquet(layers.audit).drop("run_at")
+    return Q.read_audit(spark, layers.audit).drop("run_at")
 
 
 def q_recent_audit(spark, sf_dir):
@@ -267,7 +267,7 @@ def q_recent_audit(spark, sf_dir):
     as_of = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)
     Q.append_audit(Q.run_checks(cur, raw), layers.audit, run_at=as_of - _dt.timedelta(minutes=10))
     Q.append_audit(Q.run_checks(cur, raw, reference_subset=True), layers.audit, run_at=as_of)
-    recent = Q.recent_audit(spark.read.parquet(layers.audit), as_of=as_of)
+    recent = Q.recent_audit(Q.read_audit(spark, layers.audit), as_of=as_of)
     return recent.drop("run_at")
 
 

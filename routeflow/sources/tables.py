@@ -32,8 +32,13 @@ def read_layer(spark: SparkSession, path: str, schema: T.StructType, with_load_i
 
 
 def stream_layer(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
-    """Streaming scan of a layer table: each new file is delivered once (offsets in the checkpoint)."""
-    return spark.readStream.schema(schema).options(**options).parquet(path)
+    """Streaming scan of a layer table: each new file is delivered once (offsets in the checkpoint).
+
+    The storage column is part of the declared source schema, so the stream's schema is the same
+    whether or not any slice existed when it started.
+    """
+    df = spark.readStream.schema(_with_load_id(schema)).options(**options).parquet(path)
+    return df.select(*schema.names)
 
 
 def write_layer(df: DataFrame, path: str, load_id: str, schema: T.StructType | None = None) -> str:
@@ -62,6 +67,12 @@ def reset_layer(spark: SparkSession, path: str, schema: T.StructType) -> None:
     empty.write.mode("overwrite").partitionBy(LOAD_ID).parquet(path)
 
 
+def ensure_layer(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """``CREATE TABLE IF NOT EXISTS``: make the table folder exist without touching existing data."""
+    empty = spark.createDataFrame([], _with_load_id(schema))
+    empty.write.mode("append").partitionBy(LOAD_ID).parquet(path)
+
+
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return read_layer(spark, path, RAW_SCHEMA)
 
@@ -71,7 +82,7 @@ def read_curated(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(AUDIT_SCHEMA).parquet(path)
+    return read_layer(spark, path, AUDIT_SCHEMA)
 
 
 def insert_rows(spark: SparkSession, path: str, rows, schema: T.StructType = RAW_SCHEMA, source_file: str | None = None) -> str:

@@ -23,7 +23,7 @@ from routeflow import fixed_values as FV
 from routeflow.operators.curate import curate
 from routeflow.schemas import CURATED_SCHEMA, RAW_SCHEMA
 from routeflow.sources.landing import classify_landing, loaded_rows, read_landing, rejected_rows
-from routeflow.sources.tables import stream_layer, write_layer
+from routeflow.sources.tables import ensure_layer, stream_layer, write_layer
 
 
 def stream_tag(checkpoint: str) -> str:
@@ -53,6 +53,7 @@ def _run(query: StreamingQuery, trigger: str | None) -> StreamingQuery:
 def raw_changes(spark: SparkSession, raw_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """The append-only change stream of the raw table (every new raw file, once)."""
     opts = {"maxFilesPerTrigger": str(max_files_per_trigger)} if max_files_per_trigger else {}
+    ensure_layer(spark, raw_path, RAW_SCHEMA)  # a stream can start before the first load
     return stream_layer(spark, raw_path, RAW_SCHEMA, **opts)
 
 

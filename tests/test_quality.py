@@ -95,9 +95,14 @@ def test_audit_history_and_recent(spark, fresh):
     cur = curate(raw)
     now = dt.datetime(2026, 12, 1, 12, 0, 0)
     Q.append_audit(Q.run_checks(cur, raw), fresh.audit, run_at=now - dt.timedelta(minutes=5))
-    Q.append_audit(Q.run_checks(cur, raw, reference_subset=True), fresh.audit, run_at=now - dt.timedelta(minutes=1))
-    audit = spark.read.parquet(fresh.audit)
+    run = Q.append_audit(Q.run_checks(cur, raw, reference_subset=True), fresh.audit,
+                         run_at=now - dt.timedelta(minutes=1))
+    audit = Q.read_audit(spark, fresh.audit)
     assert audit.count() == 12
-    recent = Q.recent_audit(audit, as_of=now).collect()
+    # a retried write of the same run replaces it
+    Q.append_audit(Q.run_checks(cur, raw, reference_subset=True), fresh.audit, run_at=now - dt.timedelta(minutes=1),
+                   run_id=run)
+    assert Q.read_audit(spark, fresh.audit).count() == 12
+    recent = Q.recent_audit(Q.read_audit(spark, fresh.audit), as_of=now).collect()
     assert len(recent) == 3  # the run exactly 5 minutes old is excluded (strict)
     assert recent[0]["run_at"] == now - dt.timedelta(minutes=1)
