@@ -242,7 +242,7 @@ def run_checks(curated: DataFrame, raw: DataFrame, *, reference_subset: bool = F
     with_bounds = not reference_subset
     if reference_subset:
         raw_part = _rows_from_counts(raw.agg(F.count(F.lit(1)).alias("_n0")), [RAW_NOT_EMPTY], with_bounds)
-        cur_checks = [CLEAN_NOT_EMPTY, NO_NULL_KEYS]
+        cur_checks = [c for c in REFERENCE_LOGGED if c is not RAW_NOT_EMPTY]
         return raw_part.unionByName(_rows_from_counts(curated_check_counts(curated, cur_checks), cur_checks, with_bounds))
     cur_checks = [c for c in ALL_CHECKS if c not in (RAW_NOT_EMPTY, CURATED_TRACES_TO_RAW)]
     raw_part = _rows_from_counts(raw.agg(F.count(F.lit(1)).alias("_n0")), [RAW_NOT_EMPTY])
