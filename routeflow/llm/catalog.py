@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from routeflow.llm import exact_dedup, line_dedup, mixing, packing, quality_rules, url_filter, warc
+from routeflow.llm import exact_dedup, line_dedup, mixing, near_dedup, packing, pii, quality_rules, substring_dedup, url_filter, warc
 from routeflow.llm.common import table
 
 
@@ -34,6 +34,20 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_table(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = substring_dedup.remove_repeats(docs)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("clean_text", 256).alias("kept_sha256"))
+
+
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
+
+
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_table(pii.find_personal_data(table(spark, sf_dir, "documents")))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.annotate(table(spark, sf_dir, "documents"))
 
@@ -43,14 +57,24 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # at the repository top; it imports the operators of this subpackage
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_url_filter": op2_url_filter,
     "op3_line_dedup": op3_line_dedup,
     "op4_packing": op4_packing,
     "op5_mixing": op5_mixing,
+    "op6_substring_dedup": op6_substring_dedup,
+    "op7_near_dedup": op7_near_dedup,
+    "op8_personal_data": op8_personal_data,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "pipeline": pipeline,
 }
 
 
