@@ -12,8 +12,9 @@ sum of larger counts; documents of similarity ``SIMILARITY`` or more are linked,
 3. Banding: ``BANDS`` bands of ``ROWS`` registers. Each bucket links its members to one centre, another one in every band, so a bucket
    costs its size. Pairs are verified on the multisets; verified links give components.
 4. What a star cannot see, a link between two members of a bucket that both miss its centre, is looked for only in buckets whose other
-   members still lie in different components: blocks of at most about ``BLOCK`` members are compared register by register inside
-   a task, and pairs that may reach the threshold are verified.
+   members still lie in different components. What a document shares with no other member of such buckets bounds its similarity to all
+   of them, which leaves out most; blocks of about ``BLOCK`` of the others are compared register by register inside a
+   task, and pairs that may reach the threshold are verified.
 
 Distribution: shuffles carry node ids, band keys and, for candidate pairs, the multisets; the texts never. Every
 iteration writes its labels to the shared folder. Nothing is collected but counts.
@@ -215,39 +216,67 @@ def _plausible(x: str, y: str):
     return F.least(x, y) >= SIMILARITY * F.greatest(x, y)
 
 
-def _missed_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of ``members`` (band, node, label, weight, marks) of one band and different labels that may reach the threshold.
+def _shared_weight(multisets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, private): the weight of the elements that occur in no other of ``nodes``; nodes without any are left out."""
 
-    A band's members are dealt into blocks; the blocks meet pairwise and are compared inside a task.
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, e, c in zip(batch.column("node"), batch.column("elements"), batch.column("counts")):
+                elements = np.frombuffer(e.as_py(), np.int64)
+                counts = np.frombuffer(c.as_py(), "<u4").astype(np.int64) if c.as_py() else np.ones(len(elements), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(elements), pa.array(counts), pa.array(np.full(len(elements), node.as_py(), np.int64))], names=["element", "n", "node"])
+
+    each = multisets.join(small_side(nodes), "node", "left_semi").mapInArrow(over, "element long, n long, node long")
+    alone = each.groupBy("element").agg(F.count(F.lit(1)).alias("nodes"), F.min("node").alias("node"), F.min("n").alias("n")).where("nodes = 1")
+    return alone.groupBy("node").agg(F.sum("n").alias("private"))
+
+
+def _missed_pairs(members: DataFrame, best: bool) -> DataFrame:
+    """Pairs of ``members`` (band, node, label, weight, shared, marks) of one band and different labels that may reach the threshold.
+
+    A band's members are dealt into blocks; the blocks meet pairwise and are compared inside a task. ``shared`` bounds what a
+    member can have in common with any other, so a pair that cannot reach the threshold is left out without loss.
+    ``best`` keeps, of every two components, the pair that agrees most.
     """
     sizes = members.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     dealt = members.join(sizes, "band").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    packed = staged(dealt.groupBy("band", "block").agg(F.collect_list(F.struct("node", "label", "weight", "marks")).alias("m")), "blocks")
+    packed = staged(dealt.groupBy("band", "block").agg(F.collect_list(F.struct("node", "label", "weight", "shared", "marks")).alias("m")), "blocks")
     left = packed.select("band", F.col("block").alias("i"), F.col("m").alias("left"))
     right = packed.select("band", F.col("block").alias("j"), F.col("m").alias("right"))
     meeting = left.join(right, "band").where("i <= j").select("left", "right")
 
     def block(rows: list[dict]) -> tuple[np.ndarray, ...]:
         marks = np.frombuffer(b"".join(r["marks"] for r in rows), np.uint16).reshape(len(rows), REGISTERS)
-        return (*(np.array([r[c] for r in rows], np.int64) for c in ("node", "label", "weight")), marks)
+        return (*(np.array([r[c] for r in rows], np.int64) for c in ("node", "label", "weight", "shared")), marks)
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = [], []
+            a, b, low, high, score = [], [], [], [], []
             for left, right in zip(batch.column("left"), batch.column("right")):
-                n1, l1, w1, m1 = block(left.as_py())
-                n2, l2, w2, m2 = block(right.as_py())
+                n1, l1, w1, s1, m1 = block(left.as_py())
+                n2, l2, w2, s2, m2 = block(right.as_py())
                 for k in range(len(n1)):
-                    small, large = np.minimum(w1[k], w2), np.maximum(w1[k], w2)
-                    others = np.flatnonzero((l2 != l1[k]) & (small >= SIMILARITY * large))
+                    common = np.minimum(s1[k], s2)
+                    others = np.flatnonzero((l2 != l1[k]) & (common >= SIMILARITY * (w1[k] + w2 - common)))
                     agree = (m2[others] == m1[k]).mean(axis=1) if len(others) else np.empty(0)
-                    hits = n2[others[agree >= AGREEMENT]]
-                    a.append(np.minimum(n1[k], hits))
-                    b.append(np.maximum(n1[k], hits))
-            flat = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (a, b)]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in flat], names=["a", "b"])
-
-    return meeting.mapInArrow(over, "a long, b long").distinct()
+                    others, agree = others[agree >= AGREEMENT], agree[agree >= AGREEMENT]
+                    a.append(np.full(len(others), n1[k]))
+                    b.append(n2[others])
+                    low.append(np.minimum(l2[others], l1[k]))
+                    high.append(np.maximum(l2[others], l1[k]))
+                    score.append(agree)
+            a, b, low, high = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (a, b, low, high))
+            score = np.concatenate(score) if score else np.empty(0)
+            order = np.lexsort((-score, high, low))
+            if best and len(order):
+                new = np.r_[True, (np.diff(low[order]) != 0) | (np.diff(high[order]) != 0)]
+                order = order[new]
+            yield pa.RecordBatch.from_arrays([pa.array(x[order]) for x in (a, b, low, high, score)], names=["a", "b", "low", "high", "score"])
+
+    pairs = meeting.mapInArrow(over, "a long, b long, low long, high long, score double")
+    if best:
+        pairs = pairs.groupBy("low", "high").agg(F.max(F.struct("score", "a", "b")).alias("top")).select("top.a", "top.b")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def node_labels(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -277,8 +306,17 @@ def node_labels(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tup
     others = members.where("node <> centre and n > 2").join(labels, "node", "left")
     others = staged(others.select("band", "node", "weight", F.coalesce("label", "node").alias("label")), "others")
     open_bands = others.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("band")
-    still = others.join(small_side(staged(open_bands, "open-bands")), "band", "left_semi").join(nodes.select("node", "marks"), "node")
-    missed = staged(_missed_pairs(staged(still, "open-members")), "missed")
+    still = staged(others.join(small_side(staged(open_bands, "open-bands")), "band", "left_semi"), "open-members")
+    private = staged(_shared_weight(multisets, staged(still.select("node").distinct(), "open-nodes")), "private")
+    shared = (F.col("weight") - F.coalesce("private", F.lit(0))).alias("shared")
+    still = still.join(private, "node", "left").select("band", "node", "label", "weight", shared)
+    still = staged(still.where(F.col("shared") >= SIMILARITY * F.col("weight")).join(nodes.select("node", "marks"), "node"), "may-link")
+    # First the pair that agrees most of every two components: those it links need not be compared in full.
+    top = staged(_missed_pairs(still, best=True), "missed-best")
+    links = staged(links.unionByName(_verified(top, multisets)), "verified-best")
+    merged = components(links).select(F.col("node").alias("of"), F.col("label").alias("now"))
+    moved = still.join(merged, still["node"] == merged["of"], "left").withColumn("label", F.coalesce("now", "label")).drop("of", "now")
+    missed = staged(_missed_pairs(moved, best=False), "missed")
     found = staged(_verified(missed, multisets), "verified-more")
     return sketches, nodes.select("digest", "node"), components(links.unionByName(found))
 
