@@ -339,10 +339,11 @@ def deduplicate(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     Rows that agree in id and text stay or go together; of rows that share the smallest id but not the text one text stays.
     """
     found = staged(classes(docs, text, key).select(F.col(key).alias("key"), "class_id", "text_hash"), "classes")
-    leaders = found.where(F.col("key").eqNullSafe(F.col("class_id"))).groupBy("class_id").agg(F.min("text_hash").alias("stays"))
-    same = found["class_id"].eqNullSafe(leaders["class_id"])
-    gone = found.join(leaders, same, "left").where(~(found["key"].eqNullSafe(found["class_id"]) & (found["text_hash"] == leaders["stays"])))
-    gone = small_side(staged(gone.select(found["key"].alias("__gone"), found["text_hash"].alias("__hash")).distinct(), "near-copies"))
+    led = found.where(F.col("key").eqNullSafe(F.col("class_id"))).groupBy("class_id").agg(F.min("text_hash").alias("stays"))
+    led = led.withColumnRenamed("class_id", "of_class")
+    leads = F.col("key").eqNullSafe(F.col("class_id")) & (F.col("text_hash") == F.col("stays"))
+    gone = found.join(led, F.col("class_id").eqNullSafe(F.col("of_class")), "left").where(~leads)
+    gone = small_side(staged(gone.select(F.col("key").alias("__gone"), F.col("text_hash").alias("__hash")).distinct(), "near-copies"))
     mark = fresh_name("__text_hash", docs.columns)
     marked = docs.withColumn(mark, F.xxhash64(text))
     matched = marked[key].eqNullSafe(gone["__gone"]) & (marked[mark] == gone["__hash"])

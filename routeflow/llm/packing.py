@@ -39,8 +39,8 @@ from routeflow.llm.common import ranked, staged
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need not import this package
 
 CAPACITY = 4096
-LARGE = 8
-GROUPS = 48
+LARGE = 4
+GROUPS = 96
 CLOSING_ID = 1
 BLOCK_ROWS = 20_000
 #: Words kept per Python worker with their ids (about 150 bytes each).

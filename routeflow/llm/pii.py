@@ -36,9 +36,9 @@ KINDS = ("email", "ip", "card", "phone")
 ADDED = "secret"
 
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-#: Tokens that may be private: at least six of these characters, one a digit or @.
+#: Tokens that may be private: at least six of these characters, one a digit or @, or sixteen capitals in a row.
 _TOKEN = "A-Za-z0-9_.@+/-"
-CANDIDATE = rf"(?<![{_TOKEN}])(?=[A-Za-z_.+/-]*+[0-9@])[{_TOKEN}]{{6,}}+"
+CANDIDATE = rf"(?<![{_TOKEN}])(?=[A-Za-z_.+/-]*+[0-9@]|[A-Z]{{16}})[{_TOKEN}]{{6,}}+"
 CONTEXT_CHARS = 32
 
 
@@ -156,7 +156,7 @@ def candidate_spans(text: Column, base: Column) -> Column:
         return let(covered, judged)
 
     empty = F.array().cast("array<struct<start:int,end:int,covered:boolean,pattern:array<int>>>")
-    return F.when(text.rlike("[0-9@]"), F.transform(matches(text, CANDIDATE), of)).otherwise(empty)
+    return F.when(text.rlike("[0-9@]|[A-Z]{16}"), F.transform(matches(text, CANDIDATE), of)).otherwise(empty)
 
 
 # --- fitting, on counts of patterns ---------------------------------------------------------------------------------------
@@ -252,7 +252,8 @@ def find_personal_data(docs: DataFrame, text: str = "text", key: str = "doc_id")
     for p, c in counts.items():
         votes[p[:n]] = votes.get(p[:n], 0) + c
     private = fit_reliabilities(votes)
-    weight = fit_classifier({p: (float(c), private[p[:n]]) for p, c in counts.items()})
+    # A frequent pattern weighs more, but does not drown a rare one.
+    weight = fit_classifier({p: (1 + math.log(c), private[p[:n]]) for p, c in counts.items()})
     added = F.transform(
         F.filter("candidates", lambda c: ~c["covered"] & _accepted(c["pattern"], weight)),
         lambda c: F.struct(c["start"].alias("start"), F.lit(len(KINDS)).alias("kind"), c["end"].alias("end")),
