@@ -12,7 +12,6 @@ Providers come in two kinds:
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -97,61 +96,84 @@ class TemplateSummarizer:
         )
 
 
+@dataclass(frozen=True)
+class KeywordClassifier:
+    """The label whose words (split at ``_``) make up the largest share found in the prompt; the first of equals.
+
+    Works for any list of labels; NULL if no word of any label occurs.
+    """
+
+    prompt: Column
+    labels: Sequence[str]
+
+    def column(self, df: DataFrame) -> Column:
+        text = F.lower(self.prompt)
+        scores = []
+        for label in self.labels:
+            words = [w for w in label.lower().split("_") if w]
+            found = sum((F.when(text.contains(w), 1).otherwise(0) for w in words), F.lit(0))
+            scores.append(found / F.lit(float(max(1, len(words)))))
+        best = F.greatest(*scores) if len(scores) > 1 else scores[0]
+        picked = F.coalesce(*(F.when(s == best, F.lit(label)) for s, label in zip(scores, self.labels)))
+        return F.when(best > 0, picked)
+
+
 class BatchProvider:
     """A text function applied to batches of distinct prompts inside executors.
 
-    ``fn`` maps a pandas Series of prompts to a Series of outputs of the same length; it is called
-    with at most ``batch_size`` prompts at a time (bounded request size for remote models).
+    ``fn`` maps a pandas Series of prompts to a Series of outputs of the same length; it is called with at most
+    ``batch_size`` prompts at a time (bounded request size for remote models), and with ``model`` as second argument if that is given.
+    A function that workers cannot import must be defined so that it is sent by value (nested, or in a script).
 
+    ``partitions`` is the number of scoring tasks (default: the session's shuffle partitions, not coalesced).
     ``field`` names the member to read when the provider answers with a JSON object per prompt
     (e.g. ``{"label": "DOMESTIC_SHORT"}`` read at ``label``) instead of plain text.
     """
 
-    def __init__(self, fn: Callable[[pd.Series], pd.Series], batch_size: int = 512, partitions: int | None = None,
-                 field: str | None = None):
+    def __init__(self, fn: Callable[..., pd.Series], batch_size: int = 512, partitions: int | None = None,
+                 field: str | None = None, model: str | None = None):
         self.fn = fn
         self.batch_size = batch_size
         self.partitions = partitions
         self.field = field
+        self.model = model
 
-    def __call__(self, prompts: pd.Series) -> pd.Series:
-        out = []
-        for start in range(0, len(prompts), self.batch_size):
-            chunk = prompts.iloc[start : start + self.batch_size]
-            res = pd.Series(self.fn(chunk.reset_index(drop=True)))
-            out.append(res)
-        return pd.concat(out, ignore_index=True) if out else pd.Series([], dtype=object)
-
-
-_ROUTE_PROMPT = re.compile(r"^Route from (.*), (.*) to (.*), (.*)\. Distance: (-?[0-9.]+) km\.$")
 
+def prompt_rule_provider(as_json: bool = False) -> Callable[[pd.Series], pd.Series]:
+    """A text function over classification prompts: the rule of ``RuleClassifier`` on what the prompt says.
 
-def prompt_rule_labels(prompts: pd.Series) -> pd.Series:
-    """Stand-in for a hosted classifier that reads the classification prompt text.
-
-    Parses the countries and distance back out of the prompt and applies the rule classifier's
-    rule; unparseable text gets no label.
+    Nested, so that it travels by value and workers need not import this package.
     """
     short, regional = FV.DISTANCE_CATEGORIES[0][0], FV.DISTANCE_CATEGORIES[1][0]
     dom_short, dom_long, intl_regional, intl_long = FV.ROUTE_LABELS
-    parts = prompts.str.extract(_ROUTE_PROMPT)
-    intl = parts[1].str.strip() != parts[3].str.strip()
-    dist = pd.to_numeric(parts[4], errors="coerce")
-    label = pd.Series(intl_long, index=prompts.index, dtype=object)
-    label[intl & (dist < regional)] = intl_regional
-    label[~intl] = dom_long
-    label[~intl & (dist < short)] = dom_short
-    label[parts[4].isna()] = None
-    return label
-
-
-def prompt_echo_summary(prompts: pd.Series) -> pd.Series:
-    """Stand-in for a hosted text generator: the route description part of the summary prompt."""
+
+    def labels_of(prompts: pd.Series) -> pd.Series:
+        import json
+
+        parts = prompts.str.extract(r"^Route from (.*), (.*) to (.*), (.*)\. Distance: (-?[0-9.]+) km\.$")
+        intl = parts[1].str.strip() != parts[3].str.strip()
+        dist = pd.to_numeric(parts[4], errors="coerce")
+        label = pd.Series(intl_long, index=prompts.index, dtype=object)
+        label[intl & (dist < regional)] = intl_regional
+        label[~intl] = dom_long
+        label[~intl & (dist < short)] = dom_short
+        label[parts[4].isna()] = None
+        return label.map(lambda x: json.dumps({"label": x})) if as_json else label
+
+    return labels_of
+
+
+def prompt_tail_provider() -> Callable[[pd.Series], pd.Series]:
+    """A text function over summary prompts: the description without the instruction in front."""
     head = FV.SUMMARY_PROMPT_TEMPLATE[0]
-    return prompts.where(~prompts.str.startswith(head), prompts.str.slice(len(head)))
+
+    def tail_of(prompts: pd.Series, model: str | None = None) -> pd.Series:
+        return prompts.where(~prompts.str.startswith(head), prompts.str.slice(len(head)))
+
+    return tail_of
 
 
-Provider = RuleClassifier | TemplateSummarizer | BatchProvider
+Provider = RuleClassifier | KeywordClassifier | TemplateSummarizer | BatchProvider
 
 
 # --- operators ------------------------------------------------------------------------------
@@ -161,20 +183,24 @@ def apply_batch_provider(df: DataFrame, prompt_col: Column, provider: BatchProvi
     """Score each distinct prompt once in Arrow batches and join the result back (row count kept)."""
     key = "_prompt"
     with_prompt = df.withColumn(key, prompt_col)
-    distinct = with_prompt.select(key).where(F.col(key).isNotNull()).distinct()
-    if provider.partitions:
-        distinct = distinct.repartition(provider.partitions, key)
+    asked = with_prompt.where(F.col(key).isNotNull())
+    # Dealt round-robin into a given number, which AQE neither merges nor drops: slow providers are called by that many tasks.
+    tasks = provider.partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = asked.select(key).distinct().repartition(tasks)
+    fn, size, extra = provider.fn, provider.batch_size, () if provider.model is None else (provider.model,)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            if len(pdf):
-                yield pd.DataFrame({key: pdf[key], output: provider(pdf[key]).astype(object).values})
+            for start in range(0, len(pdf), size):
+                prompts = pdf["_prompt"].iloc[start : start + size].reset_index(drop=True)
+                yield pd.DataFrame({"_prompt": prompts, "_out": pd.Series(fn(prompts, *extra)).astype(object).values})
 
-    schema = T.StructType([T.StructField(key, T.StringType()), T.StructField(output, T.StringType())])
-    scored = distinct.mapInPandas(score, schema)
-    if provider.field:
-        scored = scored.withColumn(output, F.get_json_object(F.col(output), f"$.{provider.field}"))
-    return with_prompt.join(scored, key, "left").drop(key)
+    scored = distinct.mapInPandas(score, "_prompt string, _out string")
+    answer = F.get_json_object(F.col("_out"), f"$.{provider.field}") if provider.field else F.col("_out")
+    scored = scored.select(key, answer.alias(output))
+    # Rows without a prompt stay out of the join, where they would all meet in one partition.
+    unasked = with_prompt.where(F.col(key).isNull()).withColumn(output, F.lit(None).cast(T.StringType()))
+    return asked.join(scored, key, "left").drop(key).unionByName(unasked.drop(key))
 
 
 def classify(
@@ -184,10 +210,15 @@ def classify(
     labels: Sequence[str] = FV.ROUTE_LABELS,
     output: str = "route_classification",
 ) -> DataFrame:
-    """Add one label per row; NULL prompt -> NULL label; a label outside ``labels`` -> NULL."""
+    """Add one label per row; NULL prompt -> NULL label; a label outside ``labels`` -> NULL.
+
+    The default provider is the route rule for the four route labels and ``KeywordClassifier`` for any other list.
+    """
     present = prompt_present(FV.CLASSIFY_PROMPT_TEMPLATE) if prompt_col is None else prompt_col.isNotNull()
     prompt_col = classify_prompt() if prompt_col is None else prompt_col
-    provider = provider or RuleClassifier(labels=labels)
+    if provider is None:
+        ours = tuple(labels) == tuple(FV.ROUTE_LABELS)
+        provider = RuleClassifier() if ours else KeywordClassifier(prompt_col, tuple(labels))
     if isinstance(provider, BatchProvider):
         out = apply_batch_provider(df, prompt_col, provider, output)
     else:
@@ -210,7 +241,7 @@ def complete(
     return df.withColumn(output, F.when(present, provider.column(df)))
 
 
-def sample(curated: DataFrame, n: int | None = FV.ENRICH_SAMPLE_ROWS, ordered: bool = True,
+def sample(curated: DataFrame, n: int | None = None, ordered: bool = True,
            columns: Sequence[str] = ENRICH_BASE_COLUMNS) -> DataFrame:
     """The rows to enrich: ``n`` rows (all when ``n`` is None).
 
@@ -231,7 +262,7 @@ def sample(curated: DataFrame, n: int | None = FV.ENRICH_SAMPLE_ROWS, ordered: b
 def enrich(
     curated: DataFrame,
     *,
-    limit: int | None = FV.ENRICH_SAMPLE_ROWS,
+    limit: int | None = None,
     ordered: bool = True,
     classifier: Provider | None = None,
     summarizer: Provider | None = None,

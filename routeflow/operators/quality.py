@@ -180,7 +180,9 @@ def orphan_rows(curated: DataFrame, raw: DataFrame, keys: Sequence[str] = TRACE_
     against the distinct cleaned raw keys)."""
     _, r_keys = trace_keys(curated, raw, keys)
     r_keys = r_keys.where(C.all_not_null(keys)).distinct().alias("_r")
-    return curated.join(r_keys, [curated[k] == F.col(f"_r.{k}") for k in keys], "left_anti")
+    keyed = curated.where(C.all_not_null(keys))
+    orphans = keyed.join(r_keys, [keyed[k] == F.col(f"_r.{k}") for k in keys], "left_anti")
+    return orphans.unionByName(curated.where(C.any_null(keys)))  # a NULL key never matches: no need to shuffle those
 
 
 def trace_check(curated: DataFrame, raw: DataFrame, check: Check = CURATED_TRACES_TO_RAW) -> DataFrame:
@@ -219,15 +221,10 @@ def _rows_from_counts(counts: DataFrame, checks: Sequence[Check], with_bounds: b
 
 
 def curated_check_counts(curated: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """One aggregation over the curated table computing the count of every row-level check."""
+    """One aggregation over the curated table computing the count of every row-level check (one row per task is shuffled)."""
     aggs = []
     for i, chk in enumerate(checks):
-        if chk.check_id == CLEAN_NOT_EMPTY.check_id:
-            e = F.count(F.lit(1))
-        elif chk.check_id == NO_DUPLICATES.check_id:
-            e = F.count(F.lit(1)) - F.countDistinct(*[F.col(k) for k in FLIGHT_KEY_COLUMNS])
-        else:
-            e = F.count_if(ROW_PREDICATES[chk.check_id]())
+        e = F.count(F.lit(1)) if chk.check_id == CLEAN_NOT_EMPTY.check_id else F.count_if(ROW_PREDICATES[chk.check_id]())
         aggs.append(e.alias(f"_n{i}"))
     return curated.agg(*aggs)
 
@@ -244,13 +241,23 @@ def run_checks(curated: DataFrame, raw: DataFrame, *, reference_subset: bool = F
         raw_part = _rows_from_counts(raw.agg(F.count(F.lit(1)).alias("_n0")), [RAW_NOT_EMPTY], with_bounds)
         cur_checks = [c for c in REFERENCE_LOGGED if c is not RAW_NOT_EMPTY]
         return raw_part.unionByName(_rows_from_counts(curated_check_counts(curated, cur_checks), cur_checks, with_bounds))
-    cur_checks = [c for c in ALL_CHECKS if c not in (RAW_NOT_EMPTY, CURATED_TRACES_TO_RAW)]
+    cur_checks = [c for c in ALL_CHECKS if c not in (RAW_NOT_EMPTY, CURATED_TRACES_TO_RAW, NO_DUPLICATES)]
     raw_part = _rows_from_counts(raw.agg(F.count(F.lit(1)).alias("_n0")), [RAW_NOT_EMPTY])
     cur_part = _rows_from_counts(curated_check_counts(curated, cur_checks), cur_checks)
     trace_part = _rows_from_counts(
         orphan_count(curated, raw).select(F.col("orphans").alias("_n0")), [CURATED_TRACES_TO_RAW]
     )
-    return raw_part.unionByName(cur_part).unionByName(trace_part)
+    # the key tuples shuffle on their own, without the other counters riding along
+    repeats = F.count(F.lit(1)) - F.countDistinct(*[F.col(k) for k in FLIGHT_KEY_COLUMNS])
+    repeat_part = _rows_from_counts(curated.agg(repeats.alias("_n0")), [NO_DUPLICATES])
+    return raw_part.unionByName(cur_part).unionByName(repeat_part).unionByName(trace_part)
+
+
+def _instant(moment: _dt.datetime | Column) -> Column:
+    """A moment as a column; a datetime without a zone is read in the session's zone, not the driver process's."""
+    if isinstance(moment, Column):
+        return moment
+    return F.lit(moment.isoformat(sep=" ")).cast(T.TimestampType())
 
 
 def append_audit(results: DataFrame, audit_path: str, run_at: _dt.datetime | Column | None = None,
@@ -260,7 +267,7 @@ def append_audit(results: DataFrame, audit_path: str, run_at: _dt.datetime | Col
     Each run is its own ``load_id=<run_id>`` slice written with overwrite, so a retried write of
     the same run replaces its rows instead of logging them twice. Returns the run id.
     """
-    ts = F.current_timestamp() if run_at is None else (run_at if isinstance(run_at, Column) else F.lit(run_at))
+    ts = F.current_timestamp() if run_at is None else _instant(run_at)
     out = results.withColumn("run_at", ts.cast(T.TimestampType())).select(*AUDIT_COLUMNS)
     return write_layer(out.coalesce(1), audit_path, run_id or new_load_id("audit"), AUDIT_SCHEMA)
 
@@ -272,7 +279,7 @@ def read_audit(spark, audit_path: str) -> DataFrame:
 def recent_audit(audit: DataFrame, as_of: _dt.datetime | Column | None = None,
                  minutes: int = FV.AUDIT_LOOKBACK_MINUTES) -> DataFrame:
     """Audit rows newer than ``as_of - minutes`` (strict), newest first."""
-    now = F.current_timestamp() if as_of is None else (as_of if isinstance(as_of, Column) else F.lit(as_of))
+    now = F.current_timestamp() if as_of is None else _instant(as_of)
     since = now.cast(T.TimestampType()) - F.make_interval(mins=F.lit(minutes))
     return (
         audit.where(F.col("run_at") > since)

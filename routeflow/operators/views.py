@@ -77,19 +77,33 @@ def airline_stats(
 ) -> DataFrame:
     """Carrier comparison, most flights first (ties broken by the group keys).
 
-    Two exact distinct counts make Catalyst expand each row once per distinct column; ``approx=True``
-    swaps them for HyperLogLog++ sketches (one pass, no expand, bounded memory per group).
+    Two levels: flights are first summed per carrier, route and country (map-side), so what Catalyst expands for the two
+    exact distinct counts is that small result, not the scan. ``approx=True`` takes HyperLogLog++ sketches in one level.
     """
-    intl = F.sum(C.as_flag(F.col(flag)))
-    total = F.count(F.lit(1))
-    out = curated.groupBy(*group).agg(
-        total.alias("total_flights"),
-        _distinct_count(route, approx, rsd).alias("unique_routes"),
-        _distinct_count(country, approx, rsd).alias("countries_served"),
-        F.round(F.avg(distance), 1).alias("avg_distance_km"),
-        intl.cast(T.LongType()).alias("international_flights"),
-        F.round((F.lit(100.0) * intl / total).cast(T.DoubleType()), 1).alias("pct_international"),
-    )
+    intl, total = F.sum(C.as_flag(F.col(flag))), F.count(F.lit(1))
+    if approx:
+        out = curated.groupBy(*group).agg(
+            total.alias("total_flights"),
+            _distinct_count(route, True, rsd).alias("unique_routes"),
+            _distinct_count(country, True, rsd).alias("countries_served"),
+            F.round(F.avg(distance), 1).alias("avg_distance_km"),
+            intl.cast(T.LongType()).alias("international_flights"),
+            F.round((F.lit(100.0) * intl / total).cast(T.DoubleType()), 1).alias("pct_international"),
+        )
+    else:
+        keys = list(dict.fromkeys([*group, route, country]))
+        small = curated.groupBy(*keys).agg(
+            total.alias("_n"), intl.alias("_intl"), F.sum(distance).alias("_km"), F.count(distance).alias("_with_km")
+        )
+        flights, abroad = F.sum("_n"), F.sum("_intl")
+        out = small.groupBy(*group).agg(
+            flights.alias("total_flights"),
+            F.countDistinct(route).alias("unique_routes"),
+            F.countDistinct(country).alias("countries_served"),
+            F.round(F.try_divide(F.sum("_km"), F.sum("_with_km")), 1).alias("avg_distance_km"),
+            abroad.cast(T.LongType()).alias("international_flights"),
+            F.round((F.lit(100.0) * abroad / flights).cast(T.DoubleType()), 1).alias("pct_international"),
+        )
     if not ordered and not top_n:
         return out
     return _sorted(out, [F.desc("total_flights"), *[F.asc_nulls_first(g) for g in group]], top_n)
@@ -185,17 +199,13 @@ def dashboard(
     curated_columns: Sequence[str] = DASHBOARD_CURATED,
     enriched_columns: Sequence[str] = DASHBOARD_ENRICHED,
     dedupe: str | None = None,
-    enriched_max_rows: int | None = None,
-    broadcast_max_rows: int = 100_000,
 ) -> DataFrame:
     """Curated rows left-joined to enrichment on ``keys`` (NULL keys never match).
 
     ``dedupe=None`` keeps the plain join: *m* curated and *n* enriched rows with equal keys give
     *m·n* rows. ``dedupe='latest'`` first reduces the enriched side to one row per key.
 
-    The enriched side is broadcast only when the caller states a row bound for it
-    (``enriched_max_rows``, e.g. the sample size it was built with) within ``broadcast_max_rows``;
-    otherwise the join strategy is left to AQE, which broadcasts only on measured size.
+    The join strategy is left to AQE, which broadcasts on measured size.
     """
     # fresh column identities: the enriched frame may descend from the same curated frame
     right = enriched.select(*[F.col(c).alias(c) for c in (*keys, *enriched_columns)])
@@ -203,8 +213,6 @@ def dashboard(
         right = latest_per_key(right, keys, enriched_columns)
     elif dedupe is not None:
         raise ValueError(f"dedupe must be None or 'latest', got {dedupe!r}")
-    if enriched_max_rows is not None and enriched_max_rows <= broadcast_max_rows:
-        right = F.broadcast(right)
     left = curated.select(*curated_columns)
     joined = left.join(right, list(keys), "left")
     return joined.select(*curated_columns, *enriched_columns)
@@ -219,7 +227,7 @@ def publish(df: DataFrame, name: str) -> DataFrame:
 VIEW_NAMES = ("v_route_summary", "v_airline_stats", "v_busiest_airports", "v_enriched_routes_dashboard")
 
 
-def publish_all(curated: DataFrame, enriched: DataFrame | None = None, enriched_max_rows: int | None = None) -> dict[str, DataFrame]:
+def publish_all(curated: DataFrame, enriched: DataFrame | None = None, dedupe: str | None = None) -> dict[str, DataFrame]:
     """Register the reporting views for SQL users (``SELECT * FROM v_airline_stats ...``)."""
     views = {
         "v_route_summary": route_summary(curated),
@@ -227,5 +235,5 @@ def publish_all(curated: DataFrame, enriched: DataFrame | None = None, enriched_
         "v_busiest_airports": busiest_airports(curated),
     }
     if enriched is not None:
-        views["v_enriched_routes_dashboard"] = dashboard(curated, enriched, enriched_max_rows=enriched_max_rows)
+        views["v_enriched_routes_dashboard"] = dashboard(curated, enriched, dedupe=dedupe)
     return {name: publish(df, name) for name, df in views.items()}

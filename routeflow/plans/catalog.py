@@ -31,7 +31,8 @@ from routeflow.sources.landing import (
     read_landing,
     rejected_rows,
 )
-from routeflow.sources.tables import insert_rows, new_load_id, read_curated, read_raw
+from routeflow.plans.pipeline import declare_layers
+from routeflow.sources.tables import age_files, insert_rows, new_load_id, read_curated, read_raw, write_layer_once
 from routeflow.streaming.incremental import create_change_stream, run_curation, run_ingest
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -130,6 +131,39 @@ def q_no_new_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_curated(spark, layers.curated).select(*CURATED_OUT)
 
 
+def q_ingest_late_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second half lands as files dated long before the first, which was ingested already."""
+    layers = new_layers(spark, "stream-late-file")
+    ckpt = layers.checkpoint("ingest")
+    _land_text(spark, sf_dir, layers, part=1)
+    run_ingest(spark, layers.landing, layers.raw, layers.rejects, ckpt)
+    _land_text(spark, sf_dir, layers, part=2)
+    age_files(spark, layers.landing, days=30)
+    run_ingest(spark, layers.landing, layers.raw, layers.rejects, ckpt)
+    return read_raw(spark, layers.raw).select(*SOURCE_COLUMNS)
+
+
+def q_curate_after_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every raw slice is delivered again after it was curated, as after a crash before the stream's commit."""
+    layers = new_layers(spark, "stream-replay")
+    ckpt = layers.checkpoint("curate")
+    rows = routes_from_tables(spark, sf_dir)
+    write_layer_once(rows, layers.raw, "ingest-replayed", RAW_SCHEMA)
+    run_curation(spark, layers.raw, layers.curated, ckpt)
+    write_layer_once(rows, layers.raw, "ingest-replayed", RAW_SCHEMA)
+    run_curation(spark, layers.raw, layers.curated, ckpt)
+    return read_curated(spark, layers.curated).select(*CURATED_OUT)
+
+
+def q_clean_not_empty_on_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The check on a declared curated table whose source rows all fail the required filter."""
+    layers = new_layers(spark, "declared-only")
+    declare_layers(spark, layers)
+    load_raw_rows(fixture_raw(spark, sf_dir).where(~(F.coalesce(F.length("airline_code"), F.lit(0)) > 0)), layers)
+    run_curation(spark, layers.raw, layers.curated, layers.checkpoint("curate"))
+    return Q.row_count_check(read_curated(spark, layers.curated), Q.CLEAN_NOT_EMPTY)
+
+
 # --- views ------------------------------------------------------------------------------------
 
 
@@ -164,7 +198,7 @@ def q_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_classify_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    provider = E.BatchProvider(E.prompt_rule_labels)
+    provider = E.BatchProvider(E.prompt_rule_provider(as_json=True), field="label")
     return E.classify(E.sample(fixture_curated(spark, sf_dir), None), provider=provider)
 
 
@@ -173,7 +207,7 @@ def q_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_complete_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    provider = E.BatchProvider(E.prompt_echo_summary)
+    provider = E.BatchProvider(E.prompt_tail_provider(), model=FV.COMPLETION_MODEL)
     return E.complete(E.sample(fixture_curated(spark, sf_dir), None), provider=provider)
 
 
@@ -190,7 +224,7 @@ def q_enriched_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, enriched = _build_enriched(spark, sf_dir, FV.ENRICH_SAMPLE_ROWS)
-    out = V.dashboard(fixture_curated(spark, sf_dir), enriched, enriched_max_rows=FV.ENRICH_SAMPLE_ROWS)
+    out = V.dashboard(fixture_curated(spark, sf_dir), enriched)
     return out.drop("enriched_at")
 
 
@@ -280,6 +314,8 @@ QUERIES: dict[str, QueryFn] = {
     "t_stream_curate_all": q_stream_curate_all,
     "t_stream_curate_new": q_stream_curate_new,
     "t_no_new_data": q_no_new_data,
+    "t_ingest_late_file": q_ingest_late_file,
+    "t_curate_after_replay": q_curate_after_replay,
     "a_route_summary": q_route_summary,
     "a_airline_stats": q_airline_stats,
     "a_busiest_airports": q_busiest_airports,
@@ -294,6 +330,7 @@ QUERIES: dict[str, QueryFn] = {
     "j_dashboard_latest": q_dashboard_latest,
     "q_raw_not_empty": q_raw_not_empty,
     "q_clean_not_empty": q_clean_not_empty,
+    "q_clean_not_empty_on_empty": q_clean_not_empty_on_empty,
     "q_no_null_keys": q_no_null_keys,
     "q_no_duplicates": q_no_duplicates,
     "q_distance_valid": q_distance_valid,

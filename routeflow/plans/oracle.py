@@ -1,4 +1,6 @@
-"""Independent SQL (DuckDB dialect) for every registered query, over the driver's tables.
+"""SQL (DuckDB dialect) for every registered query, over the driver's tables.
+
+Thresholds, rules and aggregates are written here anew; only names, messages, prompt texts, labels and column lists are imported.
 
 The fixture adapter, the landing-text defects and the curation rules are restated here in plain
 SQL, so each Spark result is checked against a formulation that shares no code with it. Dialect
@@ -226,26 +228,26 @@ DASHBOARD_COLS = ["airline_code", "airline_name", "flight_number", "route_key",
 # --- checks -----------------------------------------------------------------------------------
 
 _FLIGHT_KEY = ["airline_code", "flight_number", "flight_date", "origin_airport", "destination_airport"]
-NULL_KEYS_WHERE = "airline_code IS NULL OR flight_date IS NULL OR origin_airport IS NULL OR destination_airport IS NULL"
-DISTANCE_WHERE = f"distance_km <= {FV.DISTANCE_MIN_EXCLUSIVE} OR distance_km > {FV.DISTANCE_MAX}"
-DATE_WHERE = f"flight_date < DATE '{FV.FLIGHT_DATE_MIN}' OR flight_date > DATE '{FV.FLIGHT_DATE_MAX}'"
+# The rules below are restated from their meaning with their own constants, in set and list form.
+NULL_KEYS_WHERE = "list_count([airline_code, CAST(flight_date AS VARCHAR), origin_airport, destination_airport]) < 4"
+DISTANCE_WHERE = "distance_km NOT IN (SELECT d FROM (SELECT DISTINCT distance_km AS d FROM curated) WHERE d > 0.0 AND d <= 20000.0)"
+DATE_WHERE = "year(flight_date) NOT BETWEEN 1970 AND 2030"
 COORD_WHERE = (
-    f"origin_latitude NOT BETWEEN {FV.LATITUDE_RANGE[0]} AND {FV.LATITUDE_RANGE[1]} "
-    f"OR destination_latitude NOT BETWEEN {FV.LATITUDE_RANGE[0]} AND {FV.LATITUDE_RANGE[1]} "
-    f"OR origin_longitude NOT BETWEEN {FV.LONGITUDE_RANGE[0]} AND {FV.LONGITUDE_RANGE[1]} "
-    f"OR destination_longitude NOT BETWEEN {FV.LONGITUDE_RANGE[0]} AND {FV.LONGITUDE_RANGE[1]}"
+    "greatest(abs(origin_latitude), abs(destination_latitude)) > 90.0 "
+    "OR greatest(abs(origin_longitude), abs(destination_longitude)) > 180.0"
 )
-INTL_WHERE = ("(is_international = TRUE AND trim(origin_country) = trim(destination_country)) "
-              "OR (is_international = FALSE AND trim(origin_country) <> trim(destination_country))")
+INTL_WHERE = "is_international <> (trim(origin_country) <> trim(destination_country))"
 DISTINCT_TUPLE = (
-    "count(DISTINCT CASE WHEN " + " AND ".join(f"{k} IS NOT NULL" for k in _FLIGHT_KEY)
-    + " THEN (" + ", ".join(_FLIGHT_KEY) + ") END)"
+    "len(list_distinct(list(" + " || chr(31) || ".join(f"CAST({k} AS VARCHAR)" for k in _FLIGHT_KEY) + ")))"
+)
+TRACED = (
+    "SELECT upper(trim(airline_code)) || chr(31) || upper(trim(flight_number)) || chr(31) || CAST(flight_date AS VARCHAR) "
+    "AS k FROM raw_routes"
+)
+ORPHAN_WHERE = (
+    "coalesce(c.airline_code || chr(31) || c.flight_number || chr(31) || CAST(c.flight_date AS VARCHAR) "
+    f"NOT IN (SELECT k FROM ({TRACED}) WHERE k IS NOT NULL), TRUE)"
 )
-ORPHAN_WHERE = """NOT EXISTS (
-    SELECT 1 FROM raw_routes r
-    WHERE upper(trim(r.airline_code)) = c.airline_code
-      AND upper(trim(r.flight_number)) = c.flight_number
-      AND r.flight_date = c.flight_date)"""
 
 
 def _check_sql(fixed: tuple, count_expr: str, source: str, ok: str) -> str:
@@ -331,28 +333,32 @@ def oracle_sql() -> dict[str, str]:
     sql["t_stream_curate_all"] = sql["p_curate"]
     sql["t_stream_curate_new"] = with_ctes(f"SELECT {cur_cols} FROM curated WHERE codeshare = 0")
     sql["t_no_new_data"] = sql["p_curate"]
+    sql["t_ingest_late_file"] = sql["s_csv_roundtrip_load"]
+    sql["t_curate_after_replay"] = sql["p_curate"]
 
+    ends = ["route_key", *(f"{e}_{x}" for e in ("origin", "destination") for x in ("airport", "city", "country")),
+            "is_international", "distance_category"]
+    mean = "floor(sum(distance_km) / count(distance_km) * 10 + 0.5) / 10"
     sql["a_route_summary"] = with_ctes(
-        "SELECT route_key, origin_airport, origin_city, origin_country, destination_airport, destination_city, "
-        "destination_country, is_international, distance_category, "
-        "round(avg(distance_km), 1) AS avg_distance_km, count(*) AS flight_count, "
-        "count(DISTINCT airline_code) AS airline_count, CAST(sum(seats) AS BIGINT) AS total_seats, "
-        "min(flight_date) AS first_flight, max(flight_date) AS last_flight FROM curated "
-        "GROUP BY route_key, origin_airport, origin_city, origin_country, destination_airport, destination_city, "
-        "destination_country, is_international, distance_category"
+        f"SELECT {', '.join(ends)}, {mean} AS avg_distance_km, count(*) AS flight_count, "
+        "len(list_distinct(list(airline_code))) AS airline_count, CAST(list_sum(list(seats)) AS BIGINT) AS total_seats, "
+        "list_min(list(flight_date)) AS first_flight, list_max(list(flight_date)) AS last_flight FROM curated GROUP BY ALL"
     )
     sql["a_airline_stats"] = with_ctes(
-        "SELECT airline_code, airline_name, count(*) AS total_flights, count(DISTINCT route_key) AS unique_routes, "
-        "count(DISTINCT origin_country) AS countries_served, round(avg(distance_km), 1) AS avg_distance_km, "
-        "CAST(sum(CASE WHEN is_international THEN 1 ELSE 0 END) AS BIGINT) AS international_flights, "
-        "round(CAST(100.0 * sum(CASE WHEN is_international THEN 1 ELSE 0 END) AS DOUBLE) / count(*), 1) "
-        "AS pct_international FROM curated GROUP BY airline_code, airline_name ORDER BY total_flights DESC"
+        "SELECT code AS airline_code, name AS airline_name, CAST(sum(n) AS BIGINT) AS total_flights, "
+        "len(list_distinct(list(route_key))) AS unique_routes, len(list_distinct(list(origin_country))) AS countries_served, "
+        "floor(sum(km) / sum(with_km) * 10 + 0.5) / 10 AS avg_distance_km, CAST(sum(abroad) AS BIGINT) AS international_flights, "
+        "floor(sum(abroad) * 1000.0 / sum(n) + 0.5) / 10 AS pct_international FROM per_route GROUP BY code, name",
+        "per_route AS (SELECT airline_code AS code, airline_name AS name, route_key, origin_country, count(*) AS n, "
+        "sum(distance_km) AS km, count(distance_km) AS with_km, count(*) FILTER (WHERE is_international) AS abroad "
+        "FROM curated GROUP BY ALL)",
     )
     busiest = (
-        "SELECT airport_code, city, country, count(*) AS total_appearances, count(DISTINCT route_key) AS unique_routes "
-        "FROM (SELECT origin_airport AS airport_code, origin_city AS city, origin_country AS country, route_key "
-        "FROM curated UNION ALL SELECT destination_airport, destination_city, destination_country, route_key "
-        "FROM curated) GROUP BY airport_code, city, country ORDER BY total_appearances DESC"
+        "SELECT e.code AS airport_code, e.city AS city, e.country AS country, count(*) AS total_appearances, "
+        "len(list_distinct(list(route_key))) AS unique_routes FROM (SELECT route_key, unnest(["
+        "{'code': origin_airport, 'city': origin_city, 'country': origin_country}, "
+        "{'code': destination_airport, 'city': destination_city, 'country': destination_country}]) AS e FROM curated) "
+        "GROUP BY e.code, e.city, e.country"
     )
     sql["a_busiest_airports"] = with_ctes(busiest)
     sql["a_busiest_airports_explode"] = with_ctes(busiest)
@@ -384,6 +390,9 @@ def oracle_sql() -> dict[str, str]:
 
     sql["q_raw_not_empty"] = with_ctes(_check_sql(FV.CHECK_RAW_NOT_EMPTY, "count(*)", "raw_routes", "{n} > 0"))
     sql["q_clean_not_empty"] = with_ctes(_check_sql(FV.CHECK_CLEAN_NOT_EMPTY, "count(*)", "curated", "{n} > 0"))
+    sql["q_clean_not_empty_on_empty"] = with_ctes(
+        _check_sql(FV.CHECK_CLEAN_NOT_EMPTY, "count(*)", "curated WHERE airline_code IS NULL", "{n} > 0")
+    )
     sql["q_no_null_keys"] = with_ctes(
         _check_sql(FV.CHECK_NO_NULL_KEYS, "count(*)", f"curated WHERE {NULL_KEYS_WHERE}", "{n} = 0")
     )

@@ -16,7 +16,8 @@ from routeflow.operators import enrich as E
 from routeflow.operators import quality as Q
 from routeflow.operators import views as V
 from routeflow.plans.layers import Layers
-from routeflow.sources.tables import read_curated, read_raw
+from routeflow.schemas import AUDIT_SCHEMA, CURATED_SCHEMA, RAW_SCHEMA
+from routeflow.sources.tables import ensure_layer, make_folder, read_curated, read_layer, read_raw
 from routeflow.streaming.incremental import create_change_stream, run_curation, run_ingest
 
 
@@ -25,32 +26,45 @@ def create_streams(spark: SparkSession, layers: Layers) -> None:
     create_change_stream(spark, layers.raw, layers.checkpoint("curate"))
 
 
+def declare_layers(spark: SparkSession, layers: Layers) -> None:
+    """Make the landing folder and the raw, curated and audit tables exist, empty until the first row."""
+    make_folder(spark, layers.landing)
+    for path, schema in ((layers.raw, RAW_SCHEMA), (layers.curated, CURATED_SCHEMA), (layers.audit, AUDIT_SCHEMA)):
+        ensure_layer(spark, path, schema)
+
+
 def run_once(
     spark: SparkSession,
     layers: Layers,
     *,
-    enrich_rows: int | None = FV.ENRICH_SAMPLE_ROWS,
+    enrich_rows: int | None = None,
     classifier: E.Provider | None = None,
     summarizer: E.Provider | None = None,
     reference_audit: bool = False,
 ) -> DataFrame:
-    """One end-to-end pass; returns the audit rows of this run (newest first)."""
+    """One end-to-end pass; returns the audit rows of this run.
+
+    ``enrich_rows`` limits the enriched table (all rows by default); a full one joins the dashboard by its latest row per key.
+    """
+    declare_layers(spark, layers)
     run_ingest(spark, layers.landing, layers.raw, layers.rejects, layers.checkpoint("ingest"))
     run_curation(spark, layers.raw, layers.curated, layers.checkpoint("curate"))
     curated, raw = read_curated(spark, layers.curated), read_raw(spark, layers.raw)
     E.write_enriched(
         E.enrich(curated, limit=enrich_rows, classifier=classifier, summarizer=summarizer), layers.enriched
     )
-    V.publish_all(curated, spark.read.parquet(layers.enriched), enriched_max_rows=enrich_rows)
+    V.publish_all(curated, spark.read.parquet(layers.enriched), dedupe=None if enrich_rows else "latest")
     run_id = Q.append_audit(Q.run_checks(curated, raw, reference_subset=reference_audit), layers.audit)
-    audit = Q.read_layer(spark, layers.audit, Q.AUDIT_SCHEMA, with_load_id=True)
-    return Q.recent_audit(audit.where(audit.load_id == run_id).drop("load_id"))
+    audit = read_layer(spark, layers.audit, AUDIT_SCHEMA, with_load_id=True)
+    mine = audit.where(audit.load_id == run_id)  # by run, however long the checks took
+    return mine.select("check_id", "check_name", "layer", "result", "actual_count", "run_at").orderBy("check_id")
 
 
 def start_continuous(
     spark: SparkSession, layers: Layers, interval: str = FV.INCREMENTAL_INTERVAL, max_files_per_trigger: int | None = None
 ) -> list[StreamingQuery]:
     """Keep ingest and curation running every ``interval``; returns the two running queries."""
+    declare_layers(spark, layers)
     return [
         run_ingest(spark, layers.landing, layers.raw, layers.rejects, layers.checkpoint("ingest"),
                    trigger=interval, max_files_per_trigger=max_files_per_trigger, name="routeflow_ingest"),

@@ -2,12 +2,13 @@
 
 On a cluster the shared folder is ``spark.checkpoint.dir`` (set by the cluster); every
 intermediate table, streaming checkpoint and landing area this library writes lives under it.
-A machine-local temporary folder is used only when the setting is absent (tests).
+A machine-local temporary folder is used only when the setting is absent and the master is local (tests).
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -40,8 +41,8 @@ def build_session(master: str | None = None, partitions: int | None = None, app:
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder for intermediate data (``spark.checkpoint.dir``).
 
-    Read from the session; only when it is unset (local tests) a temporary folder is set as the
-    session's checkpoint directory.
+    Read from the session. Where it is unset a temporary folder serves local masters (tests); a cluster without the
+    setting is an error, since its machines do not share that folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,8 +51,10 @@ def shared_root(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:
+    elif re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="routeflow-ckpt-"))
+    else:
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
     return sc.getCheckpointDir().rstrip("/")
 
 

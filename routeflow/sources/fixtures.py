@@ -29,16 +29,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread an input that arrives in fewer splits than the cluster has task slots.
-
-    A single-file, single-row-group table is one scan task, which would run every join and the
-    write behind it on one core. Only then is it redistributed round-robin; a large table already
-    has more splits than slots and is left as it is (no extra shuffle).
-    """
-    if df.isStreaming:
-        return df
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    """Deal the rows of a batch input evenly: the driver's tables are single row groups, hence single scan tasks."""
+    return df if df.isStreaming else df.repartition(F.xxhash64(*df.columns))
 
 
 def _joined_lines(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:

@@ -11,15 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from routeflow import fixed_values as FV
 from routeflow.functions import columns as C
 from routeflow.schemas import RAW_SCHEMA, SOURCE_FIELDS, SOURCE_FILE
-from routeflow.sources.tables import write_layer
+from routeflow.sources.tables import MAX_FILE_AGE, write_layer_once
 
 REJECT_REASON = "reject_reason"
 REJECTED_RECORD = "rejected_record"
@@ -63,7 +62,7 @@ def read_landing(
     checkpoint remembers which files were loaded, so a file is never loaded twice.
     """
     reader = spark.readStream if streaming else spark.read
-    opts = {**CSV_READ_OPTIONS, **(options or {})}
+    opts = {**CSV_READ_OPTIONS, **({"maxFileAge": MAX_FILE_AGE} if streaming else {}), **(options or {})}
     df = reader.schema(text_schema(fields)).options(**opts).csv(path)
     cols = [F.col(n) for n, _ in fields]
     if source_file:
@@ -71,6 +70,18 @@ def read_landing(
     return df.select(*cols)
 
 
+#: A whole number that is valid text but beyond 64 bits is rejected under this suffix, apart from text that is no number.
+OUT_OF_RANGE = "out_of_range"
+
+
+def _failure(name: str, kind: T.DataType, text: Column, value: Column) -> Column:
+    reason = F.lit(name)
+    if isinstance(kind, T.LongType):
+        wide = text.try_cast(T.DecimalType(38, 0)).isNotNull()
+        reason = F.when(wide, F.lit(f"{name}:{OUT_OF_RANGE}")).otherwise(reason)
+    return F.when(text.isNotNull() & value.isNull(), reason)
+
+
 def classify_landing(
     text_df: DataFrame,
     fields: Sequence[tuple[str, T.DataType]] = SOURCE_FIELDS,
@@ -80,9 +91,7 @@ def classify_landing(
     """Typed columns, passthrough columns, ``reject_reason`` and ``rejected_record`` in one pass."""
     cleaned = {n: C.null_if(n, null_spellings) for n, _ in fields}
     typed = {n: C.try_convert(cleaned[n], t) for n, t in fields}
-    failures = [
-        F.when(cleaned[n].isNotNull() & typed[n].isNull(), F.lit(n)) for n, t in fields if not isinstance(t, T.StringType)
-    ]
+    failures = [_failure(n, t, cleaned[n], typed[n]) for n, t in fields if not isinstance(t, T.StringType)]
     reason = F.concat_ws(",", *failures) if failures else F.lit("")
     reason = F.when(reason != F.lit(""), reason)
     keep = [c for c in passthrough if c in text_df.columns]
@@ -122,12 +131,13 @@ def load_landing(
 ) -> None:
     """Bulk load (``COPY INTO raw``): every file under ``landing_path`` -> raw rows + rejects.
 
-    Parsed once (persisted), written twice; ``load_timestamp`` takes the write time.
+    Two narrow passes over the files, nothing kept in memory or on executor disks; rejects are written first, the
+    rows last. ``load_timestamp`` takes the write time.
     """
-    classified = classify_landing(read_landing(spark, landing_path, options=csv_options))
-    classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_layer(loaded_rows(classified), raw_path, load_id, RAW_SCHEMA)
-        write_layer(rejected_rows(classified), rejects_path, load_id)
-    finally:
-        classified.unpersist()
+    write_classified(classify_landing(read_landing(spark, landing_path, options=csv_options)), raw_path, rejects_path, load_id)
+
+
+def write_classified(classified: DataFrame, raw_path: str, rejects_path: str, load_id: str) -> None:
+    """Rejects, then rows, as slice ``load_id``; slices committed before are left as they are."""
+    write_layer_once(rejected_rows(classified), rejects_path, load_id)
+    write_layer_once(loaded_rows(classified), raw_path, load_id, RAW_SCHEMA)

@@ -1,8 +1,8 @@
 """Layer tables on shared storage: raw, curated, enriched, rejects, audit.
 
 A layer table is a Parquet directory partitioned by ``load_id``: every load, insert or micro-batch
-writes (overwrites) its own ``load_id=...`` directory, so a retried write replaces exactly what its
-first attempt wrote and never duplicates rows. Readers select the declared columns, so the storage
+writes its own ``load_id=...`` directory. A retry replaces what an unfinished attempt left; a slice that was
+committed is never written again by a stream, so its files stay the same for all readers. Readers select the declared columns, so the storage
 column never leaks into results.
 """
 
@@ -17,6 +17,10 @@ from pyspark.sql import types as T
 from routeflow.schemas import AUDIT_SCHEMA, CURATED_SCHEMA, LOAD_ID, LOAD_TIMESTAMP, RAW_SCHEMA
 
 
+#: The file source forgets files this much older than the newest one; its default of 7 days loses late or restored files.
+MAX_FILE_AGE = "36500d"
+
+
 def new_load_id(kind: str) -> str:
     return f"{kind}-{uuid.uuid4().hex[:16]}"
 
@@ -26,7 +30,7 @@ def _with_load_id(schema: T.StructType) -> T.StructType:
 
 
 def read_layer(spark: SparkSession, path: str, schema: T.StructType, with_load_id: bool = False) -> DataFrame:
-    """Batch scan of a layer table (an empty or fresh table reads as zero rows)."""
+    """Batch scan of a layer table (``ensure_layer`` makes a table that has no rows yet)."""
     df = spark.read.schema(_with_load_id(schema)).parquet(path)
     return df if with_load_id else df.select(*schema.names)
 
@@ -37,12 +41,51 @@ def stream_layer(spark: SparkSession, path: str, schema: T.StructType, **options
     The storage column is part of the declared source schema, so the stream's schema is the same
     whether or not any slice existed when it started.
     """
-    df = spark.readStream.schema(_with_load_id(schema)).options(**options).parquet(path)
+    opts = {"maxFileAge": MAX_FILE_AGE, **options}
+    df = spark.readStream.schema(_with_load_id(schema)).options(**opts).parquet(path)
     return df.select(*schema.names)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists in the file system of ``path``."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hadoop)
+
+
+def age_files(spark: SparkSession, folder: str, days: int) -> None:
+    """Date the newest batch of files in ``folder`` back by ``days``, as a restore or a slow copy may."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = [f for f in fs.listStatus(path) if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
+    newest = max(f.getModificationTime() for f in files)
+    for f in files:
+        if newest - f.getModificationTime() < 1000:
+            fs.setTimes(f.getPath(), f.getModificationTime() - days * 86_400_000, -1)
+
+
+def slice_committed(spark: SparkSession, path: str, load_id: str) -> bool:
+    """Whether the ``load_id`` slice was written completely (its commit marker exists)."""
+    return path_exists(spark, f"{path.rstrip('/')}/{LOAD_ID}={load_id}/_SUCCESS")
+
+
+def write_layer_once(df: DataFrame, path: str, load_id: str, schema: T.StructType | None = None) -> str:
+    """``write_layer``, but a slice that was committed before is left as it is.
+
+    A replayed micro-batch must not rewrite its slice: the new files would be new to every stream that reads the table,
+    and files under a running reader would vanish.
+    """
+    if slice_committed(df.sparkSession, path, load_id):
+        return load_id
+    return write_layer(df, path, load_id, schema)
+
+
 def write_layer(df: DataFrame, path: str, load_id: str, schema: T.StructType | None = None) -> str:
-    """Write ``df`` as the ``load_id`` slice of a layer table (idempotent overwrite of that slice).
+    """Write ``df`` as the ``load_id`` slice of a layer table (overwrite of that slice).
 
     Missing metadata columns of ``schema`` are filled: ``load_timestamp`` with the write time, any
     other with NULL; columns are put in declared order.

@@ -4,9 +4,9 @@
   offset (the files already delivered), so a rerun delivers only new files.
 * ``create_change_stream`` records the current end of the raw table in a checkpoint without
   delivering anything: later runs on that checkpoint see only rows inserted after it.
-* Every micro-batch is written by ``foreachBatch`` into its own ``load_id=<stream>-<batch>`` slice
-  with overwrite, so a batch replayed after a failure replaces its first attempt (exactly-once
-  output from an at-least-once sink).
+* Every micro-batch is written by ``foreachBatch`` into its own ``load_id=<stream>-<batch>`` slice. A batch replayed after
+  a failure leaves a slice that was committed as it is and replaces an unfinished one; rejects are written before rows. So
+  no row is lost, and none is written twice.
 * ``trigger='available_now'`` processes what is waiting and stops; a run with nothing new starts no
   batch. ``trigger='5 minutes'`` (or any interval) keeps running on that cadence.
 """
@@ -17,13 +17,12 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark import StorageLevel
 
 from routeflow import fixed_values as FV
 from routeflow.operators.curate import curate
 from routeflow.schemas import CURATED_SCHEMA, RAW_SCHEMA
-from routeflow.sources.landing import classify_landing, loaded_rows, read_landing, rejected_rows
-from routeflow.sources.tables import ensure_layer, stream_layer, write_layer
+from routeflow.sources.landing import classify_landing, read_landing, write_classified
+from routeflow.sources.tables import ensure_layer, stream_layer, write_layer_once
 
 
 def stream_tag(checkpoint: str) -> str:
@@ -88,7 +87,7 @@ def run_curation(
     curated = curate(raw_changes(spark, raw_path, max_files_per_trigger))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        write_layer(batch, curated_path, f"curate-{tag}-{batch_id:010d}", CURATED_SCHEMA)
+        write_layer_once(batch, curated_path, f"curate-{tag}-{batch_id:010d}", CURATED_SCHEMA)
 
     return _run(_start(curated.writeStream.foreachBatch(write_batch), checkpoint, trigger, name), trigger)
 
@@ -107,7 +106,7 @@ def run_ingest(
 ) -> StreamingQuery:
     """New landing files -> typed raw rows (+ rejects); a file already loaded is never reloaded.
 
-    The batch is parsed once (persisted) and written twice: loaded rows to raw, rejects aside.
+    The batch is read twice, in two narrow passes: rejects aside first, then loaded rows to raw.
     """
     opts = dict(csv_options or {})
     if max_files_per_trigger:
@@ -116,13 +115,7 @@ def run_ingest(
     tag = stream_tag(checkpoint)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        classified = classify_landing(batch).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            load_id = f"ingest-{tag}-{batch_id:010d}"
-            write_layer(loaded_rows(classified), raw_path, load_id, RAW_SCHEMA)
-            write_layer(rejected_rows(classified), rejects_path, load_id)
-        finally:
-            classified.unpersist()
+        write_classified(classify_landing(batch), raw_path, rejects_path, f"ingest-{tag}-{batch_id:010d}")
 
     return _run(_start(text.writeStream.foreachBatch(write_batch), checkpoint, trigger, name), trigger)
 

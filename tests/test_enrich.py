@@ -28,10 +28,10 @@ def test_batch_provider_matches_rule_provider(spark):
             route_row(distance_km=3000.0), route_row(), route_row(distance_km=None), route_row()]
     cur = _cur(spark, rows)
     a = sorted(map(tuple, E.classify(cur).select("distance_km", "route_classification").collect()), key=str)
-    b = sorted(map(tuple, E.classify(cur, provider=E.BatchProvider(E.prompt_rule_labels, batch_size=2))
+    b = sorted(map(tuple, E.classify(cur, provider=E.BatchProvider(E.prompt_rule_provider(), batch_size=2))
                    .select("distance_km", "route_classification").collect()), key=str)
     assert a == b
-    assert E.classify(cur, provider=E.BatchProvider(E.prompt_rule_labels)).count() == 6
+    assert E.classify(cur, provider=E.BatchProvider(E.prompt_rule_provider())).count() == 6
 
 
 def test_batch_provider_sees_each_prompt_once(spark):
@@ -57,7 +57,8 @@ def test_labels_outside_set_become_null(spark):
 
 def test_enrich_sample_is_ordered_and_bounded(spark):
     rows = [route_row(flight_number=f"AA{i:03d}") for i in range(30)]
-    enriched = E.enrich(_cur(spark, rows))
+    assert E.enrich(_cur(spark, rows)).count() == 30  # all rows unless a limit is given
+    enriched = E.enrich(_cur(spark, rows), limit=FV.ENRICH_SAMPLE_ROWS)
     got = [r["flight_number"] for r in enriched.collect()]
     assert len(got) == FV.ENRICH_SAMPLE_ROWS
     assert sorted(got) == [f"AA{i:03d}" for i in range(20)]
@@ -67,3 +68,27 @@ def test_enrich_sample_is_ordered_and_bounded(spark):
     base = _cur(spark, rows).select(*E.ENRICH_BASE_COLUMNS)
     top = base.orderBy(*E.ENRICH_BASE_COLUMNS).limit(20)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in top
+
+
+def test_any_label_list_has_a_default_classifier(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(1, "a long haul flight"), (2, "short hop"), (3, "nothing"), (4, None)], "id int, p string")
+    out = E.classify(df, F.col("p"), labels=["SHORT", "LONG_HAUL"], output="label").select("id", "label").collect()
+    assert dict(map(tuple, out)) == {1: "LONG_HAUL", 2: "SHORT", 3: None, 4: None}
+
+
+def test_provider_runs_in_several_tasks_with_its_model_and_without_null_prompts(spark):
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    def where(prompts, model):
+        from pyspark import TaskContext
+
+        return pd.Series([f"{model}:{TaskContext.get().partitionId()}"] * len(prompts))
+
+    df = spark.range(400).select(F.when(F.col("id") % 2 == 0, F.concat(F.lit("p"), F.col("id"))).alias("p"))
+    out = E.complete(df, F.col("p"), E.BatchProvider(where, model="m", partitions=4), output="o")
+    rows = out.groupBy("o").count().collect()
+    assert sum(r["count"] for r in rows) == 400 and {r["o"] for r in rows if r["o"]} >= {"m:0", "m:1"}
+    assert {r["o"]: r["count"] for r in rows}[None] == 200

@@ -66,3 +66,12 @@ def test_load_landing_writes_raw_and_rejects(spark, fresh):
     # a retried load with the same id replaces its slice instead of duplicating it
     load_landing(spark, fresh.landing, fresh.raw, fresh.rejects, "copy-1")
     assert read_raw(spark, fresh.raw).count() == 1
+
+
+def test_number_beyond_64_bits_is_rejected_under_its_own_reason(spark, fresh):
+    from routeflow.sources.landing import classify_landing, read_landing, rejected_rows
+
+    wide = GOOD.replace(",220,", ",99999999999999999999,")
+    _write(_local(fresh.landing), "wide.csv", [HEADER, GOOD, wide, GOOD.replace(",220,", ",many,")])
+    reasons = rejected_rows(classify_landing(read_landing(spark, fresh.landing))).select("reject_reason").collect()
+    assert sorted(r[0] for r in reasons) == ["seats", "seats:out_of_range"]

@@ -29,3 +29,8 @@ def test_continuous_mode(spark, fresh):
     finally:
         for q in queries:
             q.stop()
+
+
+def test_empty_start_reports_instead_of_failing(spark, fresh):
+    audit = {r["check_id"]: r["result"] for r in run_once(spark, fresh).collect()}
+    assert len(audit) == 9 and audit["CHK_CLEAN_NOT_EMPTY"] == audit["CHK_RAW_NOT_EMPTY"] == "FAIL"

@@ -72,3 +72,13 @@ def test_processing_time_trigger_keeps_running(spark, fresh):
         assert "curate_timer_test" in [s.name for s in spark.streams.active]
     finally:
         q.stop()
+
+
+def test_replayed_slice_is_not_rewritten(spark, fresh):
+    from routeflow.schemas import RAW_SCHEMA
+    from routeflow.sources.tables import write_layer_once
+
+    for _ in range(2):
+        write_layer_once(_batch(spark, "R", 5), fresh.raw, "ingest-x", RAW_SCHEMA)
+        run_curation(spark, fresh.raw, fresh.curated, fresh.checkpoint("curate"))
+    assert read_raw(spark, fresh.raw).count() == read_curated(spark, fresh.curated).count() == 5

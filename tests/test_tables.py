@@ -27,7 +27,7 @@ def test_insert_fills_defaults_and_reset_empties(spark, fresh):
 
 def test_published_views_answer_sql(spark):
     cur = curate(routes_df(spark, [route_row(), route_row(airline_code="BA", flight_number="BA1")]))
-    V.publish_all(cur, E.enrich(cur), enriched_max_rows=FV.ENRICH_SAMPLE_ROWS)
+    V.publish_all(cur, E.enrich(cur, limit=FV.ENRICH_SAMPLE_ROWS))
     top = spark.sql("SELECT airline_code, total_flights FROM v_airline_stats ORDER BY airline_code").collect()
     assert [(r[0], r[1]) for r in top] == [("AA", 1), ("BA", 1)]
     assert spark.sql("SELECT count(*) FROM v_enriched_routes_dashboard").first()[0] == 2
@@ -38,7 +38,7 @@ def test_provider_answering_json_objects(spark):
     cur = curate(routes_df(spark, [route_row(), route_row(destination_country="USA", distance_km=100.0)]))
 
     def as_objects(prompts):
-        return E.prompt_rule_labels(prompts).map(lambda x: json.dumps({"label": x, "score": 0.9}))
+        return E.prompt_rule_provider()(prompts).map(lambda x: json.dumps({"label": x, "score": 0.9}))
 
     got = E.classify(cur, provider=E.BatchProvider(as_objects, field="label")).select("route_classification").collect()
     assert sorted(r[0] for r in got) == ["DOMESTIC_SHORT", "INTERNATIONAL_LONG_HAUL"]
