@@ -208,6 +208,17 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def merge(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, label) after further ``links`` (a, b): only links between different components are walked."""
+    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
+    known = staged(labels.unionByName(ends.join(labels, "node", "left_anti").select("node", F.col("node").alias("label"))), "known-labels")
+    one, two = (known.select(F.col("node").alias(c), F.col("label").alias(f"of_{c}")) for c in ("a", "b"))
+    between = links.join(one, "a").join(two, "b").where("of_a <> of_b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b")).distinct()
+    roots = components(staged(between, "between")).select(F.col("node").alias("root"), F.col("label").alias("now"))
+    merged = known.join(roots, known["label"] == roots["root"], "left").select("node", F.coalesce("now", "label").alias("label"))
+    return staged(merged, "merged-labels")
+
+
 # --- candidates ---------------------------------------------------------------------------------------------------------
 
 
@@ -313,12 +324,12 @@ def node_labels(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tup
     still = staged(still.where(F.col("shared") >= SIMILARITY * F.col("weight")).join(nodes.select("node", "marks"), "node"), "may-link")
     # First the pair that agrees most of every two components: those it links need not be compared in full.
     top = staged(_missed_pairs(still, best=True), "missed-best")
-    links = staged(links.unionByName(_verified(top, multisets)), "verified-best")
-    merged = components(links).select(F.col("node").alias("of"), F.col("label").alias("now"))
+    labels = merge(labels, staged(_verified(top, multisets), "verified-best"))
+    merged = labels.select(F.col("node").alias("of"), F.col("label").alias("now"))
     moved = still.join(merged, still["node"] == merged["of"], "left").withColumn("label", F.coalesce("now", "label")).drop("of", "now")
     missed = staged(_missed_pairs(moved, best=False), "missed")
     found = staged(_verified(missed, multisets), "verified-more")
-    return sketches, nodes.select("digest", "node"), components(links.unionByName(found))
+    return sketches, nodes.select("digest", "node"), merge(labels, found)
 
 
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
