@@ -13,8 +13,8 @@ sum of larger counts; documents of similarity ``SIMILARITY`` or more are linked,
    costs its size. Pairs are verified on the multisets; verified links give components.
 4. What a star cannot see, a link between two members of a bucket that both miss its centre, is looked for only in buckets whose other
    members still lie in different components. What a document shares with no other member of such buckets bounds its similarity to all
-   of them, which leaves out most; blocks of about ``BLOCK`` of the others are compared register by register inside a
-   task, and pairs that may reach the threshold are verified.
+   of them, which leaves out most; the others get a second signature of ``FINE`` registers, blocks of about ``BLOCK`` of them are compared
+   register by register inside a task, and pairs that may reach the threshold are verified.
 
 Distribution: shuffles carry node ids, band keys and, for candidate pairs, the multisets; the texts never. Every
 iteration writes its labels to the shared folder. Nothing is collected but counts.
@@ -48,8 +48,10 @@ BANDS = 32
 ROWS = 4
 REGISTERS = BANDS * ROWS
 BLOCK = 256
+#: Registers of the second signature, one byte each (marks that agree by chance only raise the agreement).
+FINE = 1024
 #: Register agreement of a pair at the threshold varies by this; pairs within four of it below are verified.
-DEVIATION = math.sqrt(SIMILARITY * (1 - SIMILARITY) / REGISTERS)
+DEVIATION = math.sqrt(SIMILARITY * (1 - SIMILARITY) / FINE)
 AGREEMENT = SIMILARITY - 4 * DEVIATION
 
 
@@ -69,7 +71,7 @@ def _uniform(x: np.ndarray) -> np.ndarray:
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
-def _points(seeds: np.ndarray, tops: np.ndarray, low: int, width: int, until: float) -> tuple[np.ndarray, ...]:
+def _points(seeds: np.ndarray, tops: np.ndarray, low: int, width: int, until: float, registers: int) -> tuple[np.ndarray, ...]:
     """Times, registers and marks of the points before ``until`` of Poisson processes on [low, low + width) of the weight
     axis that lie below ``tops``. Point number i of a process depends on its seed and i alone."""
     found = []
@@ -83,33 +85,33 @@ def _points(seeds: np.ndarray, tops: np.ndarray, low: int, width: int, until: fl
         ok = times <= until
         if width > 1:
             ok = ok & (low + (_uniform(mix64(second + _STEP)) * width).astype(np.int64) < top[:, None])
-        found.append((times[ok], (second[ok] % np.uint64(REGISTERS)).astype(np.int64), (second[ok] >> np.uint64(16)).astype(np.uint32)))
+        found.append((times[ok], (second[ok] % np.uint64(registers)).astype(np.int64), (second[ok] >> np.uint64(16)).astype(np.uint32)))
         alive = times[:, -1] <= until
         clock, at, top, number = times[alive, -1], at[alive], top[alive], number + take
     return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.empty(0), np.empty(0, np.int64), np.empty(0, np.uint32))
 
 
-def signature(elements: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """BagMinHash signature: ``REGISTERS`` marks."""
-    until = REGISTERS * (math.log(REGISTERS) + 4) / float(counts.sum())
+def signature(elements: np.ndarray, counts: np.ndarray, size: int = REGISTERS) -> np.ndarray:
+    """BagMinHash signature: ``size`` marks."""
+    until = size * (math.log(size) + 4) / float(counts.sum())
     most = int(counts.max())
     while True:
         parts, low, width, level = [], 0, 1, 0
         while low < most:
             holds = counts > low
             seeds = mix64(elements[holds] ^ mix64(np.array([level + 1], np.uint64)))
-            parts.append(_points(seeds, counts[holds], low, width, until))
+            parts.append(_points(seeds, counts[holds], low, width, until, size))
             low, width, level = low + width, max(1, low + width), level + 1
         times, registers, marks = (np.concatenate(x) for x in zip(*parts))
         order = np.lexsort((times, registers))
         filled, first = np.unique(registers[order], return_index=True)
-        if len(filled) == REGISTERS:
+        if len(filled) == size:
             return marks[order][first]
         until *= 2
 
 
 def sketch(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """One row per document with words: key, text_hash, digest, weight, bands (long keys), marks (16 bits each)."""
+    """One row per document with words: key, text_hash, digest, weight, bands (long keys)."""
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,7 +120,7 @@ def sketch(docs: DataFrame, text: str, key: str) -> DataFrame:
         known = WordHashes()
         band = np.arange(BANDS, dtype=np.uint64)
         for batch in batches:
-            at, digests, weights, bands, marks = [], [], [], [], []
+            at, digests, weights, bands = [], [], [], []
             for row, value in enumerate(batch.column("text")):
                 words = split_words(value.as_py() or "")
                 if not words:
@@ -132,17 +134,16 @@ def sketch(docs: DataFrame, text: str, key: str) -> DataFrame:
                 digests.append(blake2b(elements.tobytes() + counts.tobytes(), digest_size=16).digest())
                 weights.append(int(counts.sum()))
                 bands.append(keys.view(np.int64))
-                marks.append(got.astype(np.uint16).tobytes())
             taken = pa.array(at, pa.int64())
             offsets = pa.array(np.arange(len(at) + 1) * BANDS, pa.int32())
             flat = pa.array(np.concatenate(bands) if bands else np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key").take(taken), batch.column("text_hash").take(taken), pa.array(digests, pa.binary()), pa.array(weights, pa.int64()), pa.ListArray.from_arrays(offsets, flat), pa.array(marks, pa.binary())],
-                names=["key", "text_hash", "digest", "weight", "bands", "marks"],
+                [batch.column("key").take(taken), batch.column("text_hash").take(taken), pa.array(digests, pa.binary()), pa.array(weights, pa.int64()), pa.ListArray.from_arrays(offsets, flat)],
+                names=["key", "text_hash", "digest", "weight", "bands"],
             )
 
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(over, f"key {kind}, text_hash long, digest binary, weight long, bands array<long>, marks binary")
+    return rows.mapInArrow(over, f"key {kind}, text_hash long, digest binary, weight long, bands array<long>")
 
 
 # --- verification -----------------------------------------------------------------------------------------------------------
@@ -171,19 +172,20 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return common / (int(a[1].sum()) + int(b[1].sum()) - common)
 
 
+def _multiset(elements: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    e = np.frombuffer(elements, np.uint64)
+    return e, np.frombuffer(counts, "<u4").astype(np.int64) if counts else np.ones(len(e), np.int64)
+
+
 def _verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
     """The pairs (a, b) whose multisets reach the threshold."""
     one = bags.select(F.col("node").alias("a"), F.col("elements").alias("ea"), F.col("counts").alias("ca"))
     two = bags.select(F.col("node").alias("b"), F.col("elements").alias("eb"), F.col("counts").alias("cb"))
 
-    def bag(elements: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
-        e = np.frombuffer(elements, np.uint64)
-        return e, np.frombuffer(counts, "<u4").astype(np.int64) if counts else np.ones(len(e), np.int64)
-
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch.column(c) for c in ("ea", "ca", "eb", "cb")]
-            ok = [similarity(bag(ea.as_py(), ca.as_py()), bag(eb.as_py(), cb.as_py())) >= SIMILARITY for ea, ca, eb, cb in zip(*columns)]
+            ok = [similarity(_multiset(ea.as_py(), ca.as_py()), _multiset(eb.as_py(), cb.as_py())) >= SIMILARITY for ea, ca, eb, cb in zip(*columns)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return pairs.join(one, "a").join(two, "b").select("a", "b", "ea", "ca", "eb", "cb").mapInArrow(over, "a long, b long")
@@ -233,42 +235,60 @@ def _shared_weight(multisets: DataFrame, nodes: DataFrame) -> DataFrame:
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for node, e, c in zip(batch.column("node"), batch.column("elements"), batch.column("counts")):
-                elements = np.frombuffer(e.as_py(), np.int64)
-                counts = np.frombuffer(c.as_py(), "<u4").astype(np.int64) if c.as_py() else np.ones(len(elements), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(elements), pa.array(counts), pa.array(np.full(len(elements), node.as_py(), np.int64))], names=["element", "n", "node"])
+                elements, counts = _multiset(e.as_py(), c.as_py())
+                yield pa.RecordBatch.from_arrays([pa.array(elements.view(np.int64)), pa.array(counts), pa.array(np.full(len(elements), node.as_py(), np.int64))], names=["element", "n", "node"])
 
     each = multisets.join(small_side(nodes), "node", "left_semi").mapInArrow(over, "element long, n long, node long")
     alone = each.groupBy("element").agg(F.count(F.lit(1)).alias("nodes"), F.min("node").alias("node"), F.min("n").alias("n")).where("nodes = 1")
     return alone.groupBy("node").agg(F.sum("n").alias("private"))
 
 
+def _fine_marks(multisets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, marks): the second signature of ``nodes``, independent of the first."""
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = []
+            for e, c in zip(batch.column("elements"), batch.column("counts")):
+                elements, counts = _multiset(e.as_py(), c.as_py())
+                marks.append(signature(mix64(elements ^ _STEP), counts, FINE).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(marks, pa.binary())], names=["node", "marks"])
+
+    return multisets.join(small_side(nodes), "node", "left_semi").mapInArrow(over, "node long, marks binary")
+
+
 def _missed_pairs(members: DataFrame, best: bool) -> DataFrame:
-    """Pairs of ``members`` (band, node, label, weight, shared, marks) of one band and different labels that may reach the threshold.
+    """Pairs of ``members`` (band, node, label, weight, shared, marks, slots) of one band and different labels that may reach the threshold.
 
     A band's members are dealt into blocks; the blocks meet pairwise and are compared inside a task. ``shared`` bounds what a
-    member can have in common with any other, so a pair that cannot reach the threshold is left out without loss.
+    member can have in common with any other, so a pair that cannot reach the threshold is left out without loss. ``slots`` holds, by
+    position of the band, the keys of all bands a member is in: a pair that meets in several is compared in the first of them.
     ``best`` keeps, of every two components, the pair that agrees most.
     """
     sizes = members.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     dealt = members.join(sizes, "band").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    packed = staged(dealt.groupBy("band", "block").agg(F.collect_list(F.struct("node", "label", "weight", "shared", "marks")).alias("m")), "blocks")
+    packed = staged(dealt.groupBy("band", "block").agg(F.collect_list(F.struct("node", "label", "weight", "shared", "marks", "slots")).alias("m")), "blocks")
     left = packed.select("band", F.col("block").alias("i"), F.col("m").alias("left"))
     right = packed.select("band", F.col("block").alias("j"), F.col("m").alias("right"))
-    meeting = left.join(right, "band").where("i <= j").select("left", "right")
+    meeting = left.join(right, "band").where("i <= j").select("band", (F.col("i") == F.col("j")).alias("own"), "left", "right")
 
     def block(rows: list[dict]) -> tuple[np.ndarray, ...]:
-        marks = np.frombuffer(b"".join(r["marks"] for r in rows), np.uint16).reshape(len(rows), REGISTERS)
-        return (*(np.array([r[c] for r in rows], np.int64) for c in ("node", "label", "weight", "shared")), marks)
+        marks = np.frombuffer(b"".join(r["marks"] for r in rows), np.uint8).reshape(len(rows), FINE)
+        return (*(np.array([r[c] for r in rows], np.int64) for c in ("node", "label", "weight", "shared")), marks, np.array([r["slots"] for r in rows], np.int64))
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, low, high, score = [], [], [], [], []
-            for left, right in zip(batch.column("left"), batch.column("right")):
-                n1, l1, w1, s1, m1 = block(left.as_py())
-                n2, l2, w2, s2, m2 = block(right.as_py())
+            for band, own, left, right in zip(*(batch.column(c) for c in ("band", "own", "left", "right"))):
+                here, own = band.as_py(), own.as_py()
+                n1, l1, w1, s1, m1, at1 = block(left.as_py())
+                n2, l2, w2, s2, m2, at2 = block(right.as_py())
                 for k in range(len(n1)):
                     common = np.minimum(s1[k], s2)
                     others = np.flatnonzero((l2 != l1[k]) & (common >= SIMILARITY * (w1[k] + w2 - common)))
+                    others = others[others > k] if own else others
+                    first = ((at2[others] == at1[k]) & (at1[k] != 0)).argmax(axis=1) if len(others) else others
+                    others = others[at1[k][first] == here]
                     agree = (m2[others] == m1[k]).mean(axis=1) if len(others) else np.empty(0)
                     others, agree = others[agree >= AGREEMENT], agree[agree >= AGREEMENT]
                     a.append(np.full(len(others), n1[k]))
@@ -294,9 +314,9 @@ def node_labels(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tup
     """Sketches, nodes (digest, node) and (node, label) of the nodes that have a link."""
     sketches = staged(sketch(docs, text, key), "sketches")
     bags = sketches.groupBy("digest").agg(
-        F.min(F.struct("text_hash", "key")).alias("rep"), F.first("weight").alias("weight"), F.first("bands").alias("bands"), F.first("marks").alias("marks")
+        F.min(F.struct("text_hash", "key")).alias("rep"), F.first("weight").alias("weight"), F.first("bands").alias("bands")
     )
-    nodes = staged(bags.select("digest", "rep.*", "weight", "bands", "marks", F.monotonically_increasing_id().alias("node")), "nodes")
+    nodes = staged(bags.select("digest", "rep.*", "weight", "bands", F.monotonically_increasing_id().alias("node")), "nodes")
     banded = nodes.select("node", "weight", F.explode("bands").alias("band"))
     # The centre of a bucket is its smallest node in an order of the band's own: node ids xor a hash of the band.
     turn = F.xxhash64("band")
@@ -321,7 +341,11 @@ def node_labels(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tup
     private = staged(_shared_weight(multisets, staged(still.select("node").distinct(), "open-nodes")), "private")
     shared = (F.col("weight") - F.coalesce("private", F.lit(0))).alias("shared")
     still = still.join(private, "node", "left").select("band", "node", "label", "weight", shared)
-    still = staged(still.where(F.col("shared") >= SIMILARITY * F.col("weight")).join(nodes.select("node", "marks"), "node"), "may-link")
+    still = staged(still.where(F.col("shared") >= SIMILARITY * F.col("weight")), "may-link")
+    marks = staged(_fine_marks(multisets, staged(still.select("node").distinct(), "may-link-nodes")), "fine-marks")
+    found_in = still.groupBy("node").agg(F.collect_set("band").alias("open"))
+    slot = F.transform("bands", lambda b: F.when(F.array_contains("open", b), b).otherwise(F.lit(0)))
+    still = still.join(marks, "node").join(staged(nodes.join(found_in, "node").select("node", slot.alias("slots")), "slots"), "node")
     # First the pair that agrees most of every two components: those it links need not be compared in full.
     top = staged(_missed_pairs(still, best=True), "missed-best")
     labels = merge(labels, staged(_verified(top, multisets), "verified-best"))
