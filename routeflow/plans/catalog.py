@@ -21,11 +21,12 @@ from routeflow.operators import quality as Q
 from routeflow.operators import views as V
 from routeflow.operators.curate import curate
 from routeflow.plans.layers import Layers, fixture_curated, fixture_raw, load_raw_rows, new_layers
-from routeflow.schemas import CURATED_COLUMNS, LOAD_TIMESTAMP, RAW_COLUMNS, RAW_SCHEMA, SOURCE_COLUMNS
+from routeflow.schemas import CURATED_COLUMNS, LOAD_TIMESTAMP, RAW_COLUMNS, RAW_SCHEMA, SOURCE_COLUMNS, SOURCE_FILE
 from routeflow.sources.fixtures import landing_text_from_tables, routes_from_tables
 from routeflow.sources.landing import (
     CSV_WRITE_OPTIONS,
     REJECT_REASON,
+    REJECTED_RECORD,
     classify_landing,
     load_landing,
     read_landing,
@@ -76,6 +77,28 @@ def q_csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.groupBy(REJECT_REASON).agg(F.count(F.lit(1)).alias("rejected_rows"))
 
 
+def q_csv_rejected_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of every rejected row, as the load keeps it."""
+    layers = new_layers(spark, "csv-rejected-text")
+    _land_text(spark, sf_dir, layers)
+    load_landing(spark, layers.landing, layers.raw, layers.rejects, new_load_id("copy"))
+    stored = spark.read.parquet(layers.rejects)
+    return stored.select(*[F.get_json_object(REJECTED_RECORD, f"$.{c}").alias(c) for c in ("flight_number", "seats", "flight_date")])
+
+
+def q_csv_load_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loaded rows by whether they carry their landing file's name and a load time of this load."""
+    layers = new_layers(spark, "csv-defaults")
+    _land_text(spark, sf_dir, layers)
+    start = _dt.datetime.now(_dt.timezone.utc)
+    load_landing(spark, layers.landing, layers.raw, layers.rejects, new_load_id("copy"))
+    end = _dt.datetime.now(_dt.timezone.utc)
+    named = F.coalesce(F.col(SOURCE_FILE).rlike(r"^part-.*\.csv$"), F.lit(False))
+    stamped = F.coalesce(F.col(LOAD_TIMESTAMP).between(F.lit(start), F.lit(end)), F.lit(False))
+    rows = read_raw(spark, layers.raw)
+    return rows.groupBy(named.alias("has_file_name"), stamped.alias("stamped_by_load")).agg(F.count(F.lit(1)).alias("loaded_rows"))
+
+
 def q_manual_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = new_layers(spark, "manual-insert")
     load_raw_rows(routes_from_tables(spark, sf_dir), layers)
@@ -90,6 +113,12 @@ def q_curate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curate(fixture_raw(spark, sf_dir))
 
 
+def q_curate_inserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change rows that carry their action: only inserts are curated."""
+    action = F.when(F.col("stops") > 0, F.lit("INSERT")).otherwise(F.lit("DELETE"))
+    return curate(fixture_raw(spark, sf_dir).withColumn("action", action), action_col="action")
+
+
 def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = new_layers(spark, "stream-ingest")
     ckpt = layers.checkpoint("ingest")
@@ -183,6 +212,12 @@ def q_busiest_airports_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.busiest_airports(fixture_curated(spark, sf_dir), mode="explode")
 
 
+def q_views_through_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published views answer SQL."""
+    V.publish_all(fixture_curated(spark, sf_dir))
+    return spark.sql("SELECT route_key, is_international, flight_count FROM v_route_summary WHERE flight_count > 1")
+
+
 # --- enrichment and dashboard -----------------------------------------------------------------
 
 
@@ -308,8 +343,12 @@ def q_recent_audit(spark, sf_dir):
 QUERIES: dict[str, QueryFn] = {
     "s_csv_roundtrip_load": q_csv_roundtrip_load,
     "s_csv_rejects": q_csv_rejects,
+    "s_csv_rejected_text": q_csv_rejected_text,
+    "s_csv_load_defaults": q_csv_load_defaults,
     "k_manual_insert": q_manual_insert,
+    "k_views_through_sql": q_views_through_sql,
     "p_curate": q_curate,
+    "p_curate_inserts": q_curate_inserts,
     "t_stream_ingest": q_stream_ingest,
     "t_stream_curate_all": q_stream_curate_all,
     "t_stream_curate_new": q_stream_curate_new,

@@ -325,6 +325,19 @@ def oracle_sql() -> dict[str, str]:
         "GROUP BY reject_reason",
         *landing_ctes(),
     )
+    sql["s_csv_rejected_text"] = with_ctes(
+        "SELECT flight_number, seats, flight_date FROM landing_text WHERE seats = 'n/a' OR flight_date LIKE '%-13-%'", _landing_text_cte()
+    )
+    sql["s_csv_load_defaults"] = with_ctes(
+        "SELECT TRUE AS has_file_name, TRUE AS stamped_by_load, count(*) AS loaded_rows FROM landing_typed WHERE reject_reason IS NULL",
+        *landing_ctes(),
+    )
+    sql["p_curate_inserts"] = with_ctes(f"SELECT {cur_cols} FROM curated WHERE stops > 0")
+    sql["k_views_through_sql"] = with_ctes(
+        "SELECT route_key, is_international, flight_count FROM (SELECT route_key, is_international, count(*) AS flight_count FROM curated "
+        "GROUP BY route_key, is_international, origin_airport, origin_city, origin_country, destination_airport, destination_city, destination_country, "
+        "distance_category) WHERE flight_count > 1"
+    )
     sql["k_manual_insert"] = with_ctes(
         f"SELECT {raw_cols}, source_file FROM raw_routes UNION ALL "
         f"SELECT {', '.join(smoke_vals)}, {_q(FV.SMOKE_SOURCE_FILE)} AS source_file"
