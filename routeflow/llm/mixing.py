@@ -28,7 +28,7 @@ WEIGHTS = (1, 2, 3)
 CAP = 3
 SEED = 20240
 #: Rows numbered by one task.
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 2_000
 #: Random offsets are multiples of one over this, so that they add to prefix sums exactly.
 OFFSETS = 1 << 20
 
