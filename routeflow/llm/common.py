@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from routeflow.session import scratch_path
 
@@ -77,13 +78,16 @@ def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], spread:
     return joined.select(*kept, (numbered[rank] + F.coalesce(sums[before], F.lit(0))).cast("long").alias(rank))
 
 
-#: A side of at most this many short rows (ids and digests, some tens of MB in memory) may be broadcast.
+#: A side of at most this many short rows and array elements (ids and digests, some tens of MB in memory) may be broadcast.
 BROADCAST_ROWS = 400_000
 
 
 def small_side(rows: DataFrame) -> DataFrame:
     """A written table of short rows, with a broadcast hint if its counted size allows it.
 
-    Beyond ``BROADCAST_ROWS`` the join is an ordinary one that AQE may split. The count reads Parquet footers only.
+    Beyond ``BROADCAST_ROWS`` the join is an ordinary one that AQE may split. The count reads Parquet footers only; where the
+    rows hold arrays, whose lengths have no bound, every element counts as a row and the arrays are read.
     """
-    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+    arrays = [F.coalesce(F.size(f.name), F.lit(0)) for f in rows.schema if isinstance(f.dataType, T.ArrayType)]
+    held = rows.agg(F.sum(sum(arrays, F.lit(1)).cast("long"))).head()[0] or 0 if arrays else rows.count()
+    return F.broadcast(rows) if held <= BROADCAST_ROWS else rows

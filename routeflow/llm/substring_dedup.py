@@ -14,6 +14,8 @@ so shards are cut such that a document meets only the few that can match it, and
    statistic at a word is the longest suffix that occurs at least twice; maximal spans of ``WINDOW`` words or more are removed.
 4. An owner of more than ``SHARD_SEGMENTS`` segments (a passage that very many documents share) would be an unbounded shard. Its
    windows are counted by a 128-bit hash instead, with map-side aggregation: an exact way for what does not fit an automaton.
+5. Spans are merged into maximal ones before they are gathered per document, and joined to the texts; they are broadcast only if
+   rows and spans together are few (``common.small_side``).
 
 Defined results: words are runs of characters other than the six white-space ones, unchanged; a NULL text has no words; a text of any
 length is treated whole; rows that repeat an id are documents of their own unless the text repeats too, in which case each copy counts
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -257,6 +259,16 @@ def _by_counting(cut: DataFrame, window: int) -> DataFrame:
     return found.select("key", "text_hash", "lo", (F.col("lo") + window).alias("hi"))
 
 
+def _merged(spans: DataFrame) -> DataFrame:
+    """Maximal spans of each document: overlapping and touching ones as one, so a row's array does not hold a span per window."""
+    once = spans.groupBy("key", "text_hash", "lo").agg(F.max("hi").alias("hi"))  # rows that repeat id and text have the same spans
+    by_doc = Window.partitionBy("key", "text_hash").orderBy("lo")
+    reached = F.max("hi").over(by_doc.rowsBetween(Window.unboundedPreceding, -1))
+    opens = once.withColumn("opens", F.when(F.col("lo") <= reached, 0).otherwise(1))
+    joined = opens.withColumn("run", F.sum("opens").over(by_doc.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return joined.groupBy("key", "text_hash", "run").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("run")
+
+
 def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", window: int = WINDOW) -> DataFrame:
     """key, text_hash and ``spans`` (array of (lo, hi), word numbers) of the documents that lose words."""
     owned = staged(_owners(docs, text, key, window), "owners")
@@ -268,8 +280,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", win
         F.collect_set(F.when(~F.col("hot"), F.col("owner"))).alias("owners"), F.collect_set(F.when(F.col("hot"), F.col("owner"))).alias("hot_owners")
     )
     cut = staged(_cut(docs, staged(hits, "repeating"), text, key, window), "segments", "zstd")
-    spans = _by_automaton(cut, window).unionByName(_by_counting(cut, window))
-    return staged(spans.groupBy("key", "text_hash").agg(F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("spans")), "spans")
+    spans = _merged(_by_automaton(cut, window).unionByName(_by_counting(cut, window)))
+    return staged(spans.groupBy("key", "text_hash").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("spans")), "spans")
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", window: int = WINDOW) -> DataFrame:
