@@ -12,8 +12,8 @@ so shards are cut such that a document meets only the few that can match it, and
    the documents that hold them.
 3. Per shard one suffix automaton of its distinct segments, with occurrence counts, is built; the segments are streamed through it. The matching
    statistic at a word is the longest suffix that occurs at least twice; maximal spans of ``WINDOW`` words or more are removed.
-4. An owner of more than ``SHARD_SEGMENTS`` segments (a passage that very many documents share) would be an unbounded shard. Its
-   windows are counted by a 128-bit hash instead, with map-side aggregation: an exact way for what does not fit an automaton.
+4. An owner of more than ``SHARD_SEGMENTS`` segments (a passage that very many documents share) or ``SHARD_WORDS`` words (a line
+   repeated over and over is one segment) would be an unbounded shard. Its windows are counted by a 128-bit hash instead, with map-side aggregation: an exact way for what does not fit an automaton.
 5. Spans are merged into maximal ones before they are gathered per document, and joined to the texts; they are broadcast only if
    rows and spans together are few (``common.small_side``).
 
@@ -43,6 +43,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need not
 WINDOW = 35
 GROUP = 8
 SHARD_SEGMENTS = 1000
+#: A segment of periodic text is as long as the text, so the words of a shard are bounded too.
+SHARD_WORDS = 200_000
+#: Windows of hot owners that one batch holds, or those of one segment.
+BATCH_WINDOWS = 200_000
 
 
 def segments(words: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
@@ -138,27 +142,28 @@ def shard_spans(texts: dict[str, int], window: int) -> dict[str, list[tuple[int,
 
 
 def _owners(docs: DataFrame, text: str, key: str, window: int) -> DataFrame:
-    """key, text_hash and the segments' owners and place counts, per document of at least ``window`` words."""
+    """key, text_hash and the segments' owners, place counts and lengths in words, per document of at least ``window`` words."""
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            at, owners, places = [], [], []
+            at, owners, places, lengths = [], [], [], []
             for row, value in enumerate(batch.column("text")):
-                _, _, owner, n = segments(known.of(split_words(value.as_py() or "")), window)
+                first, last, owner, n = segments(known.of(split_words(value.as_py() or "")), window)
                 if len(owner):
                     at.append(row)
                     owners.append(owner)
                     places.append(n.astype(np.int32))
+                    lengths.append((last - first + window).astype(np.int32))
             taken = pa.array(at, pa.int64())
             offsets = pa.array(np.cumsum([0, *map(len, owners)]), pa.int32())
-            flat = [pa.array(np.concatenate(x) if x else np.empty(0, kind)) for x, kind in ((owners, np.int64), (places, np.int32))]
+            flat = [pa.array(np.concatenate(x) if x else np.empty(0, kind)) for x, kind in ((owners, np.int64), (places, np.int32), (lengths, np.int32))]
             lists = [pa.ListArray.from_arrays(offsets, x) for x in flat]
-            yield pa.RecordBatch.from_arrays([batch.column("key").take(taken), batch.column("text_hash").take(taken), *lists], names=["key", "text_hash", "owners", "places"])
+            yield pa.RecordBatch.from_arrays([batch.column("key").take(taken), batch.column("text_hash").take(taken), *lists], names=["key", "text_hash", "owners", "places", "lengths"])
 
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(over, f"key {kind}, text_hash long, owners array<long>, places array<int>")
+    return rows.mapInArrow(over, f"key {kind}, text_hash long, owners array<long>, places array<int>, lengths array<int>")
 
 
 def _cut(docs: DataFrame, hits: DataFrame, text: str, key: str, window: int) -> DataFrame:
@@ -243,14 +248,22 @@ def _by_counting(cut: DataFrame, window: int) -> DataFrame:
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            columns = [known.of(b.as_py().split(" ")) for b in batch.column("body")]
-            sizes = np.array([len(c) - window + 1 for c in columns], np.int64)
-            taken = pa.array(np.repeat(np.arange(len(columns)), sizes))
-            one, two = (np.concatenate([window_hashes(c, window, seed) for c in columns]).view(np.int64) for seed in (1, 2))
-            within = np.concatenate([np.arange(n) for n in sizes])
-            first = batch.column("first").to_numpy(zero_copy_only=False).astype(np.int64)
-            lo = np.repeat(first, sizes) + within
-            yield pa.RecordBatch.from_arrays([batch.column("key").take(taken), batch.column("text_hash").take(taken), pa.array(lo.astype(np.int32)), pa.array(one), pa.array(two)], names=["key", "text_hash", "lo", "w1", "w2"])
+            at, held = 0, 0
+            for row, body in enumerate(batch.column("body")):
+                held += body.as_py().count(" ") + 2 - window
+                if held >= BATCH_WINDOWS or row == batch.num_rows - 1:
+                    yield windows_of(batch.slice(at, row + 1 - at), known)
+                    at, held = row + 1, 0
+
+    def windows_of(batch: pa.RecordBatch, known: WordHashes) -> pa.RecordBatch:
+        columns = [known.of(b.as_py().split(" ")) for b in batch.column("body")]
+        sizes = np.array([len(c) - window + 1 for c in columns], np.int64)
+        taken = pa.array(np.repeat(np.arange(len(columns)), sizes))
+        one, two = (np.concatenate([window_hashes(c, window, seed) for c in columns]).view(np.int64) for seed in (1, 2))
+        within = np.concatenate([np.arange(n) for n in sizes])
+        first = batch.column("first").to_numpy(zero_copy_only=False).astype(np.int64)
+        lo = np.repeat(first, sizes) + within
+        return pa.RecordBatch.from_arrays([batch.column("key").take(taken), batch.column("text_hash").take(taken), pa.array(lo.astype(np.int32)), pa.array(one), pa.array(two)], names=["key", "text_hash", "lo", "w1", "w2"])
 
     kind = cut.schema["key"].dataType.simpleString()
     windows = staged(cut.where("hot").select("key", "text_hash", "first", "body").mapInArrow(over, f"key {kind}, text_hash long, lo int, w1 long, w2 long"), "hot-windows")
@@ -272,9 +285,11 @@ def _merged(spans: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", window: int = WINDOW) -> DataFrame:
     """key, text_hash and ``spans`` (array of (lo, hi), word numbers) of the documents that lose words."""
     owned = staged(_owners(docs, text, key, window), "owners")
-    each = owned.select("key", "text_hash", F.explode(F.arrays_zip("owners", "places")).alias("x")).select("key", "text_hash", F.col("x.owners").alias("owner"), F.col("x.places").alias("places"))
-    totals = each.groupBy("owner").agg(F.sum("places").alias("n"), F.count(F.lit(1)).alias("segments")).where("n > 1")
-    totals = staged(totals.select("owner", (F.col("segments") > SHARD_SEGMENTS).alias("hot")), "repeated-owners")
+    each = owned.select("key", "text_hash", F.explode(F.arrays_zip("owners", "places", "lengths")).alias("x"))
+    each = each.select("key", "text_hash", F.col("x.owners").alias("owner"), F.col("x.places").alias("places"), F.col("x.lengths").alias("length"))
+    totals = each.groupBy("owner").agg(F.sum("places").alias("n"), F.count(F.lit(1)).alias("segments"), F.sum("length").alias("words")).where("n > 1")
+    hot = (F.col("segments") > SHARD_SEGMENTS) | (F.col("words") > SHARD_WORDS)
+    totals = staged(totals.select("owner", hot.alias("hot")), "repeated-owners")
     marked = each.select("key", "text_hash", "owner").join(small_side(totals), "owner")
     hits = marked.groupBy("key", "text_hash").agg(
         F.collect_set(F.when(~F.col("hot"), F.col("owner"))).alias("owners"), F.collect_set(F.when(F.col("hot"), F.col("owner"))).alias("hot_owners")

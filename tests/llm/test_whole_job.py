@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from routeflow.llm import common, substring_dedup
 from routeflow.llm.common import small_side
 
@@ -26,3 +28,20 @@ def test_array_elements_bound_the_broadcast(spark, monkeypatch):
     assert small_side(many) is many
     assert small_side(many.where("false")) is not many
     assert small_side(many.select("k")).join(many, "k").count() == 2
+
+
+def test_long_periodic_texts_stay_out_of_automata(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "SHARD_WORDS", 500)
+    monkeypatch.setattr(substring_dedup, "BATCH_WINDOWS", 700)
+    built = []
+    original = substring_dedup._by_automaton
+
+    def watched(cut, window):
+        built.extend(r[0] for r in cut.where("not hot").groupBy("owner").agg(F.sum(F.size(F.split("body", " "))).alias("n")).select("n").collect())
+        return original(cut, window)
+
+    monkeypatch.setattr(substring_dedup, "_by_automaton", watched)
+    df = spark.createDataFrame([(1, "a b " + "la " * 3000 + "end"), (2, "one two three " * 400), (3, PASSAGE), (4, "x " + PASSAGE)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["clean_text"]) for r in substring_dedup.remove_repeats(df).collect()}
+    assert built and max(built) <= 500
+    assert got == {1: (3003, 3000, "a b end"), 2: (1200, 1200, ""), 3: (60, 60, ""), 4: (61, 60, "x")}
