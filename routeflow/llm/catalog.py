@@ -26,6 +26,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("clean_text", 256).alias("clean_sha256"))
 
 
+def op3_line_dedup_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), scaled=True)
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("clean_text", 256).alias("clean_sha256"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_url_filter": op2_url_filter,
     "op3_line_dedup": op3_line_dedup,
+    "op3_line_dedup_scaled": op3_line_dedup_scaled,
     "op4_packing": op4_packing,
     "op5_mixing": op5_mixing,
     "op6_substring_dedup": op6_substring_dedup,

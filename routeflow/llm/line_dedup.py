@@ -14,6 +14,12 @@ an equal or matching line comes earlier anywhere in the table. Matching is not m
    group costs its size, not its square.
 4. The earliest match is verified with ``levenshtein`` on the texts and the later line removed.
 
+``scaled=True`` lets the bound grow with the line. Lines under ``SHORT_CHARS`` characters match only if equal. Lines of ten words or more
+also match if they have as many words and agree outside one of ten (from 20 words on: two of twenty) blocks of consecutive words, that
+is, outside a tenth of their words; any one (from 20 words on: any two) replaced words are found, whatever their
+length. Such lines agree in one of two (three) parts, and in the hash that leaves those blocks out; all under that hash match, so the earliest one is
+taken as in step 3. A word more or less is not a match by blocks. The default stays at one edit.
+
 Distribution: shuffles carry digests, and texts of candidates only (candidates and removed line numbers are broadcast while
 small, see ``common.small_side``, and joined beyond); hot lines collapse in the partial aggregation of step 1. A variant group holds
 distinct lines that differ in one character only, so its size is bounded by alphabet and line length.
@@ -28,9 +34,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from routeflow.llm.common import fresh_name, let, small_side, staged
+from routeflow.llm.common import SPACE, fresh_name, let, small_side, staged
 
 MAX_EDITS = 1
+#: With a scaled bound: below this length only equal lines match.
+SHORT_CHARS = 10
 
 
 #: The six white-space characters.
@@ -78,9 +86,64 @@ def _variants(line: Column, length: Column) -> Column:
     return F.concat(F.array(own), cut)
 
 
-def candidate_digests(lines: DataFrame) -> DataFrame:
+def _blocks(line: Column) -> Column:
+    """Hashes of the blocks of a line of ten words or more: ten, or twenty from 20 words on; of other lines none."""
+
+    def of(ws: Column) -> Column:
+        n = F.size(ws)
+        count = F.when(n >= 20, F.lit(20)).otherwise(F.lit(10))
+
+        def block(i: Column) -> Column:
+            start, end = (F.floor(k * n / count).cast("int") for k in (i, i + 1))
+            return F.xxhash64(n, i, F.concat_ws(" ", F.slice(ws, start + 1, end - start)))
+
+        return F.when(n >= 10, F.transform(F.sequence(F.lit(0), count - 1), block)).otherwise(F.array().cast("array<bigint>"))
+
+    return let(F.split(line, SPACE + "+"), of)
+
+
+def _parts(blocks: Column) -> Column:
+    """Keys of the halves (ten blocks) or thirds (twenty), one of which agrees if no more than one (two) blocks differ."""
+
+    def cut(*bounds: int) -> Column:
+        return F.array(*(F.xxhash64(F.lit(k), F.slice(blocks, a + 1, b - a)) for k, (a, b) in enumerate(zip(bounds, bounds[1:]))))
+
+    return F.when(F.size(blocks) == 20, cut(0, 7, 13, 20)).when(F.size(blocks) == 10, cut(0, 5, 10)).otherwise(F.array().cast("array<bigint>"))
+
+
+def _without_blocks(blocks: Column) -> Column:
+    """Hashes of the line without one (of twenty: two) of its blocks, for all choices."""
+
+    def of(every: Column) -> Column:
+        def one(h: Column, i: Column) -> Column:
+            return F.xxhash64(every.bitwiseXOR(h), i)
+
+        def two(h: Column, i: Column) -> Column:
+            after = F.slice(blocks, i + 2, F.lit(20))
+            return F.transform(after, lambda g, j: F.xxhash64(every.bitwiseXOR(h).bitwiseXOR(g), i, j))
+
+        return F.when(F.size(blocks) == 20, F.flatten(F.transform(blocks, two))).otherwise(F.transform(blocks, one))
+
+    return let(F.aggregate(blocks, F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(h)), of)
+
+
+def near_by_blocks(found: DataFrame) -> DataFrame:
+    """(digest, keeper) for distinct lines (digest, blocks, first) that have an earlier line which agrees outside a tenth of the words."""
+    emitted = found.select("digest", "first", F.explode(_without_blocks(F.col("blocks"))).alias("rest"))
+    shared = staged(emitted.groupBy("rest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("rest"), "shared-rests")
+    members = emitted.join(small_side(shared), "rest", "left_semi")
+    best = F.min(F.struct("first", "digest")).over(Window.partitionBy("rest"))
+    linked = members.select("digest", "first", best.alias("best")).where(F.col("best.first") < F.col("first"))
+    pairs = linked.select("digest", F.col("best.digest").alias("keeper")).distinct()
+    blocks = found.select("digest", "blocks")
+    both = pairs.join(blocks, "digest").join(blocks.select(F.col("digest").alias("keeper"), F.col("blocks").alias("kept")), "keeper")
+    differ = F.size(F.filter(F.zip_with("blocks", "kept", lambda a, b: a.eqNullSafe(b)), lambda x: ~x))
+    return both.where((differ * 10 <= F.size("blocks")) & (F.size("blocks") == F.size("kept"))).select("digest", "keeper")
+
+
+def candidate_digests(lines: DataFrame, halves: str = "halves") -> DataFrame:
     """Digests of distinct lines (digest, halves) that share a half with another distinct line."""
-    halves = lines.select("digest", F.explode("halves").alias("half"))
+    halves = lines.select("digest", F.explode(halves).alias("half"))
     shared = staged(halves.groupBy("half").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("half"), "shared-halves")
     return halves.join(small_side(shared), "half", "left_semi").select("digest").distinct()
 
@@ -105,16 +168,26 @@ def near_lines(found: DataFrame) -> DataFrame:
     return both.where(distance >= 0).select("digest", "keeper")
 
 
-def removed_places(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def removed_places(docs: DataFrame, text: str = "text", key: str = "doc_id", scaled: bool = False) -> DataFrame:
     """(doc, text_hash, gone): numbers, from 0, of the lines to remove of each document that loses any."""
     scanned = _places(docs, text, key)
     halves = let(F.col("line"), lambda x: _halves(x, F.length(x)))
-    places = staged(scanned.select("doc", "text_hash", "n", "digest", halves.alias("halves")), "line-places")
-    lines = staged(places.groupBy("digest").agg(F.min(_place()).alias("first"), F.first("halves").alias("halves")), "distinct-lines")
+    keys = {"halves": halves}
+    if scaled:
+        none = F.array().cast("array<bigint>")
+        keys = {"halves": F.when(F.length("line") >= SHORT_CHARS, halves).otherwise(none), "parts": let(_blocks(F.col("line")), _parts)}
+    places = staged(scanned.select("doc", "text_hash", "n", "digest", *(v.alias(k) for k, v in keys.items())), "line-places")
+    lines = staged(places.groupBy("digest").agg(F.min(_place()).alias("first"), *(F.first(k).alias(k) for k in keys)), "distinct-lines")
     candidates = staged(candidate_digests(lines), "line-candidates")
     texts = scanned.select("digest", "line").join(small_side(candidates), "digest", "left_semi").groupBy("digest").agg(F.first("line").alias("line"))
     found = staged(texts.join(lines.select("digest", "first"), "digest"), "candidate-lines")
-    near = staged(near_lines(found).select("digest"), "near-lines")
+    near = near_lines(found).select("digest")
+    if scaled:
+        alike = staged(candidate_digests(lines, "parts"), "block-candidates")
+        blocks = scanned.select("digest", "line").join(small_side(alike), "digest", "left_semi").groupBy("digest").agg(F.first(_blocks(F.col("line"))).alias("blocks"))
+        cut = staged(blocks.join(lines.select("digest", "first"), "digest"), "line-blocks")
+        near = near.unionByName(near_by_blocks(cut).select("digest")).distinct()
+    near = staged(near, "near-lines")
     # every place but the first of its line, and the first ones of lines with an earlier match
     rest = places.select("digest", _place().alias("place")).join(lines.select("digest", "first"), "digest").where(~F.col("place").eqNullSafe(F.col("first")))
     also = lines.join(small_side(near), "digest", "left_semi").select(F.col("first").alias("place"))
@@ -122,9 +195,9 @@ def removed_places(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     return gone.groupBy("doc", "text_hash").agg(F.collect_set("n").alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", scaled: bool = False) -> DataFrame:
     """``docs`` with ``clean_text`` (the lines that stay), ``n_lines`` and ``n_removed`` (lines with a word)."""
-    gone = small_side(staged(removed_places(docs, text, key), "removed-lines"))
+    gone = small_side(staged(removed_places(docs, text, key, scaled), "removed-lines"))
     mark = fresh_name("__hash", docs.columns)
     marked = docs.withColumn(mark, F.xxhash64(text))
     joined = marked.join(gone, marked[key].eqNullSafe(gone["doc"]) & (marked[mark] == gone["text_hash"]), "left")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import functions as F
 
-from routeflow.llm import common, substring_dedup
+from routeflow.llm import common, line_dedup, substring_dedup
 from routeflow.llm.common import small_side
 
 PASSAGE = " ".join(f"shared{k}" for k in range(60))
@@ -45,3 +47,41 @@ def test_long_periodic_texts_stay_out_of_automata(spark, monkeypatch):
     got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["clean_text"]) for r in substring_dedup.remove_repeats(df).collect()}
     assert built and max(built) <= 500
     assert got == {1: (3003, 3000, "a b end"), 2: (1200, 1200, ""), 3: (60, 60, ""), 4: (61, 60, "x")}
+
+
+# --- 3 ----------------------------------------------------------------------------------------------------------------
+
+
+def _agree(a, b):
+    """Whether lines agree outside one of ten blocks of words, or two of twenty."""
+    a, b = a.split(), b.split()
+    n = len(a)
+    if n != len(b) or n < 10:
+        return False
+    k = 20 if n >= 20 else 10
+    bounds = [i * n // k for i in range(k + 1)]
+    return sum(a[x:y] != b[x:y] for x, y in zip(bounds, bounds[1:])) <= k // 10
+
+
+def test_scaled_line_bound(spark):
+    rng = random.Random(3)
+    lines = []
+    for n in (3, 9, 10, 14, 19, 20, 23, 40, 77):
+        base = [f"w{rng.randrange(1000)}" for _ in range(n)]
+        lines.append(" ".join(base))
+        for changes in (1, 1, 1, 2, 2, 2, 3, 5):
+            w = list(base)
+            for at in rng.sample(range(n), min(changes, n)):
+                w[at] = f"replaced{rng.randrange(10**9)}"
+            lines.append(" ".join(w))
+        lines.append(" ".join(base) + "x")
+    lines += ["cat", "bat", "cats", "cat", "a longer line here", "a longer lime here"]
+    kept = []
+    for k, x in enumerate(lines):
+        one = lambda a, b: a == b or a + "x" == b or b + "x" == a or (len(a) == len(b) >= 10 and sum(p != q for p, q in zip(a, b)) <= 1)
+        if not any(one(x, y) or _agree(x, y) for y in lines[:k]):
+            kept.append(x)
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = [r["clean_text"] for r in line_dedup.dedup_lines(df, scaled=True).orderBy("doc_id").collect() if r["clean_text"]]
+    assert got == kept
+    assert {"cat", "bat", "cats"} <= set(got)
