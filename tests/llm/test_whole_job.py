@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import os
 import random
+import zlib
+from collections import Counter
 
+import duckdb
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from routeflow.llm import common, line_dedup, substring_dedup
+from routeflow.llm import common, line_dedup, mixing, packing, substring_dedup
 from routeflow.llm.common import small_side
+from routeflow.llm.oracle import ORACLE
+
+SF = "/root/testdata/sf0.001"
 
 PASSAGE = " ".join(f"shared{k}" for k in range(60))
 
@@ -85,3 +94,49 @@ def test_scaled_line_bound(spark):
     got = [r["clean_text"] for r in line_dedup.dedup_lines(df, scaled=True).orderBy("doc_id").collect() if r["clean_text"]]
     assert got == kept
     assert {"cat", "bat", "cats"} <= set(got)
+
+
+# --- pipeline ---------------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
+def test_pipeline_rows(spark, tmp_path):
+    """Rows of run(): documents after stages 1 to 3 by brute force, copies by mix_table, pieces by the tokenizer."""
+    import corpus_pipeline
+    from test_edges_and_brute_force import _classes, _exact
+    from tokenizers import Tokenizer
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    most = docs.agg(F.max("doc_id")).head()[0] + 1
+    long = docs.where(F.size(F.split("text", " ")) > 100)
+    copies = long.withColumn("doc_id", F.col("doc_id") + most)
+    near = long.withColumn("doc_id", F.col("doc_id") + 2 * most).withColumn("text", F.concat("text", F.lit(" tail")))
+    docs.unionByName(copies).unionByName(near).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    rows = [tuple(r) for r in docs.select("doc_id", "text", "source").collect()]
+
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    good = {i for *_, i in duck.execute(f"SELECT doc_id FROM ({ORACLE['op10_quality_rules']}) WHERE kept").fetchall()}
+    rows = [r for r in rows if r[0] in good]
+    unique = {i for i, _, _, kept, _ in _exact(rows) if kept}
+    rows = [r for r in rows if r[0] in unique]
+    left = {i for i, class_id, _ in _classes(rows) if i == class_id}
+    assert len(docs.collect()) > len(good) > len(unique) > len(left) > 0
+
+    step = docs
+    for (_, stage), ids in zip(corpus_pipeline.STAGES, (good, unique, left)):
+        step = stage(spark, step, str(tmp_path)).cache()
+        assert sorted(r["doc_id"] for r in step.select("doc_id").collect()) == sorted(ids)
+
+    copies_of = {r["doc_id"]: r["copies"] for r in mixing.mix_table(step).collect()}
+    assert set(copies_of) == left and sum(copies_of.values()) > 0
+    tokenizer = Tokenizer.from_file(packing.default_tokenizer())
+    expected = Counter()
+    for i, text, _ in rows:
+        if copies_of.get(i):
+            ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 1], "<u4")
+            for k in range(0, len(ids), 4096):
+                expected[(i, k, len(ids[k : k + 4096]), zlib.crc32(ids[k : k + 4096].tobytes()))] += copies_of[i]
+    out = corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "start", "length", "ids_crc32").collect()
+    assert Counter(map(tuple, out)) == expected
