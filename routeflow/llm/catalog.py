@@ -2,14 +2,34 @@
 
 from __future__ import annotations
 
+import sys
+import zlib
 from collections.abc import Callable
 
+from pyspark import cloudpickle
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from routeflow.llm import exact_dedup, line_dedup, mixing, near_dedup, packing, pii, quality_rules, substring_dedup, url_filter, warc
+from routeflow.llm import (
+    ann_scan,
+    exact_dedup,
+    fill_in_middle,
+    line_dedup,
+    mixing,
+    near_dedup,
+    packing,
+    periodic_runs,
+    pii,
+    quality_rules,
+    substring_dedup,
+    url_filter,
+    warc,
+)
 from routeflow.llm.common import table
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need not import this package
+
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages"))
@@ -62,6 +82,45 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_in_middle.rewrite(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    restored = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return out.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256")
+    )
+
+
+def repeat_tail(doc_id: object, words: list[str]) -> list[str]:
+    """op12's input: in documents whose id's CRC-32 is divisible by ten, the words from a drawn place on become periodic."""
+    h = zlib.crc32(("" if doc_id is None else str(doc_id)).encode())
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    unit = words[a : a + p]
+    return (words[:a] + unit * -(-(n - a) // p))[:n]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic_runs.collapse_runs(table(spark, sf_dir, "documents"), rewrite=repeat_tail)
+    best = periodic_runs.strongest(F.col("runs"))
+    return out.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        periodic_runs.digest(F.col("runs")).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_scan.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # at the repository top; it imports the operators of this subpackage
 
@@ -80,6 +139,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
     "pipeline": pipeline,
 }
 

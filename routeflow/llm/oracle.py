@@ -1,6 +1,7 @@
 """DuckDB SQL for the queries that SQL can express, written from the contracts, not from the operators.
 
-Left out: op2 (a trained model's verdict), op4, op5, op6, op7, op8 and the pipeline (tokenizer, sampling, signatures, EM);
+Left out: op2 (a trained model's verdict), op4, op5, op6, op7, op8, op12, op13 and the pipeline (tokenizer, sampling, signatures,
+EM, runs, probed lists);
 those are tested against brute force in ``tests/llm``.
 """
 
@@ -84,7 +85,22 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
-ORACLE: dict[str, str] = {"op1_warc": OP1, "op3_line_dedup": OP3, "op9_exact_dedup": OP9, "op10_quality_rules": OP10}
+OP11 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id) AS x FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS us, CAST('0x' || substr(x, 1, 8) AS BIGINT) AS h1,
+             CAST('0x' || substr(x, 9, 8) AS BIGINT) AS h2, CAST('0x' || substr(x, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(x, 25, 8) AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, len(us)::BIGINT AS n, least(h1 % (len(us) + 1), h2 % (len(us) + 1)) AS a, greatest(h1 % (len(us) + 1), h2 % (len(us) + 1)) AS b FROM u),
+p AS (SELECT doc_id, t, n, array_to_string(us[1:a], '') AS pre, array_to_string(us[a + 1:b], '') AS mid, array_to_string(us[b + 1:], '') AS suf,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+ORACLE: dict[str, str] = {"op1_warc": OP1, "op3_line_dedup": OP3, "op9_exact_dedup": OP9, "op10_quality_rules": OP10, "op11_fill_in_middle": OP11}
 
 
 def oracle_sql() -> dict[str, str]:
