@@ -21,20 +21,22 @@ from routeflow.operators import quality as Q
 from routeflow.operators import views as V
 from routeflow.operators.curate import curate
 from routeflow.plans.layers import Layers, fixture_curated, fixture_raw, load_raw_rows, new_layers
-from routeflow.schemas import CURATED_COLUMNS, LOAD_TIMESTAMP, RAW_COLUMNS, RAW_SCHEMA, SOURCE_COLUMNS, SOURCE_FILE
-from routeflow.sources.fixtures import landing_text_from_tables, routes_from_tables
+from routeflow.schemas import CURATED_COLUMNS, CURATED_SCHEMA, LOAD_TIMESTAMP, RAW_COLUMNS, RAW_SCHEMA, SOURCE_COLUMNS, SOURCE_FILE
+from routeflow.sources.fixtures import age_files, landing_text_from_tables, routes_from_tables
 from routeflow.sources.landing import (
     CSV_WRITE_OPTIONS,
     REJECT_REASON,
     REJECTED_RECORD,
     classify_landing,
+    load_history,
     load_landing,
     read_landing,
+    read_rejects,
     rejected_rows,
 )
 from routeflow.plans.pipeline import declare_layers
-from routeflow.sources.tables import age_files, insert_rows, new_load_id, read_curated, read_raw, write_layer_once
-from routeflow.streaming.incremental import create_change_stream, run_curation, run_ingest
+from routeflow.sources.tables import conform, insert_rows, new_load_id, read_curated, read_raw, stage_slice, write_layer
+from routeflow.streaming.incremental import create_change_stream, has_data, run_curation, run_ingest, stream_tag
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -50,9 +52,9 @@ def _raw_second_half(rows: DataFrame) -> DataFrame:
     return rows.where(~(F.col("codeshare") == 1) | F.col("codeshare").isNull())
 
 
-def _land_text(spark: SparkSession, sf_dir: str, layers: Layers, part: int | None = None) -> None:
+def _land_text(spark: SparkSession, sf_dir: str, layers: Layers, part: int | None = None, line_breaks: bool = False) -> None:
     """Write the fixture's landing text as CSV into the landing folder (append: one call, one batch)."""
-    text = landing_text_from_tables(spark, sf_dir)
+    text = landing_text_from_tables(spark, sf_dir, line_breaks)
     if part == 1:
         text = text.where(F.col("codeshare") == "1")
     elif part == 2:
@@ -66,7 +68,7 @@ def _land_text(spark: SparkSession, sf_dir: str, layers: Layers, part: int | Non
 def q_csv_roundtrip_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = new_layers(spark, "csv-load")
     _land_text(spark, sf_dir, layers)
-    load_landing(spark, layers.landing, layers.raw, layers.rejects, new_load_id("copy"))
+    load_landing(spark, layers.landing, layers.raw, new_load_id("copy"))
     return read_raw(spark, layers.raw).select(*SOURCE_COLUMNS)
 
 
@@ -81,8 +83,8 @@ def q_csv_rejected_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text of every rejected row, as the load keeps it."""
     layers = new_layers(spark, "csv-rejected-text")
     _land_text(spark, sf_dir, layers)
-    load_landing(spark, layers.landing, layers.raw, layers.rejects, new_load_id("copy"))
-    stored = spark.read.parquet(layers.rejects)
+    load_landing(spark, layers.landing, layers.raw, new_load_id("copy"))
+    stored = read_rejects(spark, layers.raw)
     return stored.select(*[F.get_json_object(REJECTED_RECORD, f"$.{c}").alias(c) for c in ("flight_number", "seats", "flight_date")])
 
 
@@ -91,7 +93,7 @@ def q_csv_load_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = new_layers(spark, "csv-defaults")
     _land_text(spark, sf_dir, layers)
     start = _dt.datetime.now(_dt.timezone.utc)
-    load_landing(spark, layers.landing, layers.raw, layers.rejects, new_load_id("copy"))
+    load_landing(spark, layers.landing, layers.raw, new_load_id("copy"))
     end = _dt.datetime.now(_dt.timezone.utc)
     named = F.coalesce(F.col(SOURCE_FILE).rlike(r"^part-.*\.csv$"), F.lit(False))
     stamped = F.coalesce(F.col(LOAD_TIMESTAMP).between(F.lit(start), F.lit(end)), F.lit(False))
@@ -99,6 +101,27 @@ def q_csv_load_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy(named.alias("has_file_name"), stamped.alias("stamped_by_load")).agg(F.count(F.lit(1)).alias("loaded_rows"))
 
 
+def q_csv_load_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The folder is loaded under three ids while files arrive: every file is loaded once, whatever load took it."""
+    layers = new_layers(spark, "csv-history")
+    for part in (1, 2):
+        _land_text(spark, sf_dir, layers, part=part)
+        load_landing(spark, layers.landing, layers.raw, f"copy-{part}")
+    load_landing(spark, layers.landing, layers.raw, "copy-3")
+    files = load_history(spark, layers.raw).groupBy("load_id", F.element_at(F.split("path", "/"), -1).alias(SOURCE_FILE)).count()
+    by_load = read_raw(spark, layers.raw).join(files, SOURCE_FILE).where(F.col("count") == 1)
+    return by_load.groupBy("load_id", "codeshare").agg(F.count(F.lit(1)).alias("loaded_rows"))
+
+
+def q_csv_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the files hold records over three lines; those are read whole, the others line by line."""
+    layers = new_layers(spark, "csv-breaks")
+    for part in (1, 2):
+        _land_text(spark, sf_dir, layers, part=part, line_breaks=True)
+    load_landing(spark, layers.landing, layers.raw, new_load_id("copy"))
+    return read_raw(spark, layers.raw).select(*SOURCE_COLUMNS)
+
+
 def q_manual_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = new_layers(spark, "manual-insert")
     load_raw_rows(routes_from_tables(spark, sf_dir), layers)
@@ -123,9 +146,9 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = new_layers(spark, "stream-ingest")
     ckpt = layers.checkpoint("ingest")
     _land_text(spark, sf_dir, layers, part=1)
-    run_ingest(spark, layers.landing, layers.raw, layers.rejects, ckpt)
+    run_ingest(spark, layers.landing, layers.raw, ckpt)
     _land_text(spark, sf_dir, layers, part=2)
-    run_ingest(spark, layers.landing, layers.raw, layers.rejects, ckpt)
+    run_ingest(spark, layers.landing, layers.raw, ckpt)
     return read_raw(spark, layers.raw).select(*SOURCE_COLUMNS)
 
 
@@ -165,10 +188,10 @@ def q_ingest_late_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = new_layers(spark, "stream-late-file")
     ckpt = layers.checkpoint("ingest")
     _land_text(spark, sf_dir, layers, part=1)
-    run_ingest(spark, layers.landing, layers.raw, layers.rejects, ckpt)
+    run_ingest(spark, layers.landing, layers.raw, ckpt)
     _land_text(spark, sf_dir, layers, part=2)
     age_files(spark, layers.landing, days=30)
-    run_ingest(spark, layers.landing, layers.raw, layers.rejects, ckpt)
+    run_ingest(spark, layers.landing, layers.raw, ckpt)
     return read_raw(spark, layers.raw).select(*SOURCE_COLUMNS)
 
 
@@ -177,13 +200,60 @@ def q_curate_after_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = new_layers(spark, "stream-replay")
     ckpt = layers.checkpoint("curate")
     rows = routes_from_tables(spark, sf_dir)
-    write_layer_once(rows, layers.raw, "ingest-replayed", RAW_SCHEMA)
+    write_layer(rows, layers.raw, "ingest-replayed", RAW_SCHEMA)
+    run_curation(spark, layers.raw, layers.curated, ckpt)
+    write_layer(rows, layers.raw, "ingest-replayed", RAW_SCHEMA)
+    run_curation(spark, layers.raw, layers.curated, ckpt)
+    return read_curated(spark, layers.curated).select(*CURATED_OUT)
+
+
+def q_curate_after_torn_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load and a curation batch each die between writing their slice and committing it, and are run again."""
+    layers = new_layers(spark, "stream-torn")
+    ckpt = layers.checkpoint("curate")
+    rows = routes_from_tables(spark, sf_dir)
+    stage_slice({"rows": conform(rows, RAW_SCHEMA)}, layers.raw, "ingest-torn")
+    run_curation(spark, layers.raw, layers.curated, ckpt)  # must not see it
+    write_layer(rows, layers.raw, "ingest-torn", RAW_SCHEMA)
+    stage_slice({"rows": conform(curate(read_raw(spark, layers.raw)), CURATED_SCHEMA)}, layers.curated, f"curate-{stream_tag(ckpt)}-{0:010d}")
     run_curation(spark, layers.raw, layers.curated, ckpt)
-    write_layer_once(rows, layers.raw, "ingest-replayed", RAW_SCHEMA)
+    write_layer(rows, layers.raw, "ingest-torn", RAW_SCHEMA)
     run_curation(spark, layers.raw, layers.curated, ckpt)
     return read_curated(spark, layers.curated).select(*CURATED_OUT)
 
 
+def q_stream_by_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four committed slices, taken one per micro-batch by ledger position."""
+    layers = new_layers(spark, "stream-ledger")
+    rows = routes_from_tables(spark, sf_dir)
+    for k in range(4):
+        load_raw_rows(rows.where(F.col("stops") % 4 == k), layers)
+    run_curation(spark, layers.raw, layers.curated, layers.checkpoint("curate"), max_slices_per_trigger=1)
+    return read_curated(spark, layers.curated).select(*CURATED_OUT)
+
+
+def q_has_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the conditional task would run, and the curated rows so far: declared, after a load, after a run, after another load."""
+    layers = new_layers(spark, "stream-has-data")
+    ckpt = layers.checkpoint("curate")
+    declare_layers(spark, layers)
+    rows, seen = routes_from_tables(spark, sf_dir), []
+
+    def look(step: str) -> None:
+        seen.append((step, has_data(spark, layers.raw, ckpt), read_curated(spark, layers.curated).count()))
+
+    look("1 declared")
+    load_raw_rows(_raw_first_half(rows), layers)
+    look("2 loaded")
+    run_curation(spark, layers.raw, layers.curated, ckpt)
+    look("3 curated")
+    load_raw_rows(_raw_second_half(rows), layers)
+    look("4 loaded again")
+    run_curation(spark, layers.raw, layers.curated, ckpt)
+    look("5 curated again")
+    return spark.createDataFrame(seen, "step string, has_data boolean, curated_rows long")
+
+
 def q_clean_not_empty_on_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The check on a declared curated table whose source rows all fail the required filter."""
     layers = new_layers(spark, "declared-only")
@@ -345,6 +415,8 @@ QUERIES: dict[str, QueryFn] = {
     "s_csv_rejects": q_csv_rejects,
     "s_csv_rejected_text": q_csv_rejected_text,
     "s_csv_load_defaults": q_csv_load_defaults,
+    "s_csv_load_history": q_csv_load_history,
+    "s_csv_quoted_breaks": q_csv_quoted_breaks,
     "k_manual_insert": q_manual_insert,
     "k_views_through_sql": q_views_through_sql,
     "p_curate": q_curate,
@@ -355,6 +427,9 @@ QUERIES: dict[str, QueryFn] = {
     "t_no_new_data": q_no_new_data,
     "t_ingest_late_file": q_ingest_late_file,
     "t_curate_after_replay": q_curate_after_replay,
+    "t_curate_after_torn_commit": q_curate_after_torn_commit,
+    "t_stream_by_ledger": q_stream_by_ledger,
+    "t_has_data": q_has_data,
     "a_route_summary": q_route_summary,
     "a_airline_stats": q_airline_stats,
     "a_busiest_airports": q_busiest_airports,

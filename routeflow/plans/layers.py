@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from routeflow.operators.curate import curate
 from routeflow.schemas import CURATED_SCHEMA, RAW_SCHEMA
 from routeflow.session import scratch_path
-from routeflow.sources.fixtures import routes_from_tables
+from routeflow.sources.fixtures import FIXTURE_TABLES, routes_from_tables
+from routeflow.sources.ledger import file_state
 from routeflow.sources.tables import new_load_id, read_curated, read_raw, write_layer
 
 
@@ -28,10 +28,6 @@ class Layers:
     def raw(self) -> str:
         return f"{self.root}/raw/routes"
 
-    @property
-    def rejects(self) -> str:
-        return f"{self.root}/raw/rejects"
-
     @property
     def curated(self) -> str:
         return f"{self.root}/curated/routes"
@@ -67,16 +63,16 @@ def curate_batch(spark: SparkSession, layers: Layers, load_id: str | None = None
     return write_layer(curate(read_raw(spark, layers.raw)), layers.curated, load_id or new_load_id("curate"), CURATED_SCHEMA)
 
 
-_BUILT: dict[tuple[str, str], Layers] = {}
+_BUILT: dict[tuple, Layers] = {}
 
 
 def fixture_layers(spark: SparkSession, sf_dir: str) -> Layers:
-    """Raw and curated tables built once per session from the driver tables in ``sf_dir``.
+    """Raw and curated tables built once per session from the driver tables in ``sf_dir``, and anew when their files change.
 
     Views, checks and enrichment read these tables, as they read the stored layers in production;
     the load and curation steps themselves are measured by their own queries.
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), *(file_state(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in FIXTURE_TABLES))
     layers = _BUILT.get(key)
     if layers is None:
         layers = new_layers(spark, "fixture-layers")

@@ -128,7 +128,7 @@ def with_ctes(body: str, *extra: str) -> str:
 # --- landing text and its typed load ----------------------------------------------------------
 
 
-def _landing_text_cte() -> str:
+def _landing_text_cte(line_breaks: bool = False) -> str:
     exprs = []
     for c in SOURCE_COLS:
         t = f"CAST({c} AS VARCHAR)"
@@ -138,7 +138,9 @@ def _landing_text_cte() -> str:
             t = (f"CASE WHEN _ok % 113 = 0 THEN CAST(flight_year AS VARCHAR) || '-13-' || "
                  f"lpad(CAST(day(flight_date) AS VARCHAR), 2, '0') ELSE {t} END")
         elif c == "airline_name":
-            t = f"""CASE WHEN _ok % 131 = 0 THEN 'NULL' WHEN _ok % 149 = 0 THEN _s_name || ', "Air" Inc' ELSE {t} END"""
+            three = "_s_name || chr(10) || '\"Second\", line' || chr(10) || 'third'"
+            broken = f"WHEN _ok % 151 = 0 AND codeshare = 1 THEN {three} " if line_breaks else ""
+            t = f"""CASE {broken}WHEN _ok % 131 = 0 THEN 'NULL' WHEN _ok % 149 = 0 THEN _s_name || ', "Air" Inc' ELSE {t} END"""
         elif c == "aircraft_type":
             t = f"CASE WHEN _ok % 137 = 0 THEN 'null' ELSE {t} END"
         elif c == "destination_city":
@@ -332,6 +334,14 @@ def oracle_sql() -> dict[str, str]:
         "SELECT TRUE AS has_file_name, TRUE AS stamped_by_load, count(*) AS loaded_rows FROM landing_typed WHERE reject_reason IS NULL",
         *landing_ctes(),
     )
+    sql["s_csv_load_history"] = with_ctes(
+        "SELECT 'copy-' || CASE WHEN codeshare = 1 THEN '1' ELSE '2' END AS load_id, codeshare, count(*) AS loaded_rows FROM landing_typed "
+        "WHERE reject_reason IS NULL GROUP BY codeshare",
+        *landing_ctes(),
+    )
+    sql["s_csv_quoted_breaks"] = with_ctes(
+        f"SELECT {raw_cols} FROM landing_typed WHERE reject_reason IS NULL", _landing_text_cte(line_breaks=True), _typed_landing_cte()
+    )
     sql["p_curate_inserts"] = with_ctes(f"SELECT {cur_cols} FROM curated WHERE stops > 0")
     sql["k_views_through_sql"] = with_ctes(
         "SELECT route_key, is_international, flight_count FROM (SELECT route_key, is_international, count(*) AS flight_count FROM curated "
@@ -348,6 +358,14 @@ def oracle_sql() -> dict[str, str]:
     sql["t_no_new_data"] = sql["p_curate"]
     sql["t_ingest_late_file"] = sql["s_csv_roundtrip_load"]
     sql["t_curate_after_replay"] = sql["p_curate"]
+    sql["t_curate_after_torn_commit"] = sql["p_curate"]
+    sql["t_stream_by_ledger"] = sql["p_curate"]
+    sql["t_has_data"] = with_ctes(
+        "SELECT '1 declared' AS step, FALSE AS has_data, CAST(0 AS BIGINT) AS curated_rows UNION ALL SELECT '2 loaded', TRUE, 0 "
+        "UNION ALL SELECT '3 curated', FALSE, count(*) FROM curated WHERE codeshare = 1 "
+        "UNION ALL SELECT '4 loaded again', TRUE, count(*) FROM curated WHERE codeshare = 1 "
+        "UNION ALL SELECT '5 curated again', FALSE, count(*) FROM curated"
+    )
 
     ends = ["route_key", *(f"{e}_{x}" for e in ("origin", "destination") for x in ("airport", "city", "country")),
             "is_international", "distance_category"]

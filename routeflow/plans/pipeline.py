@@ -18,7 +18,7 @@ from routeflow.operators import views as V
 from routeflow.plans.layers import Layers
 from routeflow.schemas import AUDIT_SCHEMA, CURATED_SCHEMA, RAW_SCHEMA
 from routeflow.sources.tables import ensure_layer, make_folder, read_curated, read_layer, read_raw
-from routeflow.streaming.incremental import create_change_stream, run_curation, run_ingest
+from routeflow.streaming.incremental import create_change_stream, has_data, run_curation, run_ingest
 
 
 def create_streams(spark: SparkSession, layers: Layers) -> None:
@@ -41,19 +41,21 @@ def run_once(
     classifier: E.Provider | None = None,
     summarizer: E.Provider | None = None,
     reference_audit: bool = False,
+    dashboard: str | None = "latest",
 ) -> DataFrame:
     """One end-to-end pass; returns the audit rows of this run.
 
-    ``enrich_rows`` limits the enriched table (all rows by default); a full one joins the dashboard by its latest row per key.
+    ``enrich_rows`` limits the enriched table (all rows by default). ``dashboard="latest"`` joins the newest enriched row per key, None every one.
     """
     declare_layers(spark, layers)
-    run_ingest(spark, layers.landing, layers.raw, layers.rejects, layers.checkpoint("ingest"))
-    run_curation(spark, layers.raw, layers.curated, layers.checkpoint("curate"))
+    run_ingest(spark, layers.landing, layers.raw, layers.checkpoint("ingest"))
+    if has_data(spark, layers.raw, layers.checkpoint("curate")):  # else the task is skipped
+        run_curation(spark, layers.raw, layers.curated, layers.checkpoint("curate"))
     curated, raw = read_curated(spark, layers.curated), read_raw(spark, layers.raw)
     E.write_enriched(
         E.enrich(curated, limit=enrich_rows, classifier=classifier, summarizer=summarizer), layers.enriched
     )
-    V.publish_all(curated, spark.read.parquet(layers.enriched), dedupe=None if enrich_rows else "latest")
+    V.publish_all(curated, spark.read.parquet(layers.enriched), dedupe=dashboard)
     run_id = Q.append_audit(Q.run_checks(curated, raw, reference_subset=reference_audit), layers.audit)
     audit = read_layer(spark, layers.audit, AUDIT_SCHEMA, with_load_id=True)
     mine = audit.where(audit.load_id == run_id)  # by run, however long the checks took
@@ -66,8 +68,8 @@ def start_continuous(
     """Keep ingest and curation running every ``interval``; returns the two running queries."""
     declare_layers(spark, layers)
     return [
-        run_ingest(spark, layers.landing, layers.raw, layers.rejects, layers.checkpoint("ingest"),
+        run_ingest(spark, layers.landing, layers.raw, layers.checkpoint("ingest"),
                    trigger=interval, max_files_per_trigger=max_files_per_trigger, name="routeflow_ingest"),
         run_curation(spark, layers.raw, layers.curated, layers.checkpoint("curate"),
-                     trigger=interval, max_files_per_trigger=max_files_per_trigger, name="routeflow_curate"),
+                     trigger=interval, name="routeflow_curate"),
     ]

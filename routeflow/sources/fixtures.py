@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from routeflow.schemas import SOURCE_COLUMNS, SOURCE_FILE
+from routeflow.sources.ledger import file_system
 
 FIXTURE_SOURCE_FILE = "lineitem.parquet"
+FIXTURE_TABLES = ("lineitem", "orders", "customer", "supplier", "part", "nation", "region")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -125,13 +127,13 @@ def routes_from_tables(spark: SparkSession, sf_dir: str, lineitem: DataFrame | N
     )
 
 
-def landing_text_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+def landing_text_from_tables(spark: SparkSession, sf_dir: str, line_breaks: bool = False) -> DataFrame:
     """The fixture rows as landing-file text (24 string columns, file order).
 
     Text-level defects on top of the typed ones, by fixed rules on ``l_orderkey``:
     %109 seats 'n/a' (rejected) · %113 month-13 date (rejected) · %127 seats 'N.5' (loads as N+1) ·
     %131 airline_name 'NULL' · %137 aircraft_type 'null' · %139 destination_city '' ·
-    %149 airline_name with a quoted comma and doubled quotes.
+    %149 airline_name with a quoted comma and doubled quotes. ``line_breaks`` adds: %151 on finished flights airline_name over three lines.
     """
     typed = _typed_columns()
     ok = F.col("l_orderkey")
@@ -149,12 +151,19 @@ def landing_text_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(ok % 149 == 0, F.concat(F.col("s_name"), F.lit(', "Air" Inc')))
         .otherwise(text["airline_name"])
     )
+    if line_breaks:
+        three = F.concat(F.col("s_name"), F.lit('\n"Second", line\nthird'))
+        text["airline_name"] = F.when((ok % 151 == 0) & (typed["codeshare"] == 1), three).otherwise(text["airline_name"])
     text["aircraft_type"] = F.when(ok % 137 == 0, F.lit("null")).otherwise(text["aircraft_type"])
     text["destination_city"] = F.when(ok % 139 == 0, F.lit("")).otherwise(text["destination_city"])
     return _joined_lines(spark, sf_dir).select(*[text[c].alias(c) for c in SOURCE_COLUMNS])
 
 
-def split_first(df: DataFrame) -> Column:
-    """Landing order of the fixture for incremental tests: finished flights (codeshare=1) land
-    first, open ones second. Together the two halves are the whole table."""
-    return F.col("codeshare") == F.lit(1)
+def age_files(spark: SparkSession, folder: str, days: int) -> None:
+    """Date the newest batch of files in ``folder`` back by ``days``, as a restore or a slow copy may."""
+    path, fs = file_system(spark, folder)
+    files = [f for f in fs.listStatus(path) if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
+    newest = max(f.getModificationTime() for f in files)
+    for f in files:
+        if newest - f.getModificationTime() < 1000:
+            fs.setTimes(f.getPath(), f.getModificationTime() - days * 86_400_000, -1)

@@ -1,25 +1,29 @@
-"""Layer tables on shared storage: raw, curated, enriched, rejects, audit.
+"""Layer tables on shared storage: raw (with its rejects and load history), curated, enriched, audit.
 
-A layer table is a Parquet directory partitioned by ``load_id``: every load, insert or micro-batch
-writes its own ``load_id=...`` directory. A retry replaces what an unfinished attempt left; a slice that was
-committed is never written again by a stream, so its files stay the same for all readers. Readers select the declared columns, so the storage
-column never leaks into results.
+A layer table is a folder of slices, one for every load, insert or micro-batch, and a ledger of those that are committed
+(``sources/ledger.py``). A slice holds Parquet data in one or more parts (``rows`` and, for loads, ``rejects`` and ``files``) and is published
+as a whole by one ledger entry. Readers take their folders from the ledger: what an unfinished or crashed write left behind is never
+seen, and a load id is committed once, however often the write is repeated.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from routeflow.schemas import AUDIT_SCHEMA, CURATED_SCHEMA, LOAD_ID, LOAD_TIMESTAMP, RAW_SCHEMA
-
+from routeflow.sources import ledger
 
 #: The file source forgets files this much older than the newest one; its default of 7 days loses late or restored files.
 MAX_FILE_AGE = "36500d"
 
+DATA = "data"
+ROWS = "rows"
+
 
 def new_load_id(kind: str) -> str:
     return f"{kind}-{uuid.uuid4().hex[:16]}"
@@ -29,91 +33,72 @@ def _with_load_id(schema: T.StructType) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField(LOAD_ID, T.StringType(), True)])
 
 
-def read_layer(spark: SparkSession, path: str, schema: T.StructType, with_load_id: bool = False) -> DataFrame:
-    """Batch scan of a layer table (``ensure_layer`` makes a table that has no rows yet)."""
-    df = spark.read.schema(_with_load_id(schema)).parquet(path)
+def read_slices(
+    spark: SparkSession, path: str, schema: T.StructType, folders: Sequence[str], part: str = ROWS, with_load_id: bool = False
+) -> DataFrame:
+    """The rows of the given slices of a layer table."""
+    full = _with_load_id(schema)
+    paths = [f"{path.rstrip('/')}/{DATA}/{f}/{part}" for f in folders]
+    df = spark.read.schema(full).parquet(*paths) if paths else spark.createDataFrame([], full)
     return df if with_load_id else df.select(*schema.names)
 
 
-def stream_layer(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
-    """Streaming scan of a layer table: each new file is delivered once (offsets in the checkpoint).
-
-    The storage column is part of the declared source schema, so the stream's schema is the same
-    whether or not any slice existed when it started.
-    """
-    opts = {"maxFileAge": MAX_FILE_AGE, **options}
-    df = spark.readStream.schema(_with_load_id(schema)).options(**opts).parquet(path)
-    return df.select(*schema.names)
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder exists in the file system of ``path``."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+def read_layer(spark: SparkSession, path: str, schema: T.StructType, with_load_id: bool = False) -> DataFrame:
+    """Batch scan of a layer table: its committed slices; no rows where there are none."""
+    return read_slices(spark, path, schema, [e.folder for e in ledger.live(ledger.entries(spark, path))], with_load_id=with_load_id)
 
 
 def make_folder(spark: SparkSession, path: str) -> None:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hadoop)
-
-
-def age_files(spark: SparkSession, folder: str, days: int) -> None:
-    """Date the newest batch of files in ``folder`` back by ``days``, as a restore or a slow copy may."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files = [f for f in fs.listStatus(path) if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
-    newest = max(f.getModificationTime() for f in files)
-    for f in files:
-        if newest - f.getModificationTime() < 1000:
-            fs.setTimes(f.getPath(), f.getModificationTime() - days * 86_400_000, -1)
+    hadoop, fs = ledger.file_system(spark, path)
+    fs.mkdirs(hadoop)
 
 
 def slice_committed(spark: SparkSession, path: str, load_id: str) -> bool:
-    """Whether the ``load_id`` slice was written completely (its commit marker exists)."""
-    return path_exists(spark, f"{path.rstrip('/')}/{LOAD_ID}={load_id}/_SUCCESS")
+    """Whether the ``load_id`` slice is part of the table."""
+    return ledger.holds(ledger.entries(spark, path), load_id)
 
 
-def write_layer_once(df: DataFrame, path: str, load_id: str, schema: T.StructType | None = None) -> str:
-    """``write_layer``, but a slice that was committed before is left as it is.
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` in the declared columns and order: ``load_timestamp`` defaults to the write time, any other to NULL."""
+    cols = []
+    for f in schema.fields:
+        if f.name in df.columns:
+            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+        elif f.name == LOAD_TIMESTAMP:
+            cols.append(F.current_timestamp().alias(f.name))
+        else:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+    return df.select(*cols)
 
-    A replayed micro-batch must not rewrite its slice: the new files would be new to every stream that reads the table,
-    and files under a running reader would vanish.
-    """
-    if slice_committed(df.sparkSession, path, load_id):
-        return load_id
-    return write_layer(df, path, load_id, schema)
+
+def stage_slice(parts: dict[str, DataFrame], path: str, load_id: str, prefix: str = "") -> str:
+    """Write the parts of a slice into a folder of their own, unseen until committed; returns the folder."""
+    folder = f"{prefix}{load_id}.{uuid.uuid4().hex[:8]}"
+    for name, df in parts.items():
+        df.withColumn(LOAD_ID, F.lit(load_id)).write.parquet(f"{path.rstrip('/')}/{DATA}/{folder}/{name}")
+    return folder
 
 
 def write_layer(df: DataFrame, path: str, load_id: str, schema: T.StructType | None = None) -> str:
-    """Write ``df`` as the ``load_id`` slice of a layer table (overwrite of that slice).
+    """Append ``df`` as the ``load_id`` slice of a layer table; a slice committed before is left as it is.
 
-    Missing metadata columns of ``schema`` are filled: ``load_timestamp`` with the write time, any
-    other with NULL; columns are put in declared order.
+    A replayed write (a micro-batch after a crash, a retried load) therefore adds nothing; one that crashed before its commit adds
+    its rows exactly once.
     """
-    if schema is not None:
-        cols = []
-        for f in schema.fields:
-            if f.name in df.columns:
-                cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
-            elif f.name == LOAD_TIMESTAMP:
-                cols.append(F.current_timestamp().alias(f.name))
-            else:
-                cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-        df = df.select(*cols)
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{LOAD_ID}={load_id}")
+    spark = df.sparkSession
+    if not slice_committed(spark, path, load_id):
+        ledger.commit(spark, path, load_id, stage_slice({ROWS: conform(df, schema) if schema is not None else df}, path, load_id))
     return load_id
 
 
 def reset_layer(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """Declare the table empty (``CREATE OR REPLACE``): only on an explicit reset."""
-    empty = spark.createDataFrame([], _with_load_id(schema))
-    empty.write.mode("overwrite").partitionBy(LOAD_ID).parquet(path)
+    ledger.commit(spark, path, new_load_id("reset"), "", kind=ledger.RESET)
 
 
 def ensure_layer(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """``CREATE TABLE IF NOT EXISTS``: make the table folder exist without touching existing data."""
-    empty = spark.createDataFrame([], _with_load_id(schema))
-    empty.write.mode("append").partitionBy(LOAD_ID).parquet(path)
+    """``CREATE TABLE IF NOT EXISTS``: make the table's folder exist without touching existing data."""
+    make_folder(spark, f"{path.rstrip('/')}/{ledger.LEDGER}")
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:

@@ -1,14 +1,15 @@
 """Incremental ingest (landing CSV -> raw) and curation (raw -> curated) with Structured Streaming.
 
-* A file-stream source over a layer table is the change stream: its checkpoint holds the consumed
-  offset (the files already delivered), so a rerun delivers only new files.
-* ``create_change_stream`` records the current end of the raw table in a checkpoint without
-  delivering anything: later runs on that checkpoint see only rows inserted after it.
-* Every micro-batch is written by ``foreachBatch`` into its own ``load_id=<stream>-<batch>`` slice. A batch replayed after
-  a failure leaves a slice that was committed as it is and replaces an unfinished one; rejects are written before rows. So
-  no row is lost, and none is written twice.
+* The change stream of the raw table is its ledger (``sources/ledger_stream.py``): the checkpoint holds a ledger position, a
+  micro-batch gets the slices committed after it and reads them with a Parquet scan. Uncommitted slices do not exist for it.
+* The ingest stream delivers the names of new landing files; the batch loads them like a bulk load, history included.
+* ``create_change_stream`` moves a checkpoint to the end of the raw ledger without reading any slice: later runs on that checkpoint see
+  only slices committed after it.
+* Every micro-batch commits one slice whose id is made of the stream and the batch number. Whatever step a run dies at, the replayed batch
+  either finds its id committed and adds nothing, or commits its rows for the first time.
 * ``trigger='available_now'`` processes what is waiting and stops; a run with nothing new starts no
-  batch. ``trigger='5 minutes'`` (or any interval) keeps running on that cadence.
+  batch. ``trigger='5 minutes'`` (or any interval) keeps running on that cadence. ``has_data`` tells beforehand whether a run has
+  anything to do.
 """
 
 from __future__ import annotations
@@ -18,11 +19,12 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from routeflow import fixed_values as FV
 from routeflow.operators.curate import curate
 from routeflow.schemas import CURATED_SCHEMA, RAW_SCHEMA
-from routeflow.sources.landing import classify_landing, read_landing, write_classified
-from routeflow.sources.tables import ensure_layer, stream_layer, write_layer_once
+from routeflow.sources import ledger
+from routeflow.sources.landing import list_files, load_files
+from routeflow.sources.ledger_stream import stream_slices
+from routeflow.sources.tables import ensure_layer, read_slices, write_layer
 
 
 def stream_tag(checkpoint: str) -> str:
@@ -49,23 +51,39 @@ def _run(query: StreamingQuery, trigger: str | None) -> StreamingQuery:
     return query
 
 
-def raw_changes(spark: SparkSession, raw_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The append-only change stream of the raw table (every new raw file, once)."""
-    opts = {"maxFilesPerTrigger": str(max_files_per_trigger)} if max_files_per_trigger else {}
+def raw_changes(spark: SparkSession, raw_path: str, checkpoint: str, max_slices: int | None = None) -> DataFrame:
+    """The append-only change stream of the raw table: every committed slice, once, in order of commitment."""
     ensure_layer(spark, raw_path, RAW_SCHEMA)  # a stream can start before the first load
-    return stream_layer(spark, raw_path, RAW_SCHEMA, **opts)
+    return stream_slices(spark, raw_path, ledger.consumed(spark, checkpoint), max_slices)
+
+
+def changed_rows(batch: DataFrame, raw_path: str) -> DataFrame:
+    """The raw rows of a micro-batch of ``raw_changes``: its slices (names only, bounded by ``max_slices``) read as Parquet."""
+    slices = batch.where(batch.kind == ledger.APPEND).orderBy("position").collect()
+    return read_slices(batch.sparkSession, raw_path, RAW_SCHEMA, [s["folder"] for s in slices])
+
+
+def _drain(spark: SparkSession, raw_path: str, checkpoint: str, write_batch, max_slices: int | None, name: str | None) -> StreamingQuery:
+    """Run the change stream until it has read what was committed when it began.
+
+    A run takes one batch, and after a crash that is the batch that died: so it is started again until the ledger's end is reached.
+    """
+    end = ledger.head(spark, raw_path)
+    while True:
+        writer = raw_changes(spark, raw_path, checkpoint, max_slices).writeStream.foreachBatch(write_batch)
+        query = _run(_start(writer, checkpoint, "available_now", name), "available_now")
+        if ledger.consumed(spark, checkpoint) > end:
+            return query
 
 
 def create_change_stream(spark: SparkSession, raw_path: str, checkpoint: str) -> None:
-    """Start a change stream *now*: rows already in raw are marked consumed, not delivered."""
-    q = (
-        raw_changes(spark, raw_path)
-        .writeStream.foreachBatch(lambda batch, batch_id: None)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    _run(q, "available_now")
+    """Start a change stream *now*: slices already in raw are marked consumed, not delivered."""
+    _drain(spark, raw_path, checkpoint, lambda batch, batch_id: None, None, None)
+
+
+def has_data(spark: SparkSession, raw_path: str, checkpoint: str) -> bool:
+    """Whether a curation run on this checkpoint would find new slices; starts no query."""
+    return ledger.has_data(spark, raw_path, checkpoint)
 
 
 def run_curation(
@@ -75,7 +93,7 @@ def run_curation(
     checkpoint: str,
     *,
     trigger: str | None = "available_now",
-    max_files_per_trigger: int | None = None,
+    max_slices_per_trigger: int | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
     """The incremental task: new raw rows -> filter, standardise, derive -> append to curated.
@@ -84,19 +102,20 @@ def run_curation(
     recorded. Returns the (finished, for ``available_now``) query.
     """
     tag = stream_tag(checkpoint)
-    curated = curate(raw_changes(spark, raw_path, max_files_per_trigger))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        write_layer_once(batch, curated_path, f"curate-{tag}-{batch_id:010d}", CURATED_SCHEMA)
+        write_layer(curate(changed_rows(batch, raw_path)), curated_path, f"curate-{tag}-{batch_id:010d}", CURATED_SCHEMA)
 
-    return _run(_start(curated.writeStream.foreachBatch(write_batch), checkpoint, trigger, name), trigger)
+    if trigger in (None, "available_now"):
+        return _drain(spark, raw_path, checkpoint, write_batch, max_slices_per_trigger, name)
+    changes = raw_changes(spark, raw_path, checkpoint, max_slices_per_trigger)
+    return _start(changes.writeStream.foreachBatch(write_batch), checkpoint, trigger, name)
 
 
 def run_ingest(
     spark: SparkSession,
     landing_path: str,
     raw_path: str,
-    rejects_path: str,
     checkpoint: str,
     *,
     trigger: str | None = "available_now",
@@ -104,28 +123,14 @@ def run_ingest(
     csv_options: dict[str, str] | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
-    """New landing files -> typed raw rows (+ rejects); a file already loaded is never reloaded.
-
-    The batch is read twice, in two narrow passes: rejects aside first, then loaded rows to raw.
-    """
-    opts = dict(csv_options or {})
-    if max_files_per_trigger:
-        opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
-    text = read_landing(spark, landing_path, streaming=True, options=opts)
+    """New landing files -> typed raw rows (+ rejects); a file already loaded is never reloaded."""
+    files = list_files(spark, landing_path, streaming=True, most=max_files_per_trigger)
     tag = stream_tag(checkpoint)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        write_classified(classify_landing(batch), raw_path, rejects_path, f"ingest-{tag}-{batch_id:010d}")
+        load_files(batch.sparkSession, batch.collect(), raw_path, f"ingest-{tag}-{batch_id:010d}", csv_options)
 
-    return _run(_start(text.writeStream.foreachBatch(write_batch), checkpoint, trigger, name), trigger)
+    return _run(_start(files.writeStream.foreachBatch(write_batch), checkpoint, trigger, name), trigger)
 
 
-DEFAULT_INTERVAL = FV.INCREMENTAL_INTERVAL
-__all__ = [
-    "DEFAULT_INTERVAL",
-    "create_change_stream",
-    "raw_changes",
-    "run_curation",
-    "run_ingest",
-    "stream_tag",
-]
+__all__ = ["changed_rows", "create_change_stream", "has_data", "raw_changes", "run_curation", "run_ingest", "stream_tag"]

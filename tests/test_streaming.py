@@ -48,11 +48,11 @@ def test_ingest_never_reloads_a_file(spark, fresh):
     ckpt = fresh.checkpoint("ingest")
     text = _batch(spark, "C", 4).selectExpr(*[f"cast({c} as string) as {c}" for c in SOURCE_COLUMNS])
     text.write.mode("append").options(**CSV_WRITE_OPTIONS).csv(fresh.landing)
-    run_ingest(spark, fresh.landing, fresh.raw, fresh.rejects, ckpt)
-    run_ingest(spark, fresh.landing, fresh.raw, fresh.rejects, ckpt)
+    run_ingest(spark, fresh.landing, fresh.raw, ckpt)
+    run_ingest(spark, fresh.landing, fresh.raw, ckpt)
     assert read_raw(spark, fresh.raw).count() == 4
     text.write.mode("append").options(**CSV_WRITE_OPTIONS).csv(fresh.landing)
-    run_ingest(spark, fresh.landing, fresh.raw, fresh.rejects, ckpt)
+    run_ingest(spark, fresh.landing, fresh.raw, ckpt)
     raw = read_raw(spark, fresh.raw)
     assert raw.count() == 8
     assert raw.where("source_file like 'part-%'").count() == 8
@@ -76,9 +76,9 @@ def test_processing_time_trigger_keeps_running(spark, fresh):
 
 def test_replayed_slice_is_not_rewritten(spark, fresh):
     from routeflow.schemas import RAW_SCHEMA
-    from routeflow.sources.tables import write_layer_once
+    from routeflow.sources.tables import write_layer
 
     for _ in range(2):
-        write_layer_once(_batch(spark, "R", 5), fresh.raw, "ingest-x", RAW_SCHEMA)
+        write_layer(_batch(spark, "R", 5), fresh.raw, "ingest-x", RAW_SCHEMA)
         run_curation(spark, fresh.raw, fresh.curated, fresh.checkpoint("curate"))
     assert read_raw(spark, fresh.raw).count() == read_curated(spark, fresh.curated).count() == 5
