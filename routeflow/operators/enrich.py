@@ -6,8 +6,11 @@ Providers come in two kinds:
   in the hot path): ``RuleClassifier``, ``TemplateSummarizer``.
 * **Batch providers** take a pandas Series of prompts and return a Series of outputs (e.g. a model
   client). They run as *de-duplicated inference joined back*: distinct prompts -> ``mapInPandas`` in
-  Arrow batches -> left join on the prompt. Each distinct prompt is scored once, row count is kept,
-  NULL prompts give NULL.
+  Arrow batches -> left join on a digest of the prompt, so prompt texts are shuffled once, for the scoring. Each distinct
+  prompt is scored once, row count is kept, NULL prompts give NULL.
+
+With a **memo**, a layer table of prompt digests and answers, only prompts that no earlier run has an answer for are scored. A prompt
+whose scoring fails is kept there with its error, gives NULL, and is tried again by the next run.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from routeflow import fixed_values as FV
 from routeflow.functions import columns as C
 from routeflow.schemas import ENRICHED_COLUMNS
 from routeflow.session import shared_root
+from routeflow.sources import ledger
+from routeflow.sources.tables import new_load_id, read_layer, read_slices, stage_slice
 
 ENRICH_BASE_COLUMNS = tuple(c for c in ENRICHED_COLUMNS if c not in ("route_classification", "route_summary", "enriched_at"))
 NUMERIC_PLACEHOLDERS = ("distance_km", "seats")
@@ -128,49 +133,51 @@ class BatchProvider:
     ``partitions`` is the number of scoring tasks (default: the session's shuffle partitions, not coalesced).
     ``field`` names the member to read when the provider answers with a JSON object per prompt
     (e.g. ``{"label": "DOMESTIC_SHORT"}`` read at ``label``) instead of plain text.
+
+    ``memo`` is the path of a memo table. Answers are kept per ``name`` (what ``fn`` is; part of the key), model and prompt.
     """
 
     def __init__(self, fn: Callable[..., pd.Series], batch_size: int = 512, partitions: int | None = None,
-                 field: str | None = None, model: str | None = None):
+                 field: str | None = None, model: str | None = None, memo: str | None = None, name: str = ""):
         self.fn = fn
         self.batch_size = batch_size
         self.partitions = partitions
         self.field = field
         self.model = model
+        self.memo = memo
+        self.name = name
+
+    def digest(self, prompt: Column) -> Column:
+        return F.sha2(F.to_json(F.array(F.lit(self.name), F.lit(self.model or ""), prompt)), 256)
 
 
-def prompt_rule_provider(as_json: bool = False) -> Callable[[pd.Series], pd.Series]:
-    """A text function over classification prompts: the rule of ``RuleClassifier`` on what the prompt says.
+def keyword_scorer(labels: Sequence[str]) -> Callable[[pd.Series], pd.Series]:
+    """A batch function over any texts: the label of which the largest share of words (split at ``_``) occurs in the text.
 
-    Nested, so that it travels by value and workers need not import this package.
+    The first of equals; None if no word of any label occurs. Nested, so that it travels by value and workers need not import this package.
     """
-    short, regional = FV.DISTANCE_CATEGORIES[0][0], FV.DISTANCE_CATEGORIES[1][0]
-    dom_short, dom_long, intl_regional, intl_long = FV.ROUTE_LABELS
-
-    def labels_of(prompts: pd.Series) -> pd.Series:
-        import json
-
-        parts = prompts.str.extract(r"^Route from (.*), (.*) to (.*), (.*)\. Distance: (-?[0-9.]+) km\.$")
-        intl = parts[1].str.strip() != parts[3].str.strip()
-        dist = pd.to_numeric(parts[4], errors="coerce")
-        label = pd.Series(intl_long, index=prompts.index, dtype=object)
-        label[intl & (dist < regional)] = intl_regional
-        label[~intl] = dom_long
-        label[~intl & (dist < short)] = dom_short
-        label[parts[4].isna()] = None
-        return label.map(lambda x: json.dumps({"label": x})) if as_json else label
+    parts = [(label, [w for w in label.lower().split("_") if w]) for label in labels]
+
+    def labels_of(texts: pd.Series) -> pd.Series:
+        lower = texts.str.lower()
+        share = pd.DataFrame({label: sum(lower.str.contains(w, regex=False).astype(int) for w in ws) / max(1, len(ws)) for label, ws in parts})
+        return share.idxmax(axis=1).where(share.max(axis=1) > 0, None)
 
     return labels_of
 
 
-def prompt_tail_provider() -> Callable[[pd.Series], pd.Series]:
-    """A text function over summary prompts: the description without the instruction in front."""
-    head = FV.SUMMARY_PROMPT_TEMPLATE[0]
+#: What ``fact_lister`` picks out, by model name: numbers, and capitalised names of one or more words.
+FACT_MODELS = {"numbers": r"[0-9]+", "names": r"[A-Z][A-Za-z]*(?: [A-Z][A-Za-z]*)*"}
+
+
+def fact_lister(separator: str = "; ") -> Callable[[pd.Series, str], pd.Series]:
+    """A batch function over any texts: the facts of the kind its model names, in order."""
+    models = dict(FACT_MODELS)
 
-    def tail_of(prompts: pd.Series, model: str | None = None) -> pd.Series:
-        return prompts.where(~prompts.str.startswith(head), prompts.str.slice(len(head)))
+    def facts_of(texts: pd.Series, model: str) -> pd.Series:
+        return texts.str.findall(models[model]).str.join(separator)
 
-    return tail_of
+    return facts_of
 
 
 Provider = RuleClassifier | KeywordClassifier | TemplateSummarizer | BatchProvider
@@ -179,28 +186,85 @@ Provider = RuleClassifier | KeywordClassifier | TemplateSummarizer | BatchProvid
 # --- operators ------------------------------------------------------------------------------
 
 
-def apply_batch_provider(df: DataFrame, prompt_col: Column, provider: BatchProvider, output: str) -> DataFrame:
-    """Score each distinct prompt once in Arrow batches and join the result back (row count kept)."""
-    key = "_prompt"
-    with_prompt = df.withColumn(key, prompt_col)
-    asked = with_prompt.where(F.col(key).isNotNull())
-    # Dealt round-robin into a given number, which AQE neither merges nor drops: slow providers are called by that many tasks.
-    tasks = provider.partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    distinct = asked.select(key).distinct().repartition(tasks)
+#: Rows of a memo table: an answer, or the error of a prompt that has none yet.
+MEMO_SCHEMA = T.StructType([T.StructField(n, T.StringType(), True) for n in ("digest", "answer", "error")])
+
+
+def _scorer(provider: BatchProvider) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     fn, size, extra = provider.fn, provider.batch_size, () if provider.model is None else (provider.model,)
+    keep_errors = provider.memo is not None
+
+    def answers(prompts: pd.Series) -> pd.Series:
+        return pd.Series(fn(prompts, *extra)).astype(object).reset_index(drop=True)
+
+    def one_by_one(prompts: pd.Series) -> tuple[list, list]:
+        out, errors = [], []
+        for k in range(len(prompts)):
+            try:
+                out.append(answers(prompts.iloc[k : k + 1].reset_index(drop=True)).iloc[0])
+                errors.append(None)
+            except Exception as error:  # whatever a provider raises is kept with its prompt
+                out.append(None)
+                errors.append(f"{type(error).__name__}: {error}")
+        return out, errors
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for start in range(0, len(pdf), size):
-                prompts = pdf["_prompt"].iloc[start : start + size].reset_index(drop=True)
-                yield pd.DataFrame({"_prompt": prompts, "_out": pd.Series(fn(prompts, *extra)).astype(object).values})
+                part = pdf.iloc[start : start + size].reset_index(drop=True)
+                try:
+                    out, errors = answers(part["prompt"]), None
+                except Exception:
+                    if not keep_errors:
+                        raise
+                    out, errors = one_by_one(part["prompt"])
+                yield pd.DataFrame({"digest": part["digest"], "answer": out, "error": errors}, dtype=object)
+
+    return score
+
 
-    scored = distinct.mapInPandas(score, "_prompt string, _out string")
-    answer = F.get_json_object(F.col("_out"), f"$.{provider.field}") if provider.field else F.col("_out")
-    scored = scored.select(key, answer.alias(output))
+def _scored(prompts: DataFrame, provider: BatchProvider) -> DataFrame:
+    """(digest, answer, error) of distinct (digest, prompt) rows, by the stated number of tasks.
+
+    Dealt round-robin into a given number, which AQE neither merges nor drops: slow providers are called by that many tasks.
+    """
+    tasks = provider.partitions or int(prompts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return prompts.repartition(tasks).mapInPandas(_scorer(provider), MEMO_SCHEMA)
+
+
+def memo_answers(spark, memo: str) -> DataFrame:
+    """(digest, answer) of the prompts a memo table has an answer for; the smallest where runs that met have scored one twice."""
+    return read_layer(spark, memo, MEMO_SCHEMA).where(F.col("error").isNull()).groupBy("digest").agg(F.min("answer").alias("answer"))
+
+
+def score_unseen(prompts: DataFrame, provider: BatchProvider) -> int:
+    """Score the prompts (digest, prompt) that the memo has no answer for and commit the results to it; returns how many were scored."""
+    spark = prompts.sparkSession
+    known = read_layer(spark, provider.memo, MEMO_SCHEMA).where(F.col("error").isNull()).select("digest").distinct()
+    load_id = new_load_id("memo")
+    folder = stage_slice({"rows": _scored(prompts.join(known, "digest", "left_anti"), provider)}, provider.memo, load_id)
+    count = read_slices(spark, provider.memo, MEMO_SCHEMA, [folder]).count()
+    if count:
+        ledger.commit(spark, provider.memo, load_id, folder)
+    return count
+
+
+def apply_batch_provider(df: DataFrame, prompt_col: Column, provider: BatchProvider, output: str) -> DataFrame:
+    """Score each distinct prompt once in Arrow batches and join the result back (row count kept)."""
+    key = "_digest"
+    with_key = df.withColumn(key, F.when(prompt_col.isNotNull(), provider.digest(prompt_col)))
+    prompts = df.select(prompt_col.alias("prompt")).where(F.col("prompt").isNotNull()).select(provider.digest(F.col("prompt")).alias("digest"), "prompt")
+    distinct = prompts.groupBy("digest").agg(F.first("prompt").alias("prompt"))
+    if provider.memo is None:
+        scored = _scored(distinct, provider)
+    else:
+        score_unseen(distinct, provider)
+        scored = memo_answers(df.sparkSession, provider.memo)
+    answer = F.get_json_object(F.col("answer"), f"$.{provider.field}") if provider.field else F.col("answer")
+    scored = scored.select(F.col("digest").alias(key), answer.alias(output))
     # Rows without a prompt stay out of the join, where they would all meet in one partition.
-    unasked = with_prompt.where(F.col(key).isNull()).withColumn(output, F.lit(None).cast(T.StringType()))
-    return asked.join(scored, key, "left").drop(key).unionByName(unasked.drop(key))
+    unasked = with_key.where(F.col(key).isNull()).withColumn(output, F.lit(None).cast(T.StringType()))
+    return with_key.where(F.col(key).isNotNull()).join(scored, key, "left").drop(key).unionByName(unasked.drop(key))
 
 
 def classify(

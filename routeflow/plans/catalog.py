@@ -302,9 +302,34 @@ def q_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.classify(E.sample(fixture_curated(spark, sf_dir), None))
 
 
+#: The batched classification labels routes by these countries.
+COUNTRY_LABELS = ("UNITED_STATES", "UNITED_KINGDOM", "SAUDI_ARABIA", "CHINA")
+
+
+def _country_provider(memo: str | None = None) -> E.BatchProvider:
+    return E.BatchProvider(E.keyword_scorer(COUNTRY_LABELS), memo=memo, name="countries")
+
+
 def q_classify_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    provider = E.BatchProvider(E.prompt_rule_provider(as_json=True), field="label")
-    return E.classify(E.sample(fixture_curated(spark, sf_dir), None), provider=provider)
+    return E.classify(E.sample(fixture_curated(spark, sf_dir), None), provider=_country_provider(), labels=COUNTRY_LABELS)
+
+
+def q_classify_memo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Finished flights are labelled first, then all: the second run scores only prompts it has not seen."""
+    memo = f"{new_layers(spark, 'memo').root}/ai/answers"
+    rows = fixture_curated(spark, sf_dir)
+    E.classify(E.sample(_raw_first_half(rows), None), provider=_country_provider(memo), labels=COUNTRY_LABELS)
+    return E.classify(E.sample(rows, None), provider=_country_provider(memo), labels=COUNTRY_LABELS)
+
+
+def q_memo_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompts the provider is called for by each of three runs; the last sees no new one."""
+    memo = f"{new_layers(spark, 'memo-calls').root}/ai/answers"
+    provider, rows, calls = _country_provider(memo), fixture_curated(spark, sf_dir), []
+    for run, part in enumerate((_raw_first_half(rows), rows, rows), start=1):
+        prompts = part.select(E.classify_prompt().alias("prompt")).where("prompt IS NOT NULL").distinct()
+        calls.append((run, E.score_unseen(prompts.select(provider.digest(F.col("prompt")).alias("digest"), "prompt"), provider)))
+    return spark.createDataFrame(calls, "run int, prompts_scored long")
 
 
 def q_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,7 +337,7 @@ def q_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_complete_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    provider = E.BatchProvider(E.prompt_tail_provider(), model=FV.COMPLETION_MODEL)
+    provider = E.BatchProvider(E.fact_lister(), model="names")
     return E.complete(E.sample(fixture_curated(spark, sf_dir), None), provider=provider)
 
 
@@ -437,6 +462,8 @@ QUERIES: dict[str, QueryFn] = {
     "e_prompts": q_prompts,
     "e_classify": q_classify,
     "e_classify_batched": q_classify_batched,
+    "e_classify_memo": q_classify_memo,
+    "e_memo_calls": q_memo_calls,
     "e_complete": q_complete,
     "e_complete_batched": q_complete_batched,
     "e_enriched_table": q_enriched_table,

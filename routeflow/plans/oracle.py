@@ -211,7 +211,7 @@ TEMPLATE_SUMMARY = (
     " || ' to ' || destination_city || ' (' || destination_country || '), ' || " + _num("distance_km") +
     " || ' km with ' || " + _num("seats") + " || ' seats on a ' || aircraft_type || '.' END"
 )
-ECHO_SUMMARY = f"substr({SUMMARY_PROMPT}, {len(FV.SUMMARY_PROMPT_TEMPLATE[0]) + 1})"
+NAMES_IN_SUMMARY = f"array_to_string(regexp_extract_all({SUMMARY_PROMPT}, '[A-Z][A-Za-z]*(?: [A-Z][A-Za-z]*)*'), '; ')"
 
 
 def _enriched_cte(name: str, limit: int | None) -> str:
@@ -398,9 +398,21 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT {base}, {CLASSIFY_PROMPT} AS classify_prompt, {SUMMARY_PROMPT} AS summary_prompt FROM curated"
     )
     sql["e_classify"] = with_ctes(f"SELECT {base}, {_rule_label()} AS route_classification FROM curated")
-    sql["e_classify_batched"] = sql["e_classify"]
+    by_country = {c: " + ".join(f"contains(p, '{w}')::INT" for w in c.lower().split("_")) for c in ("UNITED_STATES", "UNITED_KINGDOM", "SAUDI_ARABIA", "CHINA")}
+    shares = {c: f"(({x}) / {len(c.split('_'))})" for c, x in by_country.items()}
+    best = f"greatest({', '.join(shares.values())})"
+    picked = " ".join(f"WHEN {x} = {best} THEN '{c}'" for c, x in shares.items())
+    sql["e_classify_batched"] = with_ctes(
+        f"SELECT {base}, CASE WHEN {best} = 0 THEN NULL {picked} END AS route_classification FROM (SELECT *, lower({CLASSIFY_PROMPT}) AS p FROM curated)"
+    )
+    sql["e_classify_memo"] = sql["e_classify_batched"]
+    sql["e_memo_calls"] = with_ctes(
+        "SELECT 1 AS run, count(DISTINCT p) FILTER (WHERE codeshare = 1) AS prompts_scored FROM asked UNION ALL "
+        "SELECT 2, count(DISTINCT p) - count(DISTINCT p) FILTER (WHERE codeshare = 1) FROM asked UNION ALL SELECT 3, 0",
+        f"asked AS (SELECT codeshare, {CLASSIFY_PROMPT} AS p FROM curated)",
+    )
     sql["e_complete"] = with_ctes(f"SELECT {base}, {TEMPLATE_SUMMARY} AS route_summary FROM curated")
-    sql["e_complete_batched"] = with_ctes(f"SELECT {base}, {ECHO_SUMMARY} AS route_summary FROM curated")
+    sql["e_complete_batched"] = with_ctes(f"SELECT {base}, {NAMES_IN_SUMMARY} AS route_summary FROM curated")
     sql["e_enriched_table"] = with_ctes(
         f"SELECT {base}, route_classification, route_summary FROM enriched",
         _enriched_cte("enriched", FV.ENRICH_SAMPLE_ROWS),

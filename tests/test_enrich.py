@@ -5,6 +5,24 @@ from routeflow.operators import enrich as E
 from routeflow.operators.curate import curate
 
 
+def rule_on_prompts():
+    """A stand-in for a model: the route rule on what the prompt says."""
+
+    def labels_of(prompts):
+        import pandas as pd
+
+        parts = prompts.str.extract(r"^Route from (.*), (.*) to (.*), (.*)\. Distance: (-?[0-9.]+) km\.$")
+        intl, dist = parts[1].str.strip() != parts[3].str.strip(), pd.to_numeric(parts[4], errors="coerce")
+        label = pd.Series("INTERNATIONAL_LONG_HAUL", index=prompts.index, dtype=object)
+        label[intl & (dist < 4000)] = "INTERNATIONAL_REGIONAL"
+        label[~intl] = "DOMESTIC_LONG"
+        label[~intl & (dist < 1500)] = "DOMESTIC_SHORT"
+        label[parts[4].isna()] = None
+        return label
+
+    return labels_of
+
+
 def _cur(spark, rows):
     return curate(routes_df(spark, rows))
 
@@ -28,10 +46,10 @@ def test_batch_provider_matches_rule_provider(spark):
             route_row(distance_km=3000.0), route_row(), route_row(distance_km=None), route_row()]
     cur = _cur(spark, rows)
     a = sorted(map(tuple, E.classify(cur).select("distance_km", "route_classification").collect()), key=str)
-    b = sorted(map(tuple, E.classify(cur, provider=E.BatchProvider(E.prompt_rule_provider(), batch_size=2))
+    b = sorted(map(tuple, E.classify(cur, provider=E.BatchProvider(rule_on_prompts(), batch_size=2))
                    .select("distance_km", "route_classification").collect()), key=str)
     assert a == b
-    assert E.classify(cur, provider=E.BatchProvider(E.prompt_rule_provider())).count() == 6
+    assert E.classify(cur, provider=E.BatchProvider(rule_on_prompts())).count() == 6
 
 
 def test_batch_provider_sees_each_prompt_once(spark):
@@ -92,3 +110,57 @@ def test_provider_runs_in_several_tasks_with_its_model_and_without_null_prompts(
     rows = out.groupBy("o").count().collect()
     assert sum(r["count"] for r in rows) == 400 and {r["o"] for r in rows if r["o"]} >= {"m:0", "m:1"}
     assert {r["o"]: r["count"] for r in rows}[None] == 200
+
+
+def test_memo_scores_only_unseen_prompts_and_retries_failures(spark, fresh):
+    from pyspark.sql import functions as F
+
+    from routeflow.sources import ledger
+    from routeflow.sources.tables import read_layer
+
+    memo = f"{fresh.root}/ai/answers"
+
+    def upper(prompts):
+        if prompts.str.contains("bad").any():
+            raise ValueError("refused")
+        return prompts.str.upper()
+
+    def ask(words, fn=upper, model=None):
+        df = spark.createDataFrame([(w,) for w in words], "p string")
+        out = E.complete(df, F.col("p"), E.BatchProvider(fn, memo=memo, name="upper", partitions=2), output="o")
+        return sorted(((r["p"], r["o"]) for r in out.collect()), key=str)
+
+    assert ask(["a", "b", "a", None]) == [("a", "A"), ("a", "A"), ("b", "B"), (None, None)]
+    assert read_layer(spark, memo, E.MEMO_SCHEMA).count() == 2
+
+    def never(prompts):
+        raise AssertionError("called")
+
+    assert ask(["a", "b", "b"], never) == [("a", "A"), ("b", "B"), ("b", "B")]
+    assert len(ledger.entries(spark, memo)) == 1  # a run without new prompts commits nothing
+    assert ask(["a", "bad one", "c"]) == [("a", "A"), ("bad one", None), ("c", "C")]
+    failed = read_layer(spark, memo, E.MEMO_SCHEMA).where("error is not null").collect()
+    assert [r["error"] for r in failed] == ["ValueError: refused"]
+    assert ask(["bad one", "c"], lambda s: s.str.title()) == [("bad one", "Bad One"), ("c", "C")]
+    other = E.BatchProvider(upper, memo=memo, name="other")
+    prompts = spark.createDataFrame([("a",)], "prompt string")
+    assert E.score_unseen(prompts.select(other.digest(F.col("prompt")).alias("digest"), "prompt"), other) == 1  # another provider's answers do not count
+
+
+def test_errors_without_a_memo_stop_the_job(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    def fail(prompts):
+        raise ValueError("refused")
+
+    with pytest.raises(Exception, match="refused"):
+        E.complete(spark.createDataFrame([("a",)], "p string"), F.col("p"), E.BatchProvider(fail), output="o").collect()
+
+
+def test_fact_lister_uses_its_model(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([("Flight AA100 from New York to Paris, 5541 km",)], "p string")
+    for model, want in (("numbers", "100; 5541"), ("names", "Flight AA; New York; Paris")):
+        assert E.complete(df, F.col("p"), E.BatchProvider(E.fact_lister(), model=model), output="o").first()["o"] == want

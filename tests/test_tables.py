@@ -1,6 +1,7 @@
 import json
 
 from conftest import route_row, routes_df
+from test_enrich import rule_on_prompts
 
 from routeflow import fixed_values as FV
 from routeflow.operators import enrich as E
@@ -37,8 +38,10 @@ def test_published_views_answer_sql(spark):
 def test_provider_answering_json_objects(spark):
     cur = curate(routes_df(spark, [route_row(), route_row(destination_country="USA", distance_km=100.0)]))
 
+    labels = rule_on_prompts()  # nested, so it travels by value
+
     def as_objects(prompts):
-        return E.prompt_rule_provider()(prompts).map(lambda x: json.dumps({"label": x, "score": 0.9}))
+        return labels(prompts).map(lambda x: json.dumps({"label": x, "score": 0.9}))
 
     got = E.classify(cur, provider=E.BatchProvider(as_objects, field="label")).select("route_classification").collect()
     assert sorted(r[0] for r in got) == ["DOMESTIC_SHORT", "INTERNATIONAL_LONG_HAUL"]
