@@ -20,11 +20,10 @@ from routeflow.operators import enrich as E
 from routeflow.operators import quality as Q
 from routeflow.operators import views as V
 from routeflow.operators.curate import curate
-from routeflow.plans.layers import Layers, fixture_curated, fixture_raw, load_raw_rows, new_layers
+from routeflow.plans.layers import Layers, fixture_curated, fixture_landing, fixture_raw, fixture_rows, land_files, load_raw_rows, new_layers
 from routeflow.schemas import CURATED_COLUMNS, CURATED_SCHEMA, LOAD_TIMESTAMP, RAW_COLUMNS, RAW_SCHEMA, SOURCE_COLUMNS, SOURCE_FILE
-from routeflow.sources.fixtures import age_files, landing_text_from_tables, routes_from_tables
+from routeflow.sources.fixtures import age_files
 from routeflow.sources.landing import (
-    CSV_WRITE_OPTIONS,
     REJECT_REASON,
     REJECTED_RECORD,
     classify_landing,
@@ -53,13 +52,10 @@ def _raw_second_half(rows: DataFrame) -> DataFrame:
 
 
 def _land_text(spark: SparkSession, sf_dir: str, layers: Layers, part: int | None = None, line_breaks: bool = False) -> None:
-    """Write the fixture's landing text as CSV into the landing folder (append: one call, one batch)."""
-    text = landing_text_from_tables(spark, sf_dir, line_breaks)
-    if part == 1:
-        text = text.where(F.col("codeshare") == "1")
-    elif part == 2:
-        text = text.where(~(F.col("codeshare") == "1") | F.col("codeshare").isNull())
-    text.write.mode("append").options(**CSV_WRITE_OPTIONS).csv(layers.landing)
+    """Let the stored landing files of the fixture (one part or both) arrive in the landing folder."""
+    source = fixture_landing(spark, sf_dir, line_breaks)
+    for k in (part,) if part else (1, 2):
+        land_files(spark, source, layers, k)
 
 
 # --- sources / sinks --------------------------------------------------------------------------
@@ -124,7 +120,7 @@ def q_csv_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_manual_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = new_layers(spark, "manual-insert")
-    load_raw_rows(routes_from_tables(spark, sf_dir), layers)
+    load_raw_rows(fixture_rows(spark, sf_dir), layers)
     insert_rows(spark, layers.raw, [FV.SMOKE_ROW], RAW_SCHEMA, source_file=FV.SMOKE_SOURCE_FILE)
     return read_raw(spark, layers.raw).select(*RAW_OUT)
 
@@ -155,7 +151,7 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_curate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = new_layers(spark, "stream-curate-all")
     ckpt = layers.checkpoint("curate")
-    rows = routes_from_tables(spark, sf_dir)
+    rows = fixture_rows(spark, sf_dir)
     load_raw_rows(_raw_first_half(rows), layers)
     run_curation(spark, layers.raw, layers.curated, ckpt)
     load_raw_rows(_raw_second_half(rows), layers)
@@ -166,7 +162,7 @@ def q_stream_curate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_curate_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = new_layers(spark, "stream-curate-new")
     ckpt = layers.checkpoint("curate")
-    rows = routes_from_tables(spark, sf_dir)
+    rows = fixture_rows(spark, sf_dir)
     load_raw_rows(_raw_first_half(rows), layers)
     create_change_stream(spark, layers.raw, ckpt)
     load_raw_rows(_raw_second_half(rows), layers)
@@ -177,7 +173,7 @@ def q_stream_curate_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_no_new_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = new_layers(spark, "stream-no-new-data")
     ckpt = layers.checkpoint("curate")
-    load_raw_rows(routes_from_tables(spark, sf_dir), layers)
+    load_raw_rows(fixture_rows(spark, sf_dir), layers)
     run_curation(spark, layers.raw, layers.curated, ckpt)
     run_curation(spark, layers.raw, layers.curated, ckpt)
     return read_curated(spark, layers.curated).select(*CURATED_OUT)
@@ -199,7 +195,7 @@ def q_curate_after_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every raw slice is delivered again after it was curated, as after a crash before the stream's commit."""
     layers = new_layers(spark, "stream-replay")
     ckpt = layers.checkpoint("curate")
-    rows = routes_from_tables(spark, sf_dir)
+    rows = fixture_rows(spark, sf_dir)
     write_layer(rows, layers.raw, "ingest-replayed", RAW_SCHEMA)
     run_curation(spark, layers.raw, layers.curated, ckpt)
     write_layer(rows, layers.raw, "ingest-replayed", RAW_SCHEMA)
@@ -211,7 +207,7 @@ def q_curate_after_torn_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A load and a curation batch each die between writing their slice and committing it, and are run again."""
     layers = new_layers(spark, "stream-torn")
     ckpt = layers.checkpoint("curate")
-    rows = routes_from_tables(spark, sf_dir)
+    rows = fixture_rows(spark, sf_dir)
     stage_slice({"rows": conform(rows, RAW_SCHEMA)}, layers.raw, "ingest-torn")
     run_curation(spark, layers.raw, layers.curated, ckpt)  # must not see it
     write_layer(rows, layers.raw, "ingest-torn", RAW_SCHEMA)
@@ -225,7 +221,7 @@ def q_curate_after_torn_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_by_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four committed slices, taken one per micro-batch by ledger position."""
     layers = new_layers(spark, "stream-ledger")
-    rows = routes_from_tables(spark, sf_dir)
+    rows = fixture_rows(spark, sf_dir)
     for k in range(4):
         load_raw_rows(rows.where(F.col("stops") % 4 == k), layers)
     run_curation(spark, layers.raw, layers.curated, layers.checkpoint("curate"), max_slices_per_trigger=1)
@@ -237,7 +233,7 @@ def q_has_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = new_layers(spark, "stream-has-data")
     ckpt = layers.checkpoint("curate")
     declare_layers(spark, layers)
-    rows, seen = routes_from_tables(spark, sf_dir), []
+    rows, seen = fixture_rows(spark, sf_dir), []
 
     def look(step: str) -> None:
         seen.append((step, has_data(spark, layers.raw, ckpt), read_curated(spark, layers.curated).count()))

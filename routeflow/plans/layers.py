@@ -5,13 +5,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from routeflow.operators.curate import curate
-from routeflow.schemas import CURATED_SCHEMA, RAW_SCHEMA
+from routeflow.schemas import CURATED_SCHEMA, LOAD_TIMESTAMP, RAW_SCHEMA
 from routeflow.session import scratch_path
-from routeflow.sources.fixtures import FIXTURE_TABLES, routes_from_tables
-from routeflow.sources.ledger import file_state
-from routeflow.sources.tables import new_load_id, read_curated, read_raw, write_layer
+from routeflow.sources.fixtures import FIXTURE_TABLES, landing_text_from_tables, routes_from_tables
+from routeflow.sources.landing import CSV_WRITE_OPTIONS
+from routeflow.sources.ledger import file_state, file_system
+from routeflow.sources.tables import make_folder, new_load_id, read_curated, read_raw, write_layer
 
 
 @dataclass(frozen=True)
@@ -66,13 +68,18 @@ def curate_batch(spark: SparkSession, layers: Layers, load_id: str | None = None
 _BUILT: dict[tuple, Layers] = {}
 
 
+def _input_key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
+    files = (file_state(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in FIXTURE_TABLES)
+    return (what, spark.sparkContext.applicationId, sf_dir.rstrip("/"), *files)
+
+
 def fixture_layers(spark: SparkSession, sf_dir: str) -> Layers:
     """Raw and curated tables built once per session from the driver tables in ``sf_dir``, and anew when their files change.
 
     Views, checks and enrichment read these tables, as they read the stored layers in production;
     the load and curation steps themselves are measured by their own queries.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), *(file_state(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in FIXTURE_TABLES))
+    key = _input_key(spark, sf_dir, "layers")
     layers = _BUILT.get(key)
     if layers is None:
         layers = new_layers(spark, "fixture-layers")
@@ -88,3 +95,34 @@ def fixture_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fixture_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_curated(spark, fixture_layers(spark, sf_dir).curated)
+
+
+def fixture_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored raw rows without their load time, as a load would bring them."""
+    return fixture_raw(spark, sf_dir).drop(LOAD_TIMESTAMP)
+
+
+def fixture_landing(spark: SparkSession, sf_dir: str, line_breaks: bool = False) -> Layers:
+    """Landing CSV built once per session: ``landing/1`` holds the finished flights, ``landing/2`` the others."""
+    key = _input_key(spark, sf_dir, f"landing-{line_breaks}")
+    layers = _BUILT.get(key)
+    if layers is None:
+        layers = new_layers(spark, "fixture-landing")
+        text = landing_text_from_tables(spark, sf_dir, line_breaks)
+        finished = F.coalesce(F.col("codeshare") == "1", F.lit(False))
+        for part, rows in ((1, text.where(finished)), (2, text.where(~finished))):
+            rows.write.options(**CSV_WRITE_OPTIONS).csv(f"{layers.landing}/{part}")
+        _BUILT[key] = layers
+    return layers
+
+
+def land_files(spark: SparkSession, source: Layers, target: Layers, part: int) -> None:
+    """Let the files of one part of a stored landing arrive in the landing folder of ``target``."""
+    make_folder(spark, target.landing)
+    folder, fs = file_system(spark, f"{source.landing}/{part}")
+    landing, _ = file_system(spark, target.landing)
+    copy = spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for f in fs.listStatus(folder):
+        if not f.getPath().getName().startswith(("_", ".")):
+            copy(fs, f.getPath(), fs, landing, False, False, conf)
