@@ -200,7 +200,7 @@ def trace_check(curated: DataFrame, raw: DataFrame, check: Check = CURATED_TRACE
 RESULT_COLUMNS = ("check_id", "check_name", "layer", "result", "actual_count", "expected_min", "expected_max", "message")
 
 
-def _rows_from_counts(counts: DataFrame, checks: Sequence[Check], with_bounds: bool = True) -> DataFrame:
+def rows_from_counts(counts: DataFrame, checks: Sequence[Check], with_bounds: bool = True) -> DataFrame:
     """Turn a one-row frame with one count column per check into one row per check (``stack``)."""
     args = []
     for i, chk in enumerate(checks):
@@ -238,18 +238,18 @@ def run_checks(curated: DataFrame, raw: DataFrame, *, reference_subset: bool = F
     """
     with_bounds = not reference_subset
     if reference_subset:
-        raw_part = _rows_from_counts(raw.agg(F.count(F.lit(1)).alias("_n0")), [RAW_NOT_EMPTY], with_bounds)
+        raw_part = rows_from_counts(raw.agg(F.count(F.lit(1)).alias("_n0")), [RAW_NOT_EMPTY], with_bounds)
         cur_checks = [c for c in REFERENCE_LOGGED if c is not RAW_NOT_EMPTY]
-        return raw_part.unionByName(_rows_from_counts(curated_check_counts(curated, cur_checks), cur_checks, with_bounds))
+        return raw_part.unionByName(rows_from_counts(curated_check_counts(curated, cur_checks), cur_checks, with_bounds))
     cur_checks = [c for c in ALL_CHECKS if c not in (RAW_NOT_EMPTY, CURATED_TRACES_TO_RAW, NO_DUPLICATES)]
-    raw_part = _rows_from_counts(raw.agg(F.count(F.lit(1)).alias("_n0")), [RAW_NOT_EMPTY])
-    cur_part = _rows_from_counts(curated_check_counts(curated, cur_checks), cur_checks)
-    trace_part = _rows_from_counts(
+    raw_part = rows_from_counts(raw.agg(F.count(F.lit(1)).alias("_n0")), [RAW_NOT_EMPTY])
+    cur_part = rows_from_counts(curated_check_counts(curated, cur_checks), cur_checks)
+    trace_part = rows_from_counts(
         orphan_count(curated, raw).select(F.col("orphans").alias("_n0")), [CURATED_TRACES_TO_RAW]
     )
     # the key tuples shuffle on their own, without the other counters riding along
     repeats = F.count(F.lit(1)) - F.countDistinct(*[F.col(k) for k in FLIGHT_KEY_COLUMNS])
-    repeat_part = _rows_from_counts(curated.agg(repeats.alias("_n0")), [NO_DUPLICATES])
+    repeat_part = rows_from_counts(curated.agg(repeats.alias("_n0")), [NO_DUPLICATES])
     return raw_part.unionByName(cur_part).unionByName(repeat_part).unionByName(trace_part)
 
 

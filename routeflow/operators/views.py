@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from routeflow.functions import columns as C
+from routeflow.session import scratch_path
 
 ROUTE_GROUP = (
     "route_key",
@@ -199,13 +200,15 @@ def dashboard(
     curated_columns: Sequence[str] = DASHBOARD_CURATED,
     enriched_columns: Sequence[str] = DASHBOARD_ENRICHED,
     dedupe: str | None = None,
+    split_hot_keys: bool = False,
 ) -> DataFrame:
     """Curated rows left-joined to enrichment on ``keys`` (NULL keys never match).
 
     ``dedupe=None`` keeps the plain join: *m* curated and *n* enriched rows with equal keys give
     *m·n* rows. ``dedupe='latest'`` first reduces the enriched side to one row per key.
 
-    The join strategy is left to AQE, which broadcasts on measured size.
+    The join strategy is left to AQE, which broadcasts on measured size. ``split_hot_keys`` deals the rows of heavy keys over
+    several tasks (``split_left_join``), which AQE cannot do after the aggregate of ``dedupe='latest'``.
     """
     # fresh column identities: the enriched frame may descend from the same curated frame
     right = enriched.select(*[F.col(c).alias(c) for c in (*keys, *enriched_columns)])
@@ -214,10 +217,59 @@ def dashboard(
     elif dedupe is not None:
         raise ValueError(f"dedupe must be None or 'latest', got {dedupe!r}")
     left = curated.select(*curated_columns)
-    joined = left.join(right, list(keys), "left")
+    joined = split_left_join(left, right, keys) if split_hot_keys else left.join(right, list(keys), "left")
     return joined.select(*curated_columns, *enriched_columns)
 
 
+def with_rank(df: DataFrame, by: Sequence[Column], rank: str = "rank") -> DataFrame:
+    """``df`` in the order ``by`` (which must leave no ties), with its global row number, without a single-task window.
+
+    Two levels: the rows are sorted by range partitions and written with their place in their partition; the partitions' sizes, summed
+    up, give each its offset.
+    """
+    place, part, found = "_place", "_part", "_found"
+    path = scratch_path(df.sparkSession, "ranked")
+    df.orderBy(*by).withColumn(place, F.monotonically_increasing_id()).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
+    rows = rows.withColumn(part, F.shiftright(place, 33)).withColumn(place, F.col(place).bitwiseAND(F.lit((1 << 33) - 1)))
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)  # one row per partition of the sort
+    sizes = rows.groupBy(part).agg(F.count(F.lit(1)).alias(found)).withColumn(found, F.coalesce(F.sum(found).over(before), F.lit(0)))
+    return rows.join(F.broadcast(sizes), part).select(*df.columns, (F.col(found) + F.col(place) + 1).alias(rank))
+
+
+#: Join keys that hold at least one in so many rows are split; most keys that a summary names.
+HEAVY_ONE_IN = 1000
+HEAVY_KEYS = 512
+SPLITS = 32
+
+
+def heavy_keys(df: DataFrame, key: Column, one_in: int = HEAVY_ONE_IN) -> DataFrame:
+    """Values of ``key`` that may hold one in ``one_in`` rows, from a frequent-items summary: ``HEAVY_KEYS`` rows at most."""
+    top = df.where(key.isNotNull()).select(key.alias("key")).agg(F.expr(f"approx_top_k(key, {HEAVY_KEYS}, {8 * HEAVY_KEYS})").alias("top"), F.count(F.lit(1)).alias("n"))
+    many = top.select("n", F.explode("top").alias("x")).where(F.col("x.count") * one_in >= F.col("n"))
+    return many.select(F.col("x.item").alias("key"))
+
+
+def split_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], one_in: int = HEAVY_ONE_IN, splits: int = SPLITS) -> DataFrame:
+    """Left join on ``keys`` in which the rows of heavy keys are dealt over ``splits`` parts of the left side.
+
+    The right rows of heavy keys are repeated for each part; all other rows keep part 0. NULL keys match nothing and are dealt out
+    too. The result is the plain left join's.
+    """
+    digest, part = "_key", "_part"
+    key = F.when(F.coalesce(*(F.when(F.col(k).isNull(), F.lit(1)) for k in keys)).isNull(), F.xxhash64(*keys))
+    heavy = F.broadcast(heavy_keys(left, key, one_in).select(F.col("key").alias("_heavy")))
+    dealt = F.pmod(F.monotonically_increasing_id(), F.lit(splits)).cast("int")
+    lefts = left.withColumn(digest, key)
+    lefts = lefts.join(heavy, F.col(digest) == F.col("_heavy"), "left")
+    lefts = lefts.withColumn(part, F.when(F.col("_heavy").isNotNull() | F.col(digest).isNull(), dealt).otherwise(F.lit(0))).drop(digest, "_heavy")
+    rights = right.withColumn(digest, key)
+    rights = rights.join(heavy, F.col(digest) == F.col("_heavy"), "left")
+    copies = F.when(F.col("_heavy").isNotNull(), F.sequence(F.lit(0), F.lit(splits - 1))).otherwise(F.array(F.lit(0)))
+    rights = rights.withColumn(part, F.explode(copies)).drop(digest, "_heavy")
+    return lefts.join(rights, [*keys, part], "left").drop(part)
+
+
 def publish(df: DataFrame, name: str) -> DataFrame:
     """``CREATE OR REPLACE VIEW name``: register for SQL and return the frame."""
     df.createOrReplaceTempView(name)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from routeflow import fixed_values as FV
 from routeflow.operators import enrich as E
 from routeflow.operators import quality as Q
+from routeflow.operators import states as S
 from routeflow.operators import views as V
 from routeflow.operators.curate import curate
 from routeflow.plans.layers import Layers, fixture_curated, fixture_landing, fixture_raw, fixture_rows, land_files, load_raw_rows, new_layers
@@ -284,6 +285,44 @@ def q_views_through_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("SELECT route_key, is_international, flight_count FROM v_route_summary WHERE flight_count > 1")
 
 
+def _with_states(spark: SparkSession, sf_dir: str) -> Layers:
+    """Two loads, curated and read into states one after the other."""
+    layers, rows = new_layers(spark, "states"), fixture_rows(spark, sf_dir)
+    for part in (_raw_first_half(rows), _raw_second_half(rows)):
+        load_raw_rows(part, layers)
+        run_curation(spark, layers.raw, layers.curated, layers.checkpoint("curate"))
+        S.update_all(spark, layers)
+    return layers
+
+
+def q_route_summary_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.route_summary(spark, _with_states(spark, sf_dir))
+
+
+def q_airline_stats_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.airline_stats(spark, _with_states(spark, sf_dir))
+
+
+def q_busiest_airports_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.busiest_airports(spark, _with_states(spark, sf_dir))
+
+
+def q_checks_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.run_checks(spark, _with_states(spark, sf_dir))
+
+
+def q_airline_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The airline view in its order, with the place of each row."""
+    stats = V.airline_stats(fixture_curated(spark, sf_dir), ordered=False).select("airline_code", "airline_name", "total_flights")
+    return V.with_rank(stats, [F.desc("total_flights"), F.asc_nulls_first("airline_code"), F.asc_nulls_first("airline_name")])
+
+
+def q_airport_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The airport view in its order, with the place of each row."""
+    busiest = V.busiest_airports(fixture_curated(spark, sf_dir), ordered=False)
+    return V.with_rank(busiest, [F.desc("total_appearances"), *(F.asc_nulls_first(c) for c in ("airport_code", "city", "country"))])
+
+
 # --- enrichment and dashboard -----------------------------------------------------------------
 
 
@@ -360,6 +399,26 @@ def q_dashboard_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("enriched_at")
 
 
+def q_dashboard_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row was enriched twice, a day apart, with other labels: the later ones show. Hot keys are split."""
+    rows = fixture_curated(spark, sf_dir)
+    early = E.enrich(rows, classifier=E.KeywordClassifier(E.classify_prompt(), FV.ROUTE_LABELS)).withColumn("enriched_at", F.lit("2026-01-01").cast("timestamp"))
+    late = E.enrich(rows).withColumn("enriched_at", F.lit("2026-01-02").cast("timestamp"))
+    early = early.withColumn("route_classification", F.lit("ZZ_EARLY")).withColumn("route_summary", F.lit("zz early"))
+    return V.dashboard(rows, early.unionByName(late), dedupe="latest", split_hot_keys=True)
+
+
+def q_audit_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two audit runs at different times, newest first, with the place of each row."""
+    cur, raw = _cur_raw(spark, sf_dir)
+    layers = new_layers(spark, "audit-rank")
+    as_of = _dt.datetime(2026, 1, 1, 12, 0)
+    Q.append_audit(Q.run_checks(cur, raw, reference_subset=True), layers.audit, run_at=as_of)
+    Q.append_audit(Q.run_checks(cur, raw, reference_subset=True), layers.audit, run_at=as_of - _dt.timedelta(minutes=3))
+    recent = Q.recent_audit(Q.read_audit(spark, layers.audit), as_of=as_of + _dt.timedelta(minutes=1))
+    return V.with_rank(recent, [F.desc("run_at"), F.asc("check_id")]).select("rank", "check_id", "actual_count", F.date_format("run_at", "HH:mm").alias("run_minute"))
+
+
 # --- quality ----------------------------------------------------------------------------------
 
 
@@ -455,6 +514,12 @@ QUERIES: dict[str, QueryFn] = {
     "a_airline_stats": q_airline_stats,
     "a_busiest_airports": q_busiest_airports,
     "a_busiest_airports_explode": q_busiest_airports_explode,
+    "a_route_summary_incremental": q_route_summary_incremental,
+    "a_airline_stats_incremental": q_airline_stats_incremental,
+    "a_busiest_airports_incremental": q_busiest_airports_incremental,
+    "o_airline_rank": q_airline_rank,
+    "o_airport_rank": q_airport_rank,
+    "o_audit_rank": q_audit_rank,
     "e_prompts": q_prompts,
     "e_classify": q_classify,
     "e_classify_batched": q_classify_batched,
@@ -465,6 +530,8 @@ QUERIES: dict[str, QueryFn] = {
     "e_enriched_table": q_enriched_table,
     "j_dashboard": q_dashboard,
     "j_dashboard_latest": q_dashboard_latest,
+    "j_dashboard_newest": q_dashboard_newest,
+    "q_checks_incremental": q_checks_incremental,
     "q_raw_not_empty": q_raw_not_empty,
     "q_clean_not_empty": q_clean_not_empty,
     "q_clean_not_empty_on_empty": q_clean_not_empty_on_empty,

@@ -42,6 +42,10 @@ class Layers:
     def enriched(self) -> str:
         return f"{self.root}/ai/enriched_routes"
 
+    def states(self, table: str) -> str:
+        """Kept states of the raw or curated table (``operators/states.py``)."""
+        return f"{self.root}/states/{table}"
+
     @property
     def checkpoints(self) -> str:
         return f"{self.root}/_checkpoints"

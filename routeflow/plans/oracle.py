@@ -230,9 +230,9 @@ DASHBOARD_COLS = ["airline_code", "airline_name", "flight_number", "route_key",
 # --- checks -----------------------------------------------------------------------------------
 
 _FLIGHT_KEY = ["airline_code", "flight_number", "flight_date", "origin_airport", "destination_airport"]
-# The rules below are restated from their meaning with their own constants, in set and list form.
-NULL_KEYS_WHERE = "list_count([airline_code, CAST(flight_date AS VARCHAR), origin_airport, destination_airport]) < 4"
-DISTANCE_WHERE = "distance_km NOT IN (SELECT d FROM (SELECT DISTINCT distance_km AS d FROM curated) WHERE d > 0.0 AND d <= 20000.0)"
+# The rules below are restated with their own constants.
+NULL_KEYS_WHERE = "airline_code IS NULL OR flight_date IS NULL OR origin_airport IS NULL OR destination_airport IS NULL"
+DISTANCE_WHERE = "distance_km <= 0 OR distance_km > 20000"
 DATE_WHERE = "year(flight_date) NOT BETWEEN 1970 AND 2030"
 COORD_WHERE = (
     "greatest(abs(origin_latitude), abs(destination_latitude)) > 90.0 "
@@ -394,6 +394,17 @@ def oracle_sql() -> dict[str, str]:
     sql["a_busiest_airports"] = with_ctes(busiest)
     sql["a_busiest_airports_explode"] = with_ctes(busiest)
 
+    sql["a_route_summary_incremental"] = sql["a_route_summary"]
+    sql["a_airline_stats_incremental"] = sql["a_airline_stats"]
+    sql["a_busiest_airports_incremental"] = sql["a_busiest_airports"]
+    sql["o_airline_rank"] = with_ctes(
+        "SELECT airline_code, airline_name, count(*) AS total_flights, "
+        "row_number() OVER (ORDER BY count(*) DESC, airline_code NULLS FIRST, airline_name NULLS FIRST) AS rank FROM curated GROUP BY airline_code, airline_name"
+    )
+    sql["o_airport_rank"] = with_ctes(
+        "SELECT *, row_number() OVER (ORDER BY total_appearances DESC, airport_code NULLS FIRST, city NULLS FIRST, country NULLS FIRST) AS rank "
+        f"FROM ({busiest})"
+    )
     sql["e_prompts"] = with_ctes(
         f"SELECT {base}, {CLASSIFY_PROMPT} AS classify_prompt, {SUMMARY_PROMPT} AS summary_prompt FROM curated"
     )
@@ -431,6 +442,16 @@ def oracle_sql() -> dict[str, str]:
         "route_summary DESC NULLS LAST) AS rn FROM enriched) WHERE rn = 1)",
     )
 
+    label, summary = _rule_label(), TEMPLATE_SUMMARY
+    sql["j_dashboard_newest"] = with_ctes(
+        f"SELECT {dash}, TIMESTAMP '2026-01-02 00:00:00' AS enriched_at, e.route_classification, e.route_summary "
+        "FROM curated c LEFT JOIN newest e ON c.route_key = e.route_key AND c.flight_number = e.flight_number WHERE c.flight_number IS NOT NULL "
+        f"UNION ALL SELECT {dash}, NULL, NULL, NULL FROM curated c WHERE c.flight_number IS NULL",
+        f"newest AS (SELECT route_key, flight_number, (s).route_classification AS route_classification, (s).route_summary AS route_summary FROM ("
+        f"SELECT route_key, flight_number, first(s ORDER BY s.route_classification DESC NULLS LAST, s.route_summary DESC NULLS LAST) AS s FROM ("
+        f"SELECT route_key, flight_number, {{'route_classification': {label}, 'route_summary': {summary}}} AS s FROM curated) "
+        "GROUP BY route_key, flight_number))",
+    )
     sql["q_raw_not_empty"] = with_ctes(_check_sql(FV.CHECK_RAW_NOT_EMPTY, "count(*)", "raw_routes", "{n} > 0"))
     sql["q_clean_not_empty"] = with_ctes(_check_sql(FV.CHECK_CLEAN_NOT_EMPTY, "count(*)", "curated", "{n} > 0"))
     sql["q_clean_not_empty_on_empty"] = with_ctes(
@@ -460,6 +481,12 @@ def oracle_sql() -> dict[str, str]:
     sql["q_orphan_rows"] = with_ctes(f"SELECT {', '.join('c.' + x for x in CURATED_COLS)} FROM curated c WHERE {ORPHAN_WHERE}")
     sql["q_all_checks_fused"] = with_ctes(_all_checks_rows(), _counts_cte())
     sql["q_audit_append"] = sql["q_all_checks_fused"]
+    sql["q_checks_incremental"] = sql["q_all_checks_fused"]
+    sql["o_audit_rank"] = with_ctes(
+        "SELECT row_number() OVER (ORDER BY minute DESC, check_id) AS rank, check_id, actual_count, minute AS run_minute FROM ("
+        + _all_checks_rows(with_bounds=False, subset=True) + ") CROSS JOIN (VALUES ('12:00'), ('11:57')) AS runs(minute)",
+        _counts_cte(),
+    )
     sql["q_recent_audit"] = with_ctes(
         "SELECT check_id, check_name, layer, result, actual_count FROM ("
         + _all_checks_rows(with_bounds=False, subset=True) + ")",

@@ -57,14 +57,15 @@ def raw_changes(spark: SparkSession, raw_path: str, checkpoint: str, max_slices:
     return stream_slices(spark, raw_path, ledger.consumed(spark, checkpoint), max_slices)
 
 
-def changed_rows(batch: DataFrame, raw_path: str) -> DataFrame:
-    """The raw rows of a micro-batch of ``raw_changes``: its slices (names only, bounded by ``max_slices``) read as Parquet."""
-    slices = batch.where(batch.kind == ledger.APPEND).orderBy("position").collect()
-    return read_slices(batch.sparkSession, raw_path, RAW_SCHEMA, [s["folder"] for s in slices])
+def slice_folders(batch: DataFrame) -> list[str]:
+    """The slices of a micro-batch (names only, bounded by ``max_slices``); none in the empty batch of a fresh stream without data."""
+    return [s["folder"] for s in batch.where(batch.kind == ledger.APPEND).orderBy("position").collect()]
 
 
-def _drain(spark: SparkSession, raw_path: str, checkpoint: str, write_batch, max_slices: int | None, name: str | None) -> StreamingQuery:
-    """Run the change stream until it has read what was committed when it began.
+def drain(
+    spark: SparkSession, raw_path: str, checkpoint: str, write_batch, max_slices: int | None = None, name: str | None = None
+) -> StreamingQuery:
+    """Run a table's change stream until it has read what was committed when it began.
 
     A run takes one batch, and after a crash that is the batch that died: so it is started again until the ledger's end is reached.
     """
@@ -78,7 +79,7 @@ def _drain(spark: SparkSession, raw_path: str, checkpoint: str, write_batch, max
 
 def create_change_stream(spark: SparkSession, raw_path: str, checkpoint: str) -> None:
     """Start a change stream *now*: slices already in raw are marked consumed, not delivered."""
-    _drain(spark, raw_path, checkpoint, lambda batch, batch_id: None, None, None)
+    drain(spark, raw_path, checkpoint, lambda batch, batch_id: None)
 
 
 def has_data(spark: SparkSession, raw_path: str, checkpoint: str) -> bool:
@@ -104,10 +105,13 @@ def run_curation(
     tag = stream_tag(checkpoint)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        write_layer(curate(changed_rows(batch, raw_path)), curated_path, f"curate-{tag}-{batch_id:010d}", CURATED_SCHEMA)
+        folders = slice_folders(batch)
+        if folders:
+            rows = read_slices(batch.sparkSession, raw_path, RAW_SCHEMA, folders)
+            write_layer(curate(rows), curated_path, f"curate-{tag}-{batch_id:010d}", CURATED_SCHEMA)
 
     if trigger in (None, "available_now"):
-        return _drain(spark, raw_path, checkpoint, write_batch, max_slices_per_trigger, name)
+        return drain(spark, raw_path, checkpoint, write_batch, max_slices_per_trigger, name)
     changes = raw_changes(spark, raw_path, checkpoint, max_slices_per_trigger)
     return _start(changes.writeStream.foreachBatch(write_batch), checkpoint, trigger, name)
 
@@ -133,4 +137,4 @@ def run_ingest(
     return _run(_start(files.writeStream.foreachBatch(write_batch), checkpoint, trigger, name), trigger)
 
 
-__all__ = ["changed_rows", "create_change_stream", "has_data", "raw_changes", "run_curation", "run_ingest", "stream_tag"]
+__all__ = ["create_change_stream", "drain", "has_data", "raw_changes", "run_curation", "run_ingest", "slice_folders", "stream_tag"]
