@@ -51,13 +51,13 @@ def heavy_digests(rows: DataFrame) -> DataFrame:
 
 def _heavy_winners(rows: DataFrame) -> DataFrame:
     """The exact winner and size of each heavy digest: one row per digest, ``HEAVY_KEYS`` at most."""
-    best = F.max(F.struct("chars", F.bitwise_not(F.col("doc")).alias("doc_desc"), F.bitwise_not(F.col("row")).alias("row_desc")))
+    best = F.min(F.struct((-F.col("chars")).alias("fewer"), F.col("doc").isNull().alias("no_doc"), "doc", "row"))  # any orderable id
     found = rows.join(F.broadcast(heavy_digests(rows)), "digest", "left_semi").groupBy("digest").agg(best.alias("b"), F.count(F.lit(1)).alias("group_size"))
     return found.select(
         "digest",
-        F.col("b.chars").alias("win_chars"),
-        F.bitwise_not(F.col("b.doc_desc")).alias("win_doc"),
-        F.bitwise_not(F.col("b.row_desc")).alias("win_row"),
+        (-F.col("b.fewer")).alias("win_chars"),
+        F.col("b.doc").alias("win_doc"),
+        F.col("b.row").alias("win_row"),
         "group_size",
     )
 

@@ -63,13 +63,13 @@ _STOP = (
 )
 
 OP10 = rf"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-a AS (SELECT doc_id, t, regexp_extract_all(t, {W}) AS ws,
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lang IN ('en', 'fr', 'de', 'es'), FALSE) AS listed FROM documents),
+a AS (SELECT doc_id, t, listed, regexp_extract_all(t, {W}) AS ws,
              list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, {W})) AS ls FROM d),
 g AS (SELECT doc_id, i, ws[i:i+4] AS gram FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM a)),
 twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM g) WHERE n > 1),
 cov AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM twice, range(0, 5) r(j) GROUP BY doc_id),
-m AS (SELECT a.doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(t, {S}, '', 'g'))::BIGINT AS word_chars,
+m AS (SELECT a.doc_id, listed, len(ws)::BIGINT AS n_words, length(regexp_replace(t, {S}, '', 'g'))::BIGINT AS word_chars,
         len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
         (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words,
         len(ls) AS n_lines, len(regexp_extract_all(t, '!')) AS bangs, len(regexp_extract_all(t, '\p{{Lu}}')) AS caps,
@@ -80,7 +80,7 @@ m AS (SELECT a.doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(t, {S},
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND word_chars >= 2 * n_words AND word_chars <= 14 * n_words AND n_symbols <= 0.1 * n_words
-       AND bangs <= 0.3 * n_words AND caps <= 0.5 * word_chars AND (n_words < 50 OR stops >= 0.03 * n_words)
+       AND bangs <= 0.3 * n_words AND caps <= 0.5 * word_chars AND (NOT listed OR n_words < 50 OR stops >= 0.03 * n_words)
        AND n_dup_lines <= 0.5 * n_lines AND bullets <= 0.9 * n_lines AND dots <= 0.5 * n_lines AS kept
 FROM b
 """

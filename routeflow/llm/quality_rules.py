@@ -4,6 +4,9 @@ Every metric of a document is a ratio of two counts of the whole text. ``RULES``
 ``quality_columns`` compiles counts and verdict into Spark expressions, so the operator is a narrow
 projection: no shuffle, no Python, one pass over the text.
 
+The stop-word rule judges texts whose ``lang`` column names a language with a list (English, French, German, Spanish); texts in other
+languages, of unknown language or in a table without that column pass it.
+
 Defined results: a NULL text counts as empty; an empty text has no words and fails the base rule;
 a text of any length is judged whole; repeated rows are judged alike; an empty table gives an empty
 result; columns of the input that share a name with a metric are dropped by ``judge`` (the metric wins) and
@@ -25,6 +28,9 @@ MAX_REPEAT_PERCENT = 20
 REPEAT_WINDOW = 5
 SYMBOLS = r"[#*$%&|<>]"
 
+#: Languages that ``STOP_WORDS`` covers.
+LANGUAGES = ("en", "fr", "de", "es")
+
 #: Frequent function words of English, French, German and Spanish.
 STOP_WORDS = (
     "the of and to a in is that it for was on with as be by this are at from or an not have he his they we you "
@@ -36,7 +42,10 @@ STOP_WORDS = (
 
 @dataclass(frozen=True)
 class Rule:
-    """``low <= numerator / denominator <= high``, judged on texts of at least ``from_words`` words."""
+    """``low <= numerator / denominator <= high``, judged on texts of at least ``from_words`` words.
+
+    ``listed_only``: judged only on texts whose language is one of ``LANGUAGES``.
+    """
 
     name: str
     numerator: str
@@ -44,14 +53,17 @@ class Rule:
     low: float | None = None
     high: float | None = None
     from_words: int = 0
+    listed_only: bool = False
 
-    def passes(self, count: dict[str, Column]) -> Column:
+    def passes(self, count: dict[str, Column], listed: Column) -> Column:
         top, base = count[self.numerator], count[self.denominator]
         ok = F.lit(True)
         if self.low is not None:
             ok = ok & (top >= F.lit(self.low) * base)
         if self.high is not None:
             ok = ok & (top <= F.lit(self.high) * base)
+        if self.listed_only:
+            ok = ok | ~listed
         return (count["n_words"] < F.lit(self.from_words)) | ok
 
 
@@ -61,7 +73,7 @@ RULES = (
     Rule("symbols per word", "n_symbols", "n_words", high=0.1),
     Rule("exclamation marks per word", "n_exclamations", "n_words", high=0.3),
     Rule("capitals per word character", "n_capitals", "word_chars", high=0.5),
-    Rule("stop words per word", "n_stop_words", "n_words", low=0.03, from_words=50),
+    Rule("stop words per word", "n_stop_words", "n_words", low=0.03, from_words=50, listed_only=True),
     Rule("repeated lines per line", "n_dup_lines", "n_lines", high=0.5),
     Rule("lines that begin with a bullet", "n_bullet_lines", "n_lines", high=0.9),
     Rule("lines that end in an ellipsis", "n_ellipsis_lines", "n_lines", high=0.5),
@@ -130,8 +142,9 @@ COUNTS = (
 )
 
 
-def quality_struct(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
-    """All counts, ``base_failed`` and ``kept`` of a text as one struct."""
+def quality_struct(text: Column, rules: tuple[Rule, ...] = RULES, listed: Column | None = None) -> Column:
+    """All counts, ``base_failed`` and ``kept`` of a text as one struct. ``listed``: its language has a list of stop words (none: no)."""
+    listed = F.lit(False) if listed is None else F.coalesce(listed, F.lit(False))
 
     def of_text(t: Column) -> Column:
         counted = F.struct(
@@ -153,19 +166,23 @@ def quality_struct(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
         )
         kept = ~failed
         for rule in rules:
-            kept = kept & rule.passes(count)
+            kept = kept & rule.passes(count, listed)
         return F.struct(*(count[n].alias(n) for n in COUNTS), failed.alias("base_failed"), kept.alias("kept"))
 
     return let(F.coalesce(text, F.lit("")), of_text)
 
 
-def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def _listed(docs: DataFrame, lang: str) -> Column | None:
+    return F.col(lang).isin(*LANGUAGES) if lang in docs.columns else None
+
+
+def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, lang: str = "lang") -> DataFrame:
     """``docs`` with the counts, ``base_failed`` and ``kept``."""
     made = {*COUNTS, "base_failed", "kept"}
     rest = [c for c in docs.columns if c.lower() not in made]
-    return docs.select(*rest, quality_struct(F.col(text), rules).alias("__q")).select(*rest, "__q.*")
+    return docs.select(*rest, quality_struct(F.col(text), rules, _listed(docs, lang)).alias("__q")).select(*rest, "__q.*")
 
 
-def keep_good(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def keep_good(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, lang: str = "lang") -> DataFrame:
     """The rows of ``docs`` that pass, columns unchanged."""
-    return docs.where(quality_struct(F.col(text), rules)["kept"])
+    return docs.where(quality_struct(F.col(text), rules, _listed(docs, lang))["kept"])

@@ -29,10 +29,14 @@ class WordHashes(dict):
 
     limit = 500_000
 
+    def __init__(self, seed: int = 0) -> None:
+        super().__init__()
+        self.seed = seed
+
     def __missing__(self, word: str) -> int:
         if len(self) >= self.limit:
             self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"), self.seed)
         return h
 
     def of(self, words: list[str]) -> np.ndarray:

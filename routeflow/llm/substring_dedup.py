@@ -243,10 +243,13 @@ def _by_automaton(cut: DataFrame, window: int) -> DataFrame:
 
 
 def _by_counting(cut: DataFrame, window: int) -> DataFrame:
-    """Spans of the segments of hot owners: windows counted by a 128-bit hash."""
+    """Spans of the segments of hot owners: windows counted by two 64-bit hashes over word hashes of different seeds.
+
+    Windows that differ are taken for equal only if both hashes collide; words that collide in one do not in the other.
+    """
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        known = WordHashes(), WordHashes(seed=1)
         for batch in batches:
             at, held = 0, 0
             for row, body in enumerate(batch.column("body")):
@@ -255,11 +258,12 @@ def _by_counting(cut: DataFrame, window: int) -> DataFrame:
                     yield windows_of(batch.slice(at, row + 1 - at), known)
                     at, held = row + 1, 0
 
-    def windows_of(batch: pa.RecordBatch, known: WordHashes) -> pa.RecordBatch:
-        columns = [known.of(b.as_py().split(" ")) for b in batch.column("body")]
-        sizes = np.array([len(c) - window + 1 for c in columns], np.int64)
-        taken = pa.array(np.repeat(np.arange(len(columns)), sizes))
-        one, two = (np.concatenate([window_hashes(c, window, seed) for c in columns]).view(np.int64) for seed in (1, 2))
+    def windows_of(batch: pa.RecordBatch, known: tuple[WordHashes, WordHashes]) -> pa.RecordBatch:
+        split = [b.as_py().split(" ") for b in batch.column("body")]
+        columns = [[hashes.of(words) for words in split] for hashes in known]
+        sizes = np.array([len(words) - window + 1 for words in split], np.int64)
+        taken = pa.array(np.repeat(np.arange(len(split)), sizes))
+        one, two = (np.concatenate([window_hashes(c, window, seed) for c in hashed]).view(np.int64) for seed, hashed in ((1, columns[0]), (2, columns[1])))
         within = np.concatenate([np.arange(n) for n in sizes])
         first = batch.column("first").to_numpy(zero_copy_only=False).astype(np.int64)
         lo = np.repeat(first, sizes) + within
@@ -302,18 +306,17 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", win
 def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", window: int = WINDOW) -> DataFrame:
     """``docs`` with clean_text (the words that stay, joined by one space), n_words and n_removed."""
     spans = repeated_spans(docs, text, key, window)
-    mark = fresh_name("__text_hash", docs.columns)
-    rows = docs.withColumn(mark, F.xxhash64(text))
-    short = spans.select(F.col("key").alias("__k"), F.col("text_hash").alias("__h"), "spans")
-    rows = rows.join(small_side(short), rows[key].eqNullSafe(short["__k"]) & (rows[mark] == short["__h"]), "left")
+    mark, of_key, of_hash, carried, body = (fresh_name(x, docs.columns) for x in ("__text_hash", "__k", "__h", "__spans", "__text"))
+    rows = docs.withColumn(mark, F.xxhash64(text)).withColumn(body, F.col(text))
+    short = spans.select(F.col("key").alias(of_key), F.col("text_hash").alias(of_hash), F.col("spans").alias(carried))
+    rows = rows.join(small_side(short), F.col(key).eqNullSafe(F.col(of_key)) & (F.col(mark) == F.col(of_hash)), "left")
     kept = [c for c in docs.columns if c.lower() not in ("clean_text", "n_words", "n_removed")]
-    carried = fresh_name("__spans", kept)
-    rows = rows.select(*(docs[c] for c in kept), F.col(text).alias("__text"), F.col("spans").alias(carried))
+    rows = rows.select(*(F.col(f"`{c}`") for c in kept), body, carried)
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             clean, total, removed = [], [], []
-            for value, found in zip(batch.column("__text"), batch.column(carried)):
+            for value, found in zip(batch.column(body), batch.column(carried)):
                 words = split_words(value.as_py() or "")
                 total.append(len(words))
                 if found.is_valid:

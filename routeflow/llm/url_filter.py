@@ -1,6 +1,6 @@
 """URL filter: rules first, then logistic regression on hashed character n-grams of host and path.
 
-``LABELLED`` makes a small labelled table of URLs from lists of words; ``train`` fits spark.ml's logistic regression on the
+``labelled`` makes a small labelled table of URLs from lists of words, ``read_labelled`` reads one; ``train`` fits spark.ml's logistic regression on the
 n-grams of host and path, hashed to ``FEATURES`` slots; ``judge`` applies rules and model. All of it is JVM-side: SQL
 functions and spark.ml, no Python code on the rows, no shuffle.
 
@@ -122,12 +122,31 @@ def train(table: DataFrame, url: str = "url", label: str = "label", reg: float =
     return PipelineModel([hashing, model])
 
 
+def read_labelled(spark: SparkSession, path: str) -> DataFrame:
+    """A labelled table (url, label; 1: block) from a Parquet file or a CSV file with a header."""
+    rows = spark.read.parquet(path) if path.rstrip("/").endswith(".parquet") else spark.read.option("header", "true").csv(path)
+    return rows.select(F.col("url").cast("string"), F.col("label").cast("double"))
+
+
+def held_out(table: DataFrame, group: Column, folds: int = 5) -> tuple[float, float]:
+    """Precision and recall of blocking on rows left out of training: each fold holds the groups of one hash remainder."""
+    part, hits, blocked, bad = F.pmod(F.xxhash64(group), F.lit(folds)), 0, 0, 0
+    for k in range(folds):
+        seen = judge(table.where(part == k), train(table.where(part != k)), rules=()).select("label", (F.col("verdict") == "block").alias("b"))
+        r = seen.agg(F.count_if(F.col("b") & (F.col("label") == 1)), F.count_if("b"), F.count_if(F.col("label") == 1)).head()
+        hits, blocked, bad = hits + r[0], blocked + r[1], bad + r[2]
+    return hits / max(1, blocked), hits / max(1, bad)
+
+
 def judge(urls: DataFrame, model: PipelineModel, rules: tuple[Rule, ...] = RULES, url: str = "url") -> DataFrame:
     """``urls`` with host, path, rule and verdict (the rule's, else the model's)."""
-    scored = model.transform(features(urls, url))
+    made = ("host", "path", "rule", "verdict")
+    carried = [c for c in urls.columns if c.lower() not in made]
+    row = F.struct(*(F.col(f"`{c}`") for c in carried)).alias("__row")  # whatever the columns are called
+    scored = model.transform(features(urls.select(row, F.col(url).alias("__url")), "__url"))
     host, path = F.col("host"), F.col("path")
     scored = scored.withColumn("rule", rule_column(host, path, rules, lambda r: r.text))
     by_rule = rule_column(host, path, rules, lambda r: r.verdict)
     by_model = F.when(F.col("__blocked") == 1.0, "block").otherwise("allow")
     scored = scored.withColumn("verdict", F.coalesce(by_rule, by_model))
-    return scored.drop("__grams", "__features", "__raw", "__probability", "__blocked")
+    return scored.select("__row.*", *made)

@@ -125,14 +125,44 @@ def header_field(head: Column, name: str) -> Column:
     return F.nullif(found, F.lit(""))
 
 
+def parsed(records: DataFrame) -> DataFrame:
+    """page_id, payload and the parts of each ``record`` by its own framing: warc and http (header bytes), body.
+
+    The WARC header ends at the first empty line; its Content-Length gives the block, which must be followed by the two line ends that
+    close a record and nothing else. The HTTP head ends at the block's first empty line. A record that breaks this stops the job.
+    """
+    text = F.decode("record", "ISO-8859-1")  # one character a byte
+    ends = records.withColumn("warc_end", F.locate(END, text)).withColumn("http_end", F.expr(f"locate('{END}', decode(record, 'ISO-8859-1'), locate('{END}', decode(record, 'ISO-8859-1')) + 4)"))
+    warc = F.expr("substring(record, 1, warc_end - 1)")
+    split = ends.withColumn("warc", warc).withColumn("block_bytes", header_field(F.col("warc"), "Content-Length").cast("long"))
+    whole = F.col("warc_end") + 3 + F.col("block_bytes") + len(END) == F.octet_length("record")
+    framed = (F.col("warc_end") > 0) & (F.col("http_end") > F.col("warc_end")) & whole & (F.expr("right(decode(record, 'ISO-8859-1'), 4)") == END)
+    body = F.expr("substring(record, http_end + 4, int(warc_end + 3 + block_bytes - (http_end + 3)))")
+    return split.select(
+        "page_id",
+        "payload",
+        "warc",
+        F.expr("substring(record, warc_end + 4, http_end - warc_end - 4)").alias("http"),
+        F.when(F.coalesce(framed, F.lit(False)), body).otherwise(F.raise_error(F.lit("broken record"))).alias("body"),
+    )
+
+
 def page_table(records: DataFrame) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to, all from the records read back."""
-    refers = F.regexp_extract(header_field(F.col("head"), "WARC-Refers-To"), rf"^<{RECORD_ID}(-?[0-9]+)>$", 1)
-    return records.select(
+    """page_id, payload_bytes, payload_digest, record_type, refers_to, all from the bytes of the records read back.
+
+    A response's payload is the body cut from its record; a revisit's is the stored one that its record stands for. Either must have
+    the length and the digest that the record's own headers state.
+    """
+    kind = header_field(F.col("warc"), "WARC-Type")
+    cut = parsed(records).select("page_id", "warc", "http", kind.alias("record_type"), F.when(kind == "response", F.col("body")).otherwise(F.col("payload")).alias("payload"))
+    digest, size = base32_sha1(F.col("payload")), F.octet_length("payload").cast("long")
+    stated = (header_field(F.col("warc"), "WARC-Payload-Digest") == F.concat(F.lit("sha1:"), digest)) & (header_field(F.col("http"), "Content-Length").cast("long") == size)
+    refers = F.regexp_extract(header_field(F.col("warc"), "WARC-Refers-To"), rf"^<{RECORD_ID}(-?[0-9]+)>$", 1)
+    return cut.select(
         "page_id",
-        F.octet_length("payload").cast("long").alias("payload_bytes"),
-        base32_sha1(F.col("payload")).alias("payload_digest"),
-        header_field(F.col("head"), "WARC-Type").alias("record_type"),
+        size.alias("payload_bytes"),
+        F.when(F.coalesce(stated, F.lit(False)), digest).otherwise(F.raise_error(F.lit("record and payload differ"))).alias("payload_digest"),
+        "record_type",
         refers.cast("long").alias("refers_to"),
     )
 
