@@ -260,17 +260,19 @@ def _fine_marks(multisets: DataFrame, nodes: DataFrame) -> DataFrame:
 def _missed_pairs(members: DataFrame, best: bool) -> DataFrame:
     """Pairs of ``members`` (band, node, label, weight, shared, marks, slots) of one band and different labels that may reach the threshold.
 
-    A band's members are dealt into blocks; the blocks meet pairwise and are compared inside a task. ``shared`` bounds what a
+    A band's members are dealt into blocks, and every two blocks meet under a key of their own, so that the work of a large band is dealt
+    over all tasks. ``shared`` bounds what a
     member can have in common with any other, so a pair that cannot reach the threshold is left out without loss. ``slots`` holds, by
     position of the band, the keys of all bands a member is in: a pair that meets in several is compared in the first of them.
     ``best`` keeps, of every two components, the pair that agrees most.
     """
     sizes = members.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     dealt = members.join(sizes, "band").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    packed = staged(dealt.groupBy("band", "block").agg(F.collect_list(F.struct("node", "label", "weight", "shared", "marks", "slots")).alias("m")), "blocks")
-    left = packed.select("band", F.col("block").alias("i"), F.col("m").alias("left"))
-    right = packed.select("band", F.col("block").alias("j"), F.col("m").alias("right"))
-    meeting = left.join(right, "band").where("i <= j").select("band", (F.col("i") == F.col("j")).alias("own"), "left", "right")
+    dealt = dealt.repartition("band", "block")  # else a band's blocks are made where its size was found
+    packed = staged(dealt.groupBy("band", "block", "blocks").agg(F.collect_list(F.struct("node", "label", "weight", "shared", "marks", "slots")).alias("m")), "blocks")
+    left = packed.select("band", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"), F.col("m").alias("left"))
+    right = packed.select("band", F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j"), F.col("m").alias("right"))
+    meeting = left.join(right, ["band", "i", "j"]).select("band", (F.col("i") == F.col("j")).alias("own"), "left", "right")
 
     def block(rows: list[dict]) -> tuple[np.ndarray, ...]:
         marks = np.frombuffer(b"".join(r["marks"] for r in rows), np.uint8).reshape(len(rows), FINE)
@@ -338,6 +340,8 @@ def node_labels(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tup
     others = staged(others.select("band", "node", "weight", F.coalesce("label", "node").alias("label")), "others")
     open_bands = others.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("band")
     still = staged(others.join(small_side(staged(open_bands, "open-bands")), "band", "left_semi"), "open-members")
+    if not still.limit(1).count():  # every bucket lies in one component
+        return sketches, nodes.select("digest", "node"), labels
     private = staged(_shared_weight(multisets, staged(still.select("node").distinct(), "open-nodes")), "private")
     shared = (F.col("weight") - F.coalesce("private", F.lit(0))).alias("shared")
     still = still.join(private, "node", "left").select("band", "node", "label", "weight", shared)

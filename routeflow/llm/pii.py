@@ -2,7 +2,7 @@
 
 ``base_spans`` finds e-mail addresses, IP addresses, card and phone numbers by pattern and check digit. Beyond them, every token
 with a digit or an @ is a candidate on which labelers vote private, not private or nothing: patterns (shape of
-keys, hexadecimal strings, plain numbers), gazetteers (prefixes of issued keys, units) and context (words before it). Expectation
+keys, hexadecimal strings, plain numbers), a gazetteer (prefixes of issued keys) and context (words before it). Expectation
 maximisation over the counts of vote patterns estimates how reliable each labeler is, and its posteriors train the
 final classifier, a logistic regression on votes and shape. Accepted candidates are added as spans of kind ``secret``.
 
@@ -15,6 +15,8 @@ patterns are possessive and anchored at the start of a run, so the time is linea
 
 Defined results: a NULL text counts as empty and has no spans; a text of any length is searched whole; repeated rows get the
 same spans; an empty table gives an empty result; other columns are ignored whatever their names.
+
+Out of reach: secrets with blanks in them (numbers in groups), names and postal addresses; candidates are single tokens.
 """
 
 from __future__ import annotations
@@ -262,13 +264,14 @@ def find_personal_data(docs: DataFrame, text: str = "text", key: str = "doc_id")
 
 
 def span_table(found: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Counts and span lists as text: ``key``, n_<kind>, base_sha256, spans."""
+    """Counts and span lists as text: ``key``, n_<kind>, base_sha256, spans, n_added (spans beyond the base kinds)."""
     counted = [_count_kind(k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return found.select(
         key,
         *counted,
         F.sha2(_text_of(F.col("base"), KINDS), 256).alias("base_sha256"),
         _text_of(F.col("spans"), (*KINDS, ADDED)).alias("spans"),
+        (F.size("spans") - F.size("base")).cast("long").alias("n_added"),
     )
 
 
