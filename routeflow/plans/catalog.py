@@ -19,9 +19,10 @@ from routeflow import fixed_values as FV
 from routeflow.operators import enrich as E
 from routeflow.operators import quality as Q
 from routeflow.operators import states as S
+from routeflow.operators import trace as TR
 from routeflow.operators import views as V
 from routeflow.operators.curate import curate
-from routeflow.plans.layers import Layers, fixture_curated, fixture_landing, fixture_raw, fixture_rows, land_files, load_raw_rows, new_layers
+from routeflow.plans.layers import Layers, fixture_curated, fixture_landing, fixture_layers, fixture_raw, fixture_rows, land_files, load_raw_rows, new_layers
 from routeflow.schemas import CURATED_COLUMNS, CURATED_SCHEMA, LOAD_TIMESTAMP, RAW_COLUMNS, RAW_SCHEMA, SOURCE_COLUMNS, SOURCE_FILE
 from routeflow.sources.fixtures import age_files
 from routeflow.sources.landing import (
@@ -34,7 +35,9 @@ from routeflow.sources.landing import (
     read_rejects,
     rejected_rows,
 )
+from routeflow.plans import stored
 from routeflow.plans.pipeline import declare_layers
+from routeflow.sources import catalog_tables
 from routeflow.sources.tables import conform, insert_rows, new_load_id, read_curated, read_raw, stage_slice, write_layer
 from routeflow.streaming.incremental import create_change_stream, has_data, run_curation, run_ingest, stream_tag
 
@@ -490,6 +493,63 @@ def q_recent_audit(spark, sf_dir):
     return recent.drop("run_at")
 
 
+def _stored(spark: SparkSession, layers: Layers) -> catalog_tables.Names:
+    """The instance's names, declared, forgotten and brought back from their kept definitions."""
+    database = f"routes_{layers.root.rsplit('-', 1)[-1]}"
+    names = stored.declare(spark, layers, database)
+    catalog_tables.detach(spark, names)
+    catalog_tables.attach(spark, names)
+    return names
+
+
+def q_sql_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``INSERT (columns)`` through SQL: what is left out takes the column defaults, and the rows reach raw and curated once."""
+    layers = new_layers(spark, "sql-insert")
+    names = _stored(spark, layers)
+    fixture_rows(spark, sf_dir).createOrReplaceTempView("_new_routes")
+    cols = ", ".join(SOURCE_COLUMNS)
+    spark.sql(f"INSERT INTO {names.of(stored.INBOX)} ({cols}) SELECT {cols} FROM _new_routes")
+    for _ in range(2):  # the second time finds nothing new
+        stored.take_inbox(spark, layers, names)
+        run_curation(spark, layers.raw, layers.curated, layers.checkpoint("curate"))
+    stored.refresh(spark, layers, names)
+    out = [c for c in CURATED_OUT if c != SOURCE_FILE]
+    filled = f"{SOURCE_FILE} = 'sql_insert' AND {LOAD_TIMESTAMP} IS NOT NULL"
+    return spark.sql(f"SELECT {', '.join(out)}, {filled} AS defaults_filled FROM {names.of(stored.CURATED)}")
+
+
+def _stored_fixture(spark: SparkSession, sf_dir: str) -> catalog_tables.Names:
+    """Stored names over the fixture's layers and a sample of enriched rows."""
+    layers = fixture_layers(spark, sf_dir)
+    E.write_enriched(E.enrich(read_curated(spark, layers.curated), limit=FV.ENRICH_SAMPLE_ROWS), layers.enriched)
+    return _stored(spark, layers)
+
+
+def _stored_view(view: str, without: tuple[str, ...] = ()) -> QueryFn:
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return spark.table(_stored_fixture(spark, sf_dir).of(view)).drop(*without)
+
+    return read
+
+
+def _trace_names(spark: SparkSession, sf_dir: str) -> catalog_tables.Names:
+    """Key tables over the fixture's layers."""
+    layers = fixture_layers(spark, sf_dir)
+    base = new_layers(spark, "trace")
+    names = catalog_tables.Names(f"trace_{base.root.rsplit('-', 1)[-1]}", base.root)
+    TR.declare_keys(spark, names, buckets=8)
+    TR.update_keys(spark, names, layers.raw, layers.curated, buckets=8)
+    return names
+
+
+def q_trace_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TR.trace_check(spark, _trace_names(spark, sf_dir))
+
+
+def q_orphans_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TR.orphan_rows(spark, _trace_names(spark, sf_dir), fixture_curated(spark, sf_dir)).select(*CURATED_OUT)
+
+
 QUERIES: dict[str, QueryFn] = {
     "s_csv_roundtrip_load": q_csv_roundtrip_load,
     "s_csv_rejects": q_csv_rejects,
@@ -499,6 +559,11 @@ QUERIES: dict[str, QueryFn] = {
     "s_csv_quoted_breaks": q_csv_quoted_breaks,
     "k_manual_insert": q_manual_insert,
     "k_views_through_sql": q_views_through_sql,
+    "k_sql_insert_defaults": q_sql_insert,
+    "k_stored_route_summary": _stored_view("v_route_summary"),
+    "k_stored_airline_stats": _stored_view("v_airline_stats"),
+    "k_stored_busiest_airports": _stored_view("v_busiest_airports"),
+    "k_stored_dashboard": _stored_view("v_enriched_routes_dashboard", ("enriched_at",)),
     "p_curate": q_curate,
     "p_curate_inserts": q_curate_inserts,
     "t_stream_ingest": q_stream_ingest,
@@ -543,6 +608,8 @@ QUERIES: dict[str, QueryFn] = {
     "q_curated_traces_to_raw": q_curated_traces_to_raw,
     "q_international_logic": q_international_logic,
     "q_orphan_rows": q_orphan_rows,
+    "q_trace_colocated": q_trace_colocated,
+    "q_orphans_colocated": q_orphans_colocated,
     "q_all_checks_fused": q_all_checks_fused,
     "q_audit_append": q_audit_append,
     "q_recent_audit": q_recent_audit,

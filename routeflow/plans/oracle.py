@@ -479,6 +479,15 @@ def oracle_sql() -> dict[str, str]:
         _check_sql(FV.CHECK_INTERNATIONAL_LOGIC, "count(*)", f"curated WHERE {INTL_WHERE}", "{n} = 0")
     )
     sql["q_orphan_rows"] = with_ctes(f"SELECT {', '.join('c.' + x for x in CURATED_COLS)} FROM curated c WHERE {ORPHAN_WHERE}")
+    sql["q_trace_colocated"] = sql["q_curated_traces_to_raw"]
+    sql["q_orphans_colocated"] = sql["q_orphan_rows"]
+    sql["k_stored_route_summary"] = sql["a_route_summary"]
+    sql["k_stored_airline_stats"] = sql["a_airline_stats"]
+    sql["k_stored_busiest_airports"] = sql["a_busiest_airports"]
+    sql["k_stored_dashboard"] = sql["j_dashboard"]
+    sql["k_sql_insert_defaults"] = with_ctes(
+        f"SELECT {', '.join(c for c in CURATED_COLS if c != 'source_file')}, TRUE AS defaults_filled FROM curated"
+    )
     sql["q_all_checks_fused"] = with_ctes(_all_checks_rows(), _counts_cte())
     sql["q_audit_append"] = sql["q_all_checks_fused"]
     sql["q_checks_incremental"] = sql["q_all_checks_fused"]

@@ -24,7 +24,7 @@ from routeflow.schemas import CURATED_SCHEMA, RAW_SCHEMA
 from routeflow.sources import ledger
 from routeflow.sources.landing import list_files, load_files
 from routeflow.sources.ledger_stream import stream_slices
-from routeflow.sources.tables import ensure_layer, read_slices, write_layer
+from routeflow.sources.tables import MAX_FILE_AGE, ensure_layer, make_folder, read_slices, write_layer
 
 
 def stream_tag(checkpoint: str) -> str:
@@ -137,4 +137,18 @@ def run_ingest(
     return _run(_start(files.writeStream.foreachBatch(write_batch), checkpoint, trigger, name), trigger)
 
 
-__all__ = ["create_change_stream", "drain", "has_data", "raw_changes", "run_curation", "run_ingest", "slice_folders", "stream_tag"]
+def take_inserts(
+    spark: SparkSession, inbox: str, path: str, schema: T.StructType, checkpoint: str, *, trigger: str | None = "available_now", name: str | None = None
+) -> StreamingQuery:
+    """Rows that SQL inserts left in the inbox table -> slices of the layer table; a file of the inbox is taken once."""
+    make_folder(spark, inbox)  # a stream can start before the first insert
+    rows = spark.readStream.schema(schema).option("maxFileAge", MAX_FILE_AGE).parquet(inbox)
+    tag = stream_tag(checkpoint)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        write_layer(batch, path, f"inserts-{tag}-{batch_id:010d}", schema)
+
+    return _run(_start(rows.writeStream.foreachBatch(write_batch), checkpoint, trigger, name), trigger)
+
+
+__all__ = ["create_change_stream", "drain", "has_data", "raw_changes", "run_curation", "run_ingest", "slice_folders", "stream_tag", "take_inserts"]
