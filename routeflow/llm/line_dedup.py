@@ -1,7 +1,8 @@
 """Line deduplication by a deletion-neighbourhood join.
 
-Two lines match when their Levenshtein distance is at most one (white space at both ends does not count; lines without a
-word are left alone). Of matching lines the earliest, by (document id, line number), stays: a line is removed if
+Two lines match when they are equal, or have ``SHORT_CHARS`` characters or more and a Levenshtein distance of at most one (white space at
+both ends does not count; lines without a word are left alone). One edit in a shorter line ("St.", "It.") makes another line, so
+short lines match only if equal. Of matching lines the earliest, by (document id, line number), stays: a line is removed if
 an equal or matching line comes earlier anywhere in the table. Matching is not made transitive.
 
 1. Equal lines meet under a 128-bit digest; each distinct line has its first place.
@@ -11,10 +12,11 @@ an equal or matching line comes earlier anywhere in the table. Matching is not m
 3. For the others all variants that lack one character are emitted as hashed keys (of the half that did not match the edit
    may lie anywhere, so all positions are). Lines of equal length that share (variant, position) differ in that position
    alone; a line that equals a variant of another is one character shorter. Each variant key takes the earliest line under it, so a
-   group costs its size, not its square.
-4. The earliest match is verified with ``levenshtein`` on the texts and the later line removed.
+   group costs its size, not its square. Variants are hashed by blocks: n characters cost n times the block length, which
+   is the root of n for very long lines.
+4. The earliest match is verified with ``levenshtein`` on what the texts do not share at both ends, and the later line removed.
 
-``scaled=True`` lets the bound grow with the line. Lines under ``SHORT_CHARS`` characters match only if equal. Lines of ten words or more
+``scaled=True`` lets the bound grow with the line. Lines of ten words or more
 also match if they have as many words and agree outside one of ten (from 20 words on: two of twenty) blocks of consecutive words, that
 is, outside a tenth of their words; any one (from 20 words on: any two) replaced words are found, whatever their
 length. Such lines agree in one of two (three) parts, and in the hash that leaves those blocks out; all under that hash match, so the earliest one is
@@ -37,8 +39,12 @@ from pyspark.sql import functions as F
 from routeflow.llm.common import SPACE, fresh_name, let, small_side, staged
 
 MAX_EDITS = 1
-#: With a scaled bound: below this length only equal lines match.
+#: Below this length only equal lines match.
 SHORT_CHARS = 10
+#: Least characters of a block of ``_variants``.
+BLOCK = 64
+#: Variants that a task is to emit.
+TASK_VARIANTS = 200_000
 
 
 #: The six white-space characters.
@@ -73,17 +79,80 @@ def _halves(line: Column, length: Column) -> Column:
 
 
 def _variants(line: Column, length: Column) -> Column:
-    """The line itself (position -1, for a line one longer) and all variants that lack one character."""
-    cut = F.transform(
-        F.sequence(F.lit(1), length),
-        lambda i: F.struct(
-            F.xxhash64(F.concat(F.substring(line, F.lit(1), i - 1), F.substring(line, i + 1, length))).alias("variant"),
-            length.alias("longer"),
-            i.alias("position"),
-        ),
-    )
-    own = F.struct(F.xxhash64(line).alias("variant"), (length + 1).alias("longer"), F.lit(-1).alias("position"))
-    return F.concat(F.array(own), cut)
+    """All variants of the line that lack one character, and the keys (position -1) under which it is one for a line one longer.
+
+    A variant is hashed by blocks of the longer line: what precedes the block of the missing character, that block without it, and what
+    follows. Blocks have ``BLOCK`` characters, the root of the length beyond its square, so that a line of n characters costs n times that.
+    """
+
+    def width(longer: Column) -> Column:
+        return F.greatest(F.lit(BLOCK), F.ceil(F.sqrt(longer)).cast("int"))
+
+    def around(longer: Column, size: Column, lack: int) -> Column:
+        """A block's number, first position and characters, and the hash of the rest; ``lack`` characters are missing in the block."""
+
+        def of(k: Column) -> Column:
+            start = k * size
+            wide = F.least(size, longer - start) - lack
+            rest = F.xxhash64(longer, k, F.substring(line, F.lit(1), start), F.substring(line, start + wide + 1, length))
+            return F.struct(start.alias("start"), F.substring(line, start + 1, wide).alias("block"), rest.alias("rest"))
+
+        return F.transform(F.sequence(F.lit(0), F.ceil(longer / size).cast("int") - 1), of)
+
+    def cut(x: Column) -> Column:
+        n = F.length(x["block"])
+        return F.transform(
+            F.sequence(F.lit(1), n),
+            lambda i: F.struct(
+                F.xxhash64(x["rest"], F.concat(F.substring(x["block"], F.lit(1), i - 1), F.substring(x["block"], i + 1, n))).alias("variant"),
+                length.alias("longer"),
+                (x["start"] + i).alias("position"),
+            ),
+        )
+
+    def own(x: Column, i: Column) -> Column:
+        return F.struct(x.alias("variant"), (length + 1).alias("longer"), (-1 - i).alias("position"))
+
+    lacking = F.flatten(F.transform(let(width(length), lambda w: around(length, w, 0)), cut))
+    whole = F.transform(let(width(length + 1), lambda w: around(length + 1, w, 1)), lambda x: F.xxhash64(x["rest"], x["block"]))
+    return F.concat(F.transform(whole, own), lacking)
+
+
+def _near(one: Column, other: Column) -> Column:
+    """Whether the Levenshtein distance is within ``MAX_EDITS``, in n times the root of n steps for n characters.
+
+    Whole blocks that the lines share at their start and end do not count for the distance. With one edit less than two blocks and a
+    character remain, to which ``levenshtein`` is applied.
+    """
+    longest = F.greatest(F.length(one), F.length(other))
+    shortest = F.least(F.length(one), F.length(other))
+    size = F.greatest(F.lit(BLOCK), F.ceil(F.sqrt(longest)).cast("int"))
+    pair = F.struct(one.alias("a"), other.alias("b"), F.length(one).alias("na"), F.length(other).alias("nb"), shortest.alias("n"), size.alias("w"))
+
+    def shared(n: Column, differ) -> Column:
+        """How many of blocks 0 to n - 1 are equal before the first that is not."""
+        return (F.array_position(F.transform(F.sequence(F.lit(0), n), lambda k: (k >= n) | differ(k)), True) - 1).cast("int")
+
+    def head(x: Column) -> Column:
+        def differ(k: Column) -> Column:
+            return F.substring(x["a"], k * x["w"] + 1, x["w"]) != F.substring(x["b"], k * x["w"] + 1, x["w"])
+
+        return F.struct(x.alias("x"), (x["w"] * shared(F.floor(x["n"] / x["w"]).cast("int"), differ)).alias("head"))
+
+    def tail(y: Column) -> Column:
+        x, w = y["x"], y["x"]["w"]
+
+        def differ(k: Column) -> Column:
+            return F.substring(x["a"], x["na"] - (k + 1) * w + 1, w) != F.substring(x["b"], x["nb"] - (k + 1) * w + 1, w)
+
+        return F.struct(x.alias("x"), y["head"].alias("head"), (w * shared(F.floor((x["n"] - y["head"]) / w).cast("int"), differ)).alias("tail"))
+
+    def judge(z: Column) -> Column:
+        x = z["x"]
+        left = [F.substring(x[c], z["head"] + 1, x[n] - z["head"] - z["tail"]) for c, n in (("a", "na"), ("b", "nb"))]
+        return F.when(F.greatest(x["na"], x["nb"]) - z["head"] - z["tail"] > 2 * x["w"] + 1, F.lit(False)).otherwise(F.levenshtein(*left, MAX_EDITS) >= 0)
+
+    return let(let(let(pair, head), tail), judge)
 
 
 def _blocks(line: Column) -> Column:
@@ -151,9 +220,12 @@ def candidate_digests(lines: DataFrame, halves: str = "halves") -> DataFrame:
 def near_lines(found: DataFrame) -> DataFrame:
     """(digest, keeper) for distinct lines (digest, line, first) that have an earlier line within the edit bound.
 
-    ``first`` is any orderable column; ``keeper`` is the digest of the earliest match.
+    ``first`` is any orderable column; ``keeper`` is the digest of the earliest match. Lines are dealt out by what they will emit
+    before any variant is.
     """
-    emitted = found.select("digest", "first", F.explode(let(F.col("line"), lambda x: _variants(x, F.length(x)))).alias("v")).select("digest", "first", "v.*")
+    amount = found.agg(F.sum(F.length("line"))).head()[0] or 0
+    found = found.repartition(amount // TASK_VARIANTS + 1, "digest")
+    emitted = found.select("digest", "first", F.explode(let(F.struct("line", F.length("line").alias("length")), lambda x: _variants(x["line"], x["length"]))).alias("v")).select("digest", "first", "v.*")
     place = F.struct("first", "digest")
     under = Window.partitionBy("variant", "longer")
     shorter = F.min(F.when(F.col("position") < 0, place)).over(under)
@@ -164,18 +236,16 @@ def near_lines(found: DataFrame) -> DataFrame:
     pairs = linked.groupBy("digest").agg(F.min("best").alias("best")).select("digest", F.col("best.digest").alias("keeper"))
     text = found.select("digest", "line")
     both = pairs.join(text, "digest").join(text.select(F.col("digest").alias("keeper"), F.col("line").alias("kept_line")), "keeper")
-    distance = F.levenshtein(F.col("line"), F.col("kept_line"), MAX_EDITS)  # -1 beyond the bound
-    return both.where(distance >= 0).select("digest", "keeper")
+    return both.where(_near(F.col("line"), F.col("kept_line"))).select("digest", "keeper")
 
 
 def removed_places(docs: DataFrame, text: str = "text", key: str = "doc_id", scaled: bool = False) -> DataFrame:
     """(doc, text_hash, gone): numbers, from 0, of the lines to remove of each document that loses any."""
     scanned = _places(docs, text, key)
     halves = let(F.col("line"), lambda x: _halves(x, F.length(x)))
-    keys = {"halves": halves}
+    keys = {"halves": F.when(F.length("line") >= SHORT_CHARS, halves).otherwise(F.array().cast("array<bigint>"))}
     if scaled:
-        none = F.array().cast("array<bigint>")
-        keys = {"halves": F.when(F.length("line") >= SHORT_CHARS, halves).otherwise(none), "parts": let(_blocks(F.col("line")), _parts)}
+        keys["parts"] = let(_blocks(F.col("line")), _parts)
     places = staged(scanned.select("doc", "text_hash", "n", "digest", *(v.alias(k) for k, v in keys.items())), "line-places")
     lines = staged(places.groupBy("digest").agg(F.min(_place()).alias("first"), *(F.first(k).alias(k) for k in keys)), "distinct-lines")
     candidates = staged(candidate_digests(lines), "line-candidates")

@@ -31,7 +31,7 @@ l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(0, len(ls))) AS n FROM raw
 s AS (SELECT doc_id, n, line, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS x FROM l),
 o AS (SELECT * FROM s WHERE x <> ''),
 f AS (SELECT x, min((doc_id, n)) AS first, length(x) AS len FROM o GROUP BY x),
-k AS (SELECT x, first, len, unnest([len, len + 1]) AS t FROM f),
+k AS (SELECT x, first, len, unnest([len, len + 1]) AS t FROM f WHERE len >= 10),
 k2 AS (SELECT *, substr(x, 1, (t - 1) // 2) AS head, substr(x, len - (t - 1 - (t - 1) // 2) + 1, t - 1 - (t - 1) // 2) AS tail FROM k),
 c AS (SELECT a.x AS ax, b.x AS bx FROM k2 a JOIN k2 b ON a.t = b.t AND a.head = b.head AND b.first < a.first
       UNION SELECT a.x, b.x FROM k2 a JOIN k2 b ON a.t = b.t AND a.tail = b.tail AND b.first < a.first),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -271,7 +272,7 @@ def test_automaton_counts_like_a_set_of_substrings():
 
 
 def _one_edit(a, b):
-    if abs(len(a) - len(b)) > 1:
+    if abs(len(a) - len(b)) > 1 or min(len(a), len(b)) < 10:  # short lines match only if equal
         return False
     if len(a) == len(b):
         return sum(p != q for p, q in zip(a, b)) <= 1
@@ -290,7 +291,7 @@ def test_line_dedup(spark, cases, docs):
         for x in first:
             by_length[len(x)].append(x)
         for x in first:
-            if len(x) < 3000 and any(first[y] < first[x] and _one_edit(x, y) for d in (-1, 0, 1) for y in by_length[len(x) + d]):
+            if any(first[y] < first[x] and _one_edit(x, y) for d in (-1, 0, 1) for y in by_length[len(x) + d]):
                 near.add(x)
         gone = {p[:3] for p in places if first[p[3]] != p[:3] or p[3] in near}
         unclear = [i for i, n in Counter(i for i, _ in distinct).items() if n > 1]  # one id, several texts: place ties by hash
@@ -304,6 +305,30 @@ def test_line_dedup(spark, cases, docs):
     assert line_dedup.dedup_lines(empty(cases)).count() == 0
 
 
+def test_line_dedup_long_lines(spark):
+    """One edit anywhere in lines of any length is found, several are not; 80,000 characters are no trouble."""
+
+    def one_edit(x, y):
+        x, y = sorted((x, y), key=len)
+        same = next((k for k in range(len(x)) if x[k] != y[k]), len(x))
+        return len(x) >= 10 and len(y) - len(x) <= 1 and x[same + (len(x) == len(y)) :] == y[same + 1 :]
+
+    rng = random.Random(7)
+    lines = []
+    for n in (9, 10, 11, 63, 64, 65, 127, 128, 129, 500, 4096, 4097, 5000, 80_000):
+        base = "x" + "".join(rng.choice("abcd efgh") for _ in range(n - 2)) + "y"
+        lines.append(base)
+        for at in sorted({0, 63, 64, n // 2, n * 2 // 3, n - 1}):
+            if at < n:
+                head, tail = base[:at], base[at + 1 :]
+                lines += [head + "Z" + tail, head + tail, head + "Q" + base[at:], head + "##%%" + tail]
+    lines = [x.strip(BLANKS) for x in lines]
+    kept = {k for k, x in enumerate(lines) if not any(x == y or one_edit(x, y) for y in lines[:k])}
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert {r["doc_id"] for r in line_dedup.dedup_lines(df).where("n_removed = 0").collect()} == kept
+    assert len(lines) // 5 < len(kept) < len(lines) // 2
+
+
 # --- 8 ----------------------------------------------------------------------------------------------------------------
 
 PATTERNS = {
