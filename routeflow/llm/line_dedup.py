@@ -22,9 +22,10 @@ is, outside a tenth of their words; any one (from 20 words on: any two) replaced
 length. Such lines agree in one of two (three) parts, and in the hash that leaves those blocks out; all under that hash match, so the earliest one is
 taken as in step 3. A word more or less is not a match by blocks. The default stays at one edit.
 
-Distribution: shuffles carry digests, and texts of candidates only (candidates and removed line numbers are broadcast while
-small, see ``common.small_side``, and joined beyond); hot lines collapse in the partial aggregation of step 1. A variant group holds
-distinct lines that differ in one character only, so its size is bounded by alphabet and line length.
+Distribution: shuffles carry digests and texts of candidates, and the documents once, to meet their removed line numbers, whose number
+grows with the corpus (candidates are broadcast while small, see ``common.small_side``, and joined beyond, which shuffles the lines once
+more); hot lines collapse in the partial aggregation of step 1. A variant group holds distinct lines that differ in one character
+only, so its size is bounded by alphabet and line length.
 
 Defined results: a NULL text has no lines; an empty text stays empty; a line of any length is treated whole;
 rows that repeat id and text count as one document and get the same result; a NULL id comes last; an empty table gives an
@@ -267,7 +268,7 @@ def removed_places(docs: DataFrame, text: str = "text", key: str = "doc_id", sca
 
 def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", scaled: bool = False) -> DataFrame:
     """``docs`` with ``clean_text`` (the lines that stay), ``n_lines`` and ``n_removed`` (lines with a word)."""
-    gone = small_side(staged(removed_places(docs, text, key, scaled), "removed-lines"))
+    gone = staged(removed_places(docs, text, key, scaled), "removed-lines")  # grows with the corpus: joined alike at every size
     mark = fresh_name("__hash", docs.columns)
     marked = docs.withColumn(mark, F.xxhash64(text))
     joined = marked.join(gone, marked[key].eqNullSafe(gone["doc"]) & (marked[mark] == gone["text_hash"]), "left")
