@@ -23,11 +23,12 @@ from routeflow.operators import trace as TR
 from routeflow.operators import views as V
 from routeflow.operators.curate import curate
 from routeflow.plans.layers import Layers, fixture_curated, fixture_landing, fixture_layers, fixture_raw, fixture_rows, land_files, load_raw_rows, new_layers
-from routeflow.schemas import CURATED_COLUMNS, CURATED_SCHEMA, LOAD_TIMESTAMP, RAW_COLUMNS, RAW_SCHEMA, SOURCE_COLUMNS, SOURCE_FILE
+from routeflow.schemas import CURATED_COLUMNS, CURATED_SCHEMA, LOAD_TIMESTAMP, RAW_COLUMNS, RAW_SCHEMA, SOURCE_COLUMNS, SOURCE_FILE, full_width
 from routeflow.sources.fixtures import age_files
 from routeflow.sources.landing import (
-    REJECT_REASON,
+    CSV_WRITE_OPTIONS,
     REJECTED_RECORD,
+    REJECT_REASON,
     classify_landing,
     load_history,
     load_landing,
@@ -122,6 +123,22 @@ def q_csv_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw(spark, layers.raw).select(*SOURCE_COLUMNS)
 
 
+#: Digits put behind every whole number of seats, so that it takes more than 64 bits.
+WIDE_DIGITS = "00000000000000000007"
+
+
+def q_csv_wide_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole numbers beyond 64 bits load into a raw table of full width; the other rows round and fail as ever."""
+    layers, source = new_layers(spark, "csv-wide"), fixture_landing(spark, sf_dir)
+    text = read_landing(spark, [f"{source.landing}/{k}" for k in (1, 2)], source_file=None)
+    wide = F.when(F.col("seats").rlike("^[0-9]+$"), F.concat("seats", F.lit(WIDE_DIGITS))).otherwise(F.col("seats"))
+    text.withColumn("seats", wide).write.options(**CSV_WRITE_OPTIONS).csv(layers.landing)
+    schema = full_width(RAW_SCHEMA)
+    load_landing(spark, layers.landing, layers.raw, new_load_id("copy"), schema=schema)
+    rows = read_raw(spark, layers.raw, schema)
+    return rows.select("flight_number", F.col("stops").cast("long").alias("stops"), F.col("seats").cast("string").alias("seats_text"))
+
+
 def q_manual_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = new_layers(spark, "manual-insert")
     load_raw_rows(fixture_rows(spark, sf_dir), layers)
@@ -557,6 +574,7 @@ QUERIES: dict[str, QueryFn] = {
     "s_csv_load_defaults": q_csv_load_defaults,
     "s_csv_load_history": q_csv_load_history,
     "s_csv_quoted_breaks": q_csv_quoted_breaks,
+    "s_csv_wide_numbers": q_csv_wide_numbers,
     "k_manual_insert": q_manual_insert,
     "k_views_through_sql": q_views_through_sql,
     "k_sql_insert_defaults": q_sql_insert,

@@ -342,6 +342,12 @@ def oracle_sql() -> dict[str, str]:
     sql["s_csv_quoted_breaks"] = with_ctes(
         f"SELECT {raw_cols} FROM landing_typed WHERE reject_reason IS NULL", _landing_text_cte(line_breaks=True), _typed_landing_cte()
     )
+    sql["s_csv_wide_numbers"] = with_ctes(
+        "SELECT flight_number, CAST(stops AS BIGINT) AS stops, CASE WHEN regexp_full_match(seats, '[0-9]+') THEN seats || '00000000000000000007' "
+        "ELSE CAST(CAST(seats AS DECIMAL(38,0)) AS VARCHAR) END AS seats_text FROM landing_nulled "
+        "WHERE seats <> 'n/a' AND (flight_date IS NULL OR TRY_CAST(flight_date AS DATE) IS NOT NULL)",
+        *landing_ctes(),
+    )
     sql["p_curate_inserts"] = with_ctes(f"SELECT {cur_cols} FROM curated WHERE stops > 0")
     sql["k_views_through_sql"] = with_ctes(
         "SELECT route_key, is_international, flight_count FROM (SELECT route_key, is_international, count(*) AS flight_count FROM curated "

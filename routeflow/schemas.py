@@ -67,6 +67,18 @@ RAW_SCHEMA = T.StructType(
 )
 RAW_COLUMNS: tuple[str, ...] = tuple(RAW_SCHEMA.names)
 
+
+def full_width(schema: T.StructType) -> T.StructType:
+    """``schema`` with whole numbers of up to 38 digits in place of 64 bits."""
+    wide = T.DecimalType(38, 0)
+    return T.StructType([T.StructField(f.name, wide if isinstance(f.dataType, T.LongType) else f.dataType, f.nullable) for f in schema.fields])
+
+
+def landing_fields(schema: T.StructType) -> tuple[tuple[str, T.DataType], ...]:
+    """The columns of a table that its landing files hold, in file order: all but those that the load adds."""
+    return tuple((f.name, f.dataType) for f in schema.fields if f.name not in (LOAD_TIMESTAMP, SOURCE_FILE))
+
+
 CURATED_SCHEMA = T.StructType(
     _fields(SOURCE_FIELDS)
     + [

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from routeflow import fixed_values as FV
 from routeflow.functions import columns as C
-from routeflow.schemas import RAW_SCHEMA, SOURCE_FIELDS, SOURCE_FILE
+from routeflow.schemas import RAW_SCHEMA, SOURCE_FIELDS, SOURCE_FILE, landing_fields
 from routeflow.sources import ledger
 from routeflow.sources.tables import MAX_FILE_AGE, ROWS, conform, read_slices, stage_slice
 
@@ -211,9 +211,12 @@ def load_files(
     load_id: str,
     csv_options: dict[str, str] | None = None,
     force: bool = False,
+    schema: T.StructType = RAW_SCHEMA,
 ) -> int:
     """Load listed files into the raw table, each at most once; returns how many files this load took.
 
+    ``schema`` is the table's; the files hold its columns in order, but for those that the load adds.
+
     Rows, rejects and the files taken become visible together. If another load commits meanwhile the history is looked at again; what
     that load has taken is left out. A load id that was committed before adds nothing. Rows and rejects are two narrow passes.
     """
@@ -224,9 +227,10 @@ def load_files(
         if not wanted or ledger.holds(found, load_id):
             return 0
         if wanted != staged:
-            classified = classify_landing(read_files(spark, wanted, options=csv_options))
+            fields = landing_fields(schema)
+            classified = classify_landing(read_files(spark, wanted, fields, csv_options), fields)
             taken = spark.createDataFrame(wanted, FILES_SCHEMA).coalesce(1)
-            parts = {REJECTS: rejected_rows(classified), ROWS: conform(loaded_rows(classified), RAW_SCHEMA), FILES: taken}
+            parts = {REJECTS: rejected_rows(classified), ROWS: conform(loaded_rows(classified), schema), FILES: taken}
             staged, folder = wanted, stage_slice(parts, raw_path, load_id, LOAD_PREFIX)
         try:
             entry = ledger.commit(spark, raw_path, load_id, folder, expected=found[-1].position if found else -1)
@@ -236,11 +240,18 @@ def load_files(
 
 
 def load_landing(
-    spark: SparkSession, landing_path: str, raw_path: str, load_id: str, csv_options: dict[str, str] | None = None, force: bool = False
+    spark: SparkSession,
+    landing_path: str,
+    raw_path: str,
+    load_id: str,
+    csv_options: dict[str, str] | None = None,
+    force: bool = False,
+    schema: T.StructType = RAW_SCHEMA,
 ) -> int:
     """Bulk load (``COPY INTO raw``): the files under ``landing_path`` that were not loaded yet -> raw rows + rejects.
 
     A file that changed since (another size or time) counts as new; ``force`` takes all files again. ``load_timestamp`` takes the write
-    time. Returns the number of files taken.
+    time. Returns the number of files taken. ``schema`` is that of the table, which every load and ``read_raw`` must be given alike;
+    with ``schemas.full_width(RAW_SCHEMA)`` whole numbers keep up to 38 digits.
     """
-    return load_files(spark, list_files(spark, landing_path).collect(), raw_path, load_id, csv_options, force)
+    return load_files(spark, list_files(spark, landing_path).collect(), raw_path, load_id, csv_options, force, schema)

@@ -8,6 +8,7 @@ seen, and a load id is committed once, however often the write is repeated.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -79,6 +80,37 @@ def stage_slice(parts: dict[str, DataFrame], path: str, load_id: str, prefix: st
     return folder
 
 
+#: Slices that were not committed within a week of their last write are taken for abandoned.
+ABANDONED_S = 7 * 86_400
+
+
+def sweep(spark: SparkSession, path: str, abandoned_s: float = ABANDONED_S) -> list[str]:
+    """Delete what crashed or outrun writers left in the table's folder; returns the slice folders that went.
+
+    A slice folder goes if no ledger entry names it, those before a reset included, and nothing in it was written for
+    ``abandoned_s`` seconds, which must be longer than any load takes. Folders are judged before the ledger is read, so a slice that is
+    committed meanwhile stays. Temporary ledger files of that age go too. Data that readers or streams can see is never touched.
+    """
+    hadoop, fs = ledger.file_system(spark, f"{path.rstrip('/')}/{DATA}")
+    log, _ = ledger.file_system(spark, f"{path.rstrip('/')}/{ledger.LEDGER}")
+    limit = time.time() * 1000 - abandoned_s * 1000
+
+    def newest(status) -> int:
+        below = fs.listStatus(status.getPath()) if status.isDirectory() else []
+        return max([status.getModificationTime(), *map(newest, below)])
+
+    old = [f.getPath() for f in fs.listStatus(hadoop) if newest(f) <= limit] if fs.exists(hadoop) else []
+    named = {e.folder for e in ledger.entries(spark, path)}
+    gone = [p for p in old if p.getName() not in named]
+    for p in gone:
+        fs.delete(p, True)
+    if fs.exists(log):
+        for f in fs.listStatus(log):
+            if ledger.is_temporary(f.getPath().getName()) and f.getModificationTime() <= limit:
+                fs.delete(f.getPath(), False)
+    return sorted(p.getName() for p in gone)
+
+
 def write_layer(df: DataFrame, path: str, load_id: str, schema: T.StructType | None = None) -> str:
     """Append ``df`` as the ``load_id`` slice of a layer table; a slice committed before is left as it is.
 
@@ -101,8 +133,8 @@ def ensure_layer(spark: SparkSession, path: str, schema: T.StructType) -> None:
     make_folder(spark, f"{path.rstrip('/')}/{ledger.LEDGER}")
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    return read_layer(spark, path, RAW_SCHEMA)
+def read_raw(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
+    return read_layer(spark, path, schema)
 
 
 def read_curated(spark: SparkSession, path: str) -> DataFrame:

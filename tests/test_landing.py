@@ -1,7 +1,8 @@
 import datetime as dt
 import os
 
-from routeflow.schemas import SOURCE_COLUMNS
+from routeflow.operators.curate import curate
+from routeflow.schemas import RAW_SCHEMA, SOURCE_COLUMNS, full_width
 from routeflow.sources.landing import classify_landing, load_landing, loaded_rows, read_landing, read_rejects, rejected_rows
 from routeflow.sources.tables import read_raw
 
@@ -75,3 +76,16 @@ def test_number_beyond_64_bits_is_rejected_under_its_own_reason(spark, fresh):
     _write(_local(fresh.landing), "wide.csv", [HEADER, GOOD, wide, GOOD.replace(",220,", ",many,")])
     reasons = rejected_rows(classify_landing(read_landing(spark, fresh.landing))).select("reject_reason").collect()
     assert sorted(r[0] for r in reasons) == ["seats", "seats:out_of_range"]
+
+
+def test_full_width_numbers(spark, fresh):
+    digits = "12345678901234567890123456789012345678"  # 38 of them
+    lines = [HEADER, GOOD, GOOD.replace(",220,", f",{digits},"), GOOD.replace(",220,", f",{digits}9,"), GOOD.replace(",220,", ",-2.5,"), GOOD.replace(",220,", ",many,")]
+    _write(_local(fresh.landing), "wide.csv", lines)
+    schema = full_width(RAW_SCHEMA)
+    assert load_landing(spark, fresh.landing, fresh.raw, "one", schema=schema) == 1
+    rows = read_raw(spark, fresh.raw, schema)
+    assert sorted(str(r["seats"]) for r in rows.collect()) == sorted(["220", digits, "-3"])
+    assert rows.schema["stops"].dataType.simpleString() == "decimal(38,0)"
+    assert sorted(r["reject_reason"] for r in read_rejects(spark, fresh.raw).collect()) == ["seats", "seats"]
+    assert digits in {str(r["seats"]) for r in curate(rows).collect()}  # curated rows keep the width

@@ -14,7 +14,7 @@ from routeflow.schemas import CURATED_SCHEMA, RAW_SCHEMA
 from routeflow.sources import landing, ledger
 from routeflow.sources.landing import files_with_quoted_breaks, list_files, load_files, load_history, load_landing, read_rejects
 from routeflow.sources.ledger_stream import LedgerReader
-from routeflow.sources.tables import conform, read_curated, read_layer, read_raw, reset_layer, stage_slice, write_layer
+from routeflow.sources.tables import conform, read_curated, read_layer, read_raw, reset_layer, stage_slice, sweep, write_layer
 from routeflow.streaming.incremental import create_change_stream, has_data, run_curation, run_ingest, stream_tag
 
 
@@ -62,6 +62,25 @@ def test_expected_head_that_has_moved(spark, fresh):
     assert ledger.commit(spark, fresh.raw, "b", "b", expected=0).position == 1
 
 
+def test_sweep_takes_only_abandoned_slices(spark, fresh):
+    write_layer(_rows(spark, "A", 2), fresh.raw, "first", RAW_SCHEMA)
+    reset_layer(spark, fresh.raw, RAW_SCHEMA)
+    write_layer(_rows(spark, "B", 3), fresh.raw, "second", RAW_SCHEMA)
+    torn = stage_slice({"rows": conform(_rows(spark, "T", 4), RAW_SCHEMA)}, fresh.raw, "torn")
+    left = os.path.join(_local(fresh.raw), ledger.LEDGER, "." + "0" * 32)
+    with open(left, "w") as f:
+        f.write("cut off")
+    before = {e.folder for e in ledger.entries(spark, fresh.raw) if e.folder}
+    assert sweep(spark, fresh.raw) == [] and os.path.exists(left)  # younger than a week
+    assert sweep(spark, fresh.raw, abandoned_s=0) == [torn] and not os.path.exists(left)
+    assert set(os.listdir(os.path.join(_local(fresh.raw), "data"))) - {torn} >= before  # the slice before the reset too
+    assert sweep(spark, fresh.raw, abandoned_s=0) == []
+    assert read_raw(spark, fresh.raw).count() == 3
+    write_layer(_rows(spark, "T", 4), fresh.raw, "torn", RAW_SCHEMA)  # the load is repeated
+    assert read_raw(spark, fresh.raw).count() == 7
+    assert sweep(spark, fresh.curated) == []  # no such table yet
+
+
 def test_slices_are_unseen_until_committed(spark, fresh):
     folder = stage_slice({"rows": conform(_rows(spark, "T", 3), RAW_SCHEMA)}, fresh.raw, "torn")
     assert read_raw(spark, fresh.raw).count() == 0
