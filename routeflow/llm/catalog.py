@@ -41,6 +41,12 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the rules decide of op2: the verdict is NULL where the model judges."""
+    ruled = F.when(F.col("rule").isNotNull(), F.col("verdict"))
+    return op2_url_filter(spark, sf_dir).withColumn("verdict", ruled)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("clean_text", 256).alias("clean_sha256"))
@@ -59,6 +65,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_table(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_mixing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes and targets of op5, without what the sample takes."""
+    return op5_mixing(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 3).alias("target"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = substring_dedup.remove_repeats(docs)
@@ -73,6 +84,11 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_table(pii.find_personal_data(table(spark, sf_dir, "documents")))
 
 
+def op8_base_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base kinds of op8, without the spans that the classifier adds."""
+    return op8_personal_data(spark, sf_dir).select("doc_id", *(f"n_{k}" for k in pii.KINDS), "base_sha256")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.annotate(table(spark, sf_dir, "documents"))
 
@@ -130,13 +146,16 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_url_filter": op2_url_filter,
+    "op2_url_rules": op2_url_rules,
     "op3_line_dedup": op3_line_dedup,
     "op3_line_dedup_scaled": op3_line_dedup_scaled,
     "op4_packing": op4_packing,
     "op5_mixing": op5_mixing,
+    "op5_mixing_targets": op5_mixing_targets,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_near_dedup": op7_near_dedup,
     "op8_personal_data": op8_personal_data,
+    "op8_base_spans": op8_base_spans,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality_rules": op10_quality_rules,
     "op11_fill_in_middle": op11_fill_in_middle,

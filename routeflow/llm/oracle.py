@@ -1,8 +1,8 @@
 """DuckDB SQL for the queries that SQL can express, written from the contracts, not from the operators.
 
-Left out: op2 (a trained model's verdict), op4, op5, op6, op7, op8, op12, op13 and the pipeline (tokenizer, sampling, signatures,
-EM, runs, probed lists);
-those are tested against brute force in ``tests/llm``.
+Left out: op4, op7, op12, op13 and the pipeline (tokenizer, signatures, runs, probed lists), and of op2, op5 and op8 what a model or a sample
+decides; those are tested against brute force in ``tests/llm``. What SQL can say of the latter three is compared under ``op2_url_rules``,
+``op5_mixing_targets`` and ``op8_base_spans``.
 """
 
 from __future__ import annotations
@@ -100,7 +100,81 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix
 FROM p
 """
 
-ORACLE: dict[str, str] = {"op1_warc": OP1, "op3_line_dedup": OP3, "op9_exact_dedup": OP9, "op10_quality_rules": OP10, "op11_fill_in_middle": OP11}
+OP2_RULES = r"""
+WITH rules(h, p, v) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+                               ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+a AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS named FROM u),
+b AS (SELECT page_id, translate(named, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(substr(rest, length(named) + 1), '^[^?#]*') AS path FROM a)
+SELECT page_id, host, path, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS verdict
+FROM b LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+GROUP BY page_id, host, path
+"""
+
+OP5_TARGETS = f"""
+WITH s AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {W}))::BIGINT AS size FROM documents),
+g AS (SELECT source, sum(size)::BIGINT AS z, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w FROM s GROUP BY source),
+-- words per weight at which the sources are filled: the largest of what is left per weight once the first of them are full
+l AS (SELECT max(((SELECT sum(z) FROM g) - coalesce((SELECT sum(3 * b.z) FROM g b WHERE b.z * a.w < a.z * b.w), 0))
+                 / (SELECT sum(b.w) FROM g b WHERE b.z * a.w >= a.z * b.w)) AS level FROM g a)
+SELECT doc_id, size, z AS source_size, round(least(3.0 * z, level * w)::DOUBLE, 3) AS target
+FROM s JOIN g ON s.source IS NOT DISTINCT FROM g.source, l
+"""
+
+OP6 = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {W}) AS ws FROM documents),
+t AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS k FROM d),
+w AS (SELECT doc_id, i, md5(array_to_string(ws[i:i+34], ' ')) AS h FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM d)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY h) AS n FROM w) WHERE n > 1),
+m AS (SELECT t.doc_id, word, k, max(i) OVER (PARTITION BY t.doc_id ORDER BY k ROWS 34 PRECEDING) IS NOT NULL AS gone
+      FROM t LEFT JOIN twice ON t.doc_id = twice.doc_id AND k = i)
+SELECT d.doc_id, count(word) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY k) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM d LEFT JOIN m ON d.doc_id = m.doc_id GROUP BY d.doc_id
+"""
+
+
+def _matches(number: int, pattern: str, valid: str) -> str:
+    """Rows (doc_id, kind, s, e) of the valid matches of a pattern, placed by what stands between them; ``v`` is the match, ``x`` its digits."""
+    return f"""
+SELECT doc_id, {number} AS kind, s, s + length(v) AS e FROM (
+  SELECT doc_id, v, s, regexp_replace(v, '[^0-9]', '', 'g') AS x FROM (
+    SELECT doc_id, unnest(f) AS v, unnest(list_transform(range(1, len(f) + 1), lambda k:
+      length(array_to_string(gaps[1:k], '')) + length(array_to_string(f[1:k - 1], '')))) AS s
+    FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS f, string_split_regex(t, '{pattern}') AS gaps FROM d)))
+WHERE {valid}"""
+
+
+_LUHN = """length(x) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length(x) + 1), lambda k:
+  CAST(substr(reverse(x), k, 1) AS INTEGER) * (2 - k % 2) - CASE WHEN k % 2 = 0 AND substr(reverse(x), k, 1) > '4' THEN 9 ELSE 0 END)) % 10 = 0"""
+
+OP8_BASE = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({" UNION ALL ".join([
+    _matches(0, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+", "TRUE"),
+    _matches(1, r"[0-9]+[.][0-9]+[.][0-9]+[.][0-9]+", "len(list_filter(string_split(v, '.'), lambda p: length(ltrim(p, '0')) > 3 OR TRY_CAST(p AS BIGINT) > 255)) = 0"),
+    _matches(2, r"[0-9](?:[ -]?[0-9])+", _LUHN),
+    _matches(3, r"[+][0-9][ ().0-9-]+[0-9]", "length(x) BETWEEN 9 AND 15"),
+])})
+SELECT d.doc_id, count(*) FILTER (WHERE kind = 0) AS n_email, count(*) FILTER (WHERE kind = 1) AS n_ip, count(*) FILTER (WHERE kind = 2) AS n_card,
+       count(*) FILTER (WHERE kind = 3) AS n_phone,
+       sha256(coalesce(string_agg(['email', 'ip', 'card', 'phone'][kind + 1] || ':' || s || ':' || e, ',' ORDER BY s, kind) FILTER (WHERE kind IS NOT NULL), ''))
+         AS base_sha256
+FROM d LEFT JOIN m ON d.doc_id = m.doc_id GROUP BY d.doc_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_url_rules": OP2_RULES,
+    "op5_mixing_targets": OP5_TARGETS,
+    "op6_substring_dedup": OP6,
+    "op8_base_spans": OP8_BASE,
+    "op1_warc": OP1,
+    "op3_line_dedup": OP3,
+    "op9_exact_dedup": OP9,
+    "op10_quality_rules": OP10,
+    "op11_fill_in_middle": OP11,
+}
 
 
 def oracle_sql() -> dict[str, str]:
