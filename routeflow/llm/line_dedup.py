@@ -1,8 +1,7 @@
 """Line deduplication by a deletion-neighbourhood join.
 
-Two lines match when they are equal, or have ``SHORT_CHARS`` characters or more and a Levenshtein distance of at most one (white space at
-both ends does not count; lines without a word are left alone). One edit in a shorter line ("St.", "It.") makes another line, so
-short lines match only if equal. Of matching lines the earliest, by (document id, line number), stays: a line is removed if
+Two lines match when their Levenshtein distance is at most one (white space at both ends does not count; lines without a word are left
+alone), whatever their length. Of matching lines the earliest, by (document id, line number), stays: a line is removed if
 an equal or matching line comes earlier anywhere in the table. Matching is not made transitive.
 
 1. Equal lines meet under a 128-bit digest; each distinct line has its first place.
@@ -40,8 +39,6 @@ from pyspark.sql import functions as F
 from routeflow.llm.common import SPACE, fresh_name, let, small_side, staged
 
 MAX_EDITS = 1
-#: Below this length only equal lines match.
-SHORT_CHARS = 10
 #: Least characters of a block of ``_variants``.
 BLOCK = 64
 #: Variants that a task is to emit.
@@ -243,8 +240,7 @@ def near_lines(found: DataFrame) -> DataFrame:
 def removed_places(docs: DataFrame, text: str = "text", key: str = "doc_id", scaled: bool = False) -> DataFrame:
     """(doc, text_hash, gone): numbers, from 0, of the lines to remove of each document that loses any."""
     scanned = _places(docs, text, key)
-    halves = let(F.col("line"), lambda x: _halves(x, F.length(x)))
-    keys = {"halves": F.when(F.length("line") >= SHORT_CHARS, halves).otherwise(F.array().cast("array<bigint>"))}
+    keys = {"halves": let(F.col("line"), lambda x: _halves(x, F.length(x)))}
     if scaled:
         keys["parts"] = let(_blocks(F.col("line")), _parts)
     places = staged(scanned.select("doc", "text_hash", "n", "digest", *(v.alias(k) for k, v in keys.items())), "line-places")

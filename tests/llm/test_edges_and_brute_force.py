@@ -272,7 +272,7 @@ def test_automaton_counts_like_a_set_of_substrings():
 
 
 def _one_edit(a, b):
-    if abs(len(a) - len(b)) > 1 or min(len(a), len(b)) < 10:  # short lines match only if equal
+    if abs(len(a) - len(b)) > 1:
         return False
     if len(a) == len(b):
         return sum(p != q for p, q in zip(a, b)) <= 1
@@ -305,13 +305,22 @@ def test_line_dedup(spark, cases, docs):
     assert line_dedup.dedup_lines(empty(cases)).count() == 0
 
 
+def test_line_dedup_short_lines(spark):
+    """One edit is found in lines under ten characters too, down to a single one."""
+    lines = ["St.", "It.", "Its", "a", "b", "ab", "xyz", "nine char", "nine chat", "nine chars", "other"]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    kept = {k for k, x in enumerate(lines) if not any(x == y or _one_edit(*sorted((x, y), key=len, reverse=True)) for y in lines[:k])}
+    assert kept == {0, 3, 6, 7, 10}
+    assert {r["doc_id"] for r in line_dedup.dedup_lines(df).where("n_removed = 0").collect()} == kept
+
+
 def test_line_dedup_long_lines(spark):
     """One edit anywhere in lines of any length is found, several are not; 80,000 characters are no trouble."""
 
     def one_edit(x, y):
         x, y = sorted((x, y), key=len)
         same = next((k for k in range(len(x)) if x[k] != y[k]), len(x))
-        return len(x) >= 10 and len(y) - len(x) <= 1 and x[same + (len(x) == len(y)) :] == y[same + 1 :]
+        return len(y) - len(x) <= 1 and x[same + (len(x) == len(y)) :] == y[same + 1 :]
 
     rng = random.Random(7)
     lines = []
