@@ -261,7 +261,8 @@ def apply_batch_provider(df: DataFrame, prompt_col: Column, provider: BatchProvi
         score_unseen(distinct, provider)
         scored = memo_answers(df.sparkSession, provider.memo)
     answer = F.get_json_object(F.col("answer"), f"$.{provider.field}") if provider.field else F.col("answer")
-    scored = scored.select(F.col("digest").alias(key), answer.alias(output))
+    # As many as the rows may be: not to be broadcast on the planner's guess of 20 bytes for any text.
+    scored = scored.select(F.col("digest").alias(key), answer.alias(output)).hint("merge")
     # Rows without a prompt stay out of the join, where they would all meet in one partition.
     unasked = with_key.where(F.col(key).isNull()).withColumn(output, F.lit(None).cast(T.StringType()))
     return with_key.where(F.col(key).isNotNull()).join(scored, key, "left").drop(key).unionByName(unasked.drop(key))

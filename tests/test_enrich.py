@@ -164,3 +164,12 @@ def test_fact_lister_uses_its_model(spark):
     df = spark.createDataFrame([("Flight AA100 from New York to Paris, 5541 km",)], "p string")
     for model, want in (("numbers", "100; 5541"), ("names", "Flight AA; New York; Paris")):
         assert E.complete(df, F.col("p"), E.BatchProvider(E.fact_lister(), model=model), output="o").first()["o"] == want
+
+
+def test_answers_are_not_broadcast_on_a_guessed_size(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(50).select(F.concat(F.lit("Row "), F.col("id")).alias("p"))
+    out = E.complete(df, F.col("p"), E.BatchProvider(E.fact_lister(), model="names"), output="o")
+    assert out.where("o = 'Row'").count() == 50
+    assert "BroadcastExchange" not in out._jdf.queryExecution().executedPlan().toString()
