@@ -175,13 +175,21 @@ def orphan_count(curated: DataFrame, raw: DataFrame, keys: Sequence[str] = TRACE
     return orphans.agg(F.coalesce(F.sum("_c"), F.lit(0)).cast(T.LongType()).alias("orphans"))
 
 
+#: Orphan keys that may be broadcast.
+BROADCAST_KEYS = 400_000
+
+
 def orphan_rows(curated: DataFrame, raw: DataFrame, keys: Sequence[str] = TRACE_KEY_COLUMNS) -> DataFrame:
-    """The curated rows themselves that trace to no raw row (``NOT EXISTS`` as a left anti join
-    against the distinct cleaned raw keys)."""
-    _, r_keys = trace_keys(curated, raw, keys)
-    r_keys = r_keys.where(C.all_not_null(keys)).distinct().alias("_r")
+    """The curated rows themselves that trace to no raw row (``NOT EXISTS``).
+
+    Keys alone are compared, by a left anti join of the distinct complete ones of both sides. The orphan keys are counted first: while they
+    are few they are broadcast, and no whole row is shuffled.
+    """
+    c_keys, r_keys = (side.where(C.all_not_null(keys)).distinct() for side in trace_keys(curated, raw, keys))
+    lost = c_keys.join(r_keys, list(keys), "left_anti")
+    lost = (F.broadcast(lost) if lost.count() <= BROADCAST_KEYS else lost).alias("_r")
     keyed = curated.where(C.all_not_null(keys))
-    orphans = keyed.join(r_keys, [keyed[k] == F.col(f"_r.{k}") for k in keys], "left_anti")
+    orphans = keyed.join(lost, [keyed[k] == F.col(f"_r.{k}") for k in keys], "left_semi")
     return orphans.unionByName(curated.where(C.any_null(keys)))  # a NULL key never matches: no need to shuffle those
 
 

@@ -106,3 +106,23 @@ def test_audit_history_and_recent(spark, fresh):
     recent = Q.recent_audit(Q.read_audit(spark, fresh.audit), as_of=now).collect()
     assert len(recent) == 3  # the run exactly 5 minutes old is excluded (strict)
     assert recent[0]["run_at"] == now - dt.timedelta(minutes=1)
+
+
+def test_orphan_rows_shuffle_no_whole_row(spark):
+    """Only keys meet before the few orphan keys are known; the rows of those, NULL keys and repeats included, come back whole."""
+    from pyspark.sql import functions as F
+
+    names = ["airline_code", "flight_number", "flight_date", "note"]
+    curated = spark.createDataFrame([("A", "1", "d", "x"), ("A", "2", "d", "y"), ("A", "2", "d", "y"), ("A", None, "d", "z")], names)
+    raw = spark.createDataFrame([(" a ", "1", "d"), (None, "2", "d")], names[:3])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = Q.orphan_rows(curated, raw)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r["note"] for r in out.collect()) == ["y", "y", "z"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert any("BroadcastHashJoin" in x and "LeftSemi" in x for x in plan.split("\n"))
+    assert Q.orphan_rows(curated.where("note = 'x'"), raw).count() == 0
+    assert Q.orphan_rows(curated, raw.where(F.lit(False))).count() == 4
