@@ -17,13 +17,16 @@ from pyspark.sql import types as T
 from routeflow.functions import columns as C
 from routeflow.operators import quality as Q
 from routeflow.operators.states import key_digest, raw_trace_state, trace_state
+from routeflow.session import staged
 from routeflow.schemas import CURATED_SCHEMA, RAW_SCHEMA, TRACE_KEY_COLUMNS
 from routeflow.sources import ledger
 from routeflow.sources.catalog_tables import SLICE, Names, declare_table, partitions
-from routeflow.sources.tables import read_slices
+from routeflow.sources.tables import read_layer, read_slices
 
 RAW_KEYS, CURATED_KEYS = "trace_raw_keys", "trace_curated_keys"
 BUCKETS = 64
+#: Rows of both tables whose keys one bucket, that is, one task, is to hold.
+BUCKET_ROWS = 1_000_000
 
 _KEY, _SLICE = T.StructField("trace", T.BinaryType()), T.StructField(SLICE, T.StringType())
 KEY_TABLES = {
@@ -38,6 +41,12 @@ def declare_keys(spark: SparkSession, names: Names, buckets: int = BUCKETS) -> N
         declare_table(spark, names, name, schema, options=f"PARTITIONED BY (`{SLICE}`) CLUSTERED BY (trace) INTO {buckets} BUCKETS")
 
 
+def buckets_for(spark: SparkSession, raw_path: str, curated_path: str, least: int = 8, rows: int = BUCKET_ROWS) -> int:
+    """Buckets in proportion to the rows of the two layer tables (counted from Parquet footers)."""
+    held = read_layer(spark, raw_path, RAW_SCHEMA).count() + read_layer(spark, curated_path, CURATED_SCHEMA).count()
+    return max(least, -(-held // rows))
+
+
 def update_keys(spark: SparkSession, names: Names, raw_path: str, curated_path: str, buckets: int = BUCKETS) -> None:
     """Bring the key tables up to the committed slices; slices they hold are not read again, those a reset took out go."""
     for name, path in ((RAW_KEYS, raw_path), (CURATED_KEYS, curated_path)):
@@ -71,8 +80,8 @@ def trace_check(spark: SparkSession, names: Names, check: Q.Check = Q.CURATED_TR
 
 
 def orphan_rows(spark: SparkSession, names: Names, curated: DataFrame) -> DataFrame:
-    """``quality.orphan_rows``: the curated rows of the orphan keys. Only these keys meet the rows, on AQE's measured sizes."""
+    """``quality.orphan_rows``: the curated rows of the orphan keys. Only these keys meet the rows; written first, they are broadcast while few."""
     mark = "_trace"
-    lost = orphan_keys(spark, names).where("trace IS NOT NULL").select(F.col("trace").alias(mark)).distinct()
+    lost = staged(orphan_keys(spark, names).where("trace IS NOT NULL").select(F.col("trace").alias(mark)).distinct(), "orphan-keys")
     keyed = curated.where(C.all_not_null(TRACE_KEY_COLUMNS)).withColumn(mark, key_digest(TRACE_KEY_COLUMNS))
     return keyed.join(lost, mark, "left_semi").select(*curated.columns).unionByName(curated.where(C.any_null(TRACE_KEY_COLUMNS)))

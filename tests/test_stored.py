@@ -136,6 +136,13 @@ def test_trace_moves_no_row(spark, fresh):
     assert "SortMergeJoin" in plan and "Exchange" not in plan and plan.count("Bucketed: true") == 2
 
 
+def test_buckets_grow_with_the_rows(spark, fresh):
+    load(spark, fresh, {}, {"airline_code": "BB"}, {"airline_code": "CC"})
+    assert TR.buckets_for(spark, fresh.raw, fresh.curated) == 8
+    assert TR.buckets_for(spark, fresh.raw, fresh.curated, least=1, rows=2) == 3  # three rows in each table
+    assert TR.buckets_for(spark, fresh.landing, fresh.audit) == 8  # nothing there
+
+
 def test_empty_tables(spark, fresh):
     names = key_tables(spark, fresh)
     TR.update_keys(spark, names, fresh.raw, fresh.curated, buckets=4)
