@@ -53,8 +53,11 @@ CSV_READ_OPTIONS = {
     "multiLine": "false",  # keeps large files splittable; read_files sets it for the files that need it
 }
 
+#: Landing files are written compressed. Such a file is read by one task, so its rows are bounded.
 CSV_WRITE_OPTIONS = {
     "header": "true",
+    "compression": "gzip",
+    "maxRecordsPerFile": "500000",
     "quote": FV.CSV_QUOTE,
     "escape": FV.CSV_QUOTE,
     "ignoreLeadingWhiteSpace": "false",

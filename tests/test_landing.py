@@ -89,3 +89,14 @@ def test_full_width_numbers(spark, fresh):
     assert rows.schema["stops"].dataType.simpleString() == "decimal(38,0)"
     assert sorted(r["reject_reason"] for r in read_rejects(spark, fresh.raw).collect()) == ["seats", "seats"]
     assert digits in {str(r["seats"]) for r in curate(rows).collect()}  # curated rows keep the width
+
+
+def test_landing_files_are_compressed_and_load_whole(spark, fresh):
+    from routeflow.sources.landing import CSV_WRITE_OPTIONS
+
+    text = spark.range(7).selectExpr(*(f"concat('{c}', id) AS {c}" if c.endswith("name") else f"CAST(NULL AS STRING) AS {c}" for c in SOURCE_COLUMNS)).coalesce(1)
+    text.write.options(**{**CSV_WRITE_OPTIONS, "maxRecordsPerFile": "3"}).csv(fresh.landing)
+    names = [f for f in os.listdir(_local(fresh.landing)) if f.startswith("part-")]
+    assert len(names) == 3 and all(f.endswith(".csv.gz") for f in names)
+    assert load_landing(spark, fresh.landing, fresh.raw, "gz") == 3
+    assert sorted(r["airline_name"] for r in read_raw(spark, fresh.raw).collect()) == [f"airline_name{k}" for k in range(7)]
