@@ -45,3 +45,22 @@ def test_provider_answering_json_objects(spark):
 
     got = E.classify(cur, provider=E.BatchProvider(as_objects, field="label")).select("route_classification").collect()
     assert sorted(r[0] for r in got) == ["DOMESTIC_SHORT", "INTERNATIONAL_LONG_HAUL"]
+
+
+def test_lines_move_while_they_hold_numbers(spark):
+    """Where nothing is small enough to be broadcast unasked, lines are moved twice, without any name."""
+    from routeflow.sources import fixtures as FX
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    kept, FX.SPREAD_ROWS = FX.SPREAD_ROWS, 0
+    try:
+        df = FX.routes_from_tables(spark, "/root/testdata/sf0.001")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        FX.SPREAD_ROWS = kept
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    order = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x]
+    assert sum("l_orderkey" in x or "l_partkey" in x for x in order) == 2
+    assert not any("l_suppkey" in x or "s_suppkey" in x for x in order)
+    assert df.count() == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
