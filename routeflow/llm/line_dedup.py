@@ -1,7 +1,7 @@
 """Line deduplication by a deletion-neighbourhood join.
 
 Two lines match when their Levenshtein distance is at most one (white space at both ends does not count; lines without a word are left
-alone), whatever their length. Of matching lines the earliest, by (document id, line number), stays: a line is removed if
+alone), whatever their length (but see ``scaled``). Of matching lines the earliest, by (document id, line number), stays: a line is removed if
 an equal or matching line comes earlier anywhere in the table. Matching is not made transitive.
 
 1. Equal lines meet under a 128-bit digest; each distinct line has its first place.
@@ -15,7 +15,7 @@ an equal or matching line comes earlier anywhere in the table. Matching is not m
    is the root of n for very long lines.
 4. The earliest match is verified with ``levenshtein`` on what the texts do not share at both ends, and the later line removed.
 
-``scaled=True`` lets the bound grow with the line. Lines of ten words or more
+``scaled=True`` lets the bound grow with the line. Lines under ``SHORT_CHARS`` characters match only if equal. Lines of ten words or more
 also match if they have as many words and agree outside one of ten (from 20 words on: two of twenty) blocks of consecutive words, that
 is, outside a tenth of their words; any one (from 20 words on: any two) replaced words are found, whatever their
 length. Such lines agree in one of two (three) parts, and in the hash that leaves those blocks out; all under that hash match, so the earliest one is
@@ -39,6 +39,8 @@ from pyspark.sql import functions as F
 from routeflow.llm.common import SPACE, fresh_name, let, small_side, staged
 
 MAX_EDITS = 1
+#: With a scaled bound: below this length only equal lines match.
+SHORT_CHARS = 10
 #: Least characters of a block of ``_variants``.
 BLOCK = 64
 #: Variants that a task is to emit.
@@ -240,7 +242,10 @@ def near_lines(found: DataFrame) -> DataFrame:
 def removed_places(docs: DataFrame, text: str = "text", key: str = "doc_id", scaled: bool = False) -> DataFrame:
     """(doc, text_hash, gone): numbers, from 0, of the lines to remove of each document that loses any."""
     scanned = _places(docs, text, key)
-    keys = {"halves": let(F.col("line"), lambda x: _halves(x, F.length(x)))}
+    halves = let(F.col("line"), lambda x: _halves(x, F.length(x)))
+    if scaled:
+        halves = F.when(F.length("line") >= SHORT_CHARS, halves).otherwise(F.array().cast("array<bigint>"))
+    keys = {"halves": halves}
     if scaled:
         keys["parts"] = let(_blocks(F.col("line")), _parts)
     places = staged(scanned.select("doc", "text_hash", "n", "digest", *(v.alias(k) for k, v in keys.items())), "line-places")
