@@ -64,3 +64,31 @@ def test_lines_move_while_they_hold_numbers(spark):
     assert sum("l_orderkey" in x or "l_partkey" in x for x in order) == 2
     assert not any("l_suppkey" in x or "s_suppkey" in x for x in order)
     assert df.count() == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+
+
+def test_rows_for_loads_are_rendered_from_stored_lines(spark, monkeypatch):
+    """Queries that only load rows write neither the fixture's raw nor its curated table; one that reads raw writes no curated one."""
+    from routeflow.plans import layers as L
+    from routeflow.sources import fixtures as FX
+
+    monkeypatch.setattr(L, "_BUILT", {})
+    sf = "/root/testdata/sf0.001"
+    rows = L.fixture_rows(spark, sf)
+    assert {key[0] for key in L._BUILT} == {"lines"}
+    want = FX.routes_from_tables(spark, sf)
+    assert rows.schema.simpleString() == want.schema.simpleString()
+    assert rows.exceptAll(want).isEmpty() and want.exceptAll(rows).isEmpty()
+    L.fixture_raw(spark, sf)
+    assert {key[0] for key in L._BUILT} == {"lines", "raw"}
+
+
+def test_slices_are_compressed_with_zstd(spark, fresh):
+    import glob
+
+    from routeflow.sources.tables import read_layer, write_layer
+
+    df = spark.range(10).selectExpr("id", "concat('name ', id) AS name")
+    write_layer(df, fresh.raw, "one")
+    files = glob.glob(f"{fresh.raw.removeprefix('file:')}/data/*/rows/*.parquet")
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+    assert read_layer(spark, fresh.raw, df.schema).count() == 10
