@@ -7,7 +7,8 @@ Providers come in two kinds:
 * **Batch providers** take a pandas Series of prompts and return a Series of outputs (e.g. a model
   client). They run as *de-duplicated inference joined back*: distinct prompts -> ``mapInPandas`` in
   Arrow batches -> left join on a digest of the prompt, so prompt texts are shuffled once, for the scoring. Each distinct
-  prompt is scored once, row count is kept, NULL prompts give NULL.
+  prompt is scored once, row count is kept, NULL prompts give NULL. Answers are stored when the join is built; few ones for many rows
+  are broadcast, so that no row moves.
 
 With a **memo**, a layer table of prompt digests and answers, only prompts that no earlier run has an answer for are scored. A prompt
 whose scoring fails is kept there with its error, gives NULL, and is tried again by the next run.
@@ -26,7 +27,7 @@ from pyspark.sql import types as T
 from routeflow import fixed_values as FV
 from routeflow.functions import columns as C
 from routeflow.schemas import ENRICHED_COLUMNS
-from routeflow.session import shared_root
+from routeflow.session import shared_root, staged
 from routeflow.sources import ledger
 from routeflow.sources.tables import new_load_id, read_layer, read_slices, stage_slice
 
@@ -249,6 +250,19 @@ def score_unseen(prompts: DataFrame, provider: BatchProvider) -> int:
     return count
 
 
+#: Stored answers of at most this many rows and bytes may be broadcast.
+BROADCAST_ANSWERS, BROADCAST_BYTES = 400_000, 32_000_000
+#: Rows an answer must serve on average for it.
+ROWS_AN_ANSWER = 4
+
+
+def _few(scored: DataFrame, key: str, output: str, asked: DataFrame) -> bool:
+    """Whether the stored answers are small, and few for the rows that ask, by their counted size."""
+    size = F.sum(F.octet_length(key) + F.coalesce(F.octet_length(output), F.lit(0)))
+    rows, held = scored.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).head()
+    return 0 < rows <= BROADCAST_ANSWERS and held <= BROADCAST_BYTES and asked.count() >= ROWS_AN_ANSWER * rows
+
+
 def apply_batch_provider(df: DataFrame, prompt_col: Column, provider: BatchProvider, output: str) -> DataFrame:
     """Score each distinct prompt once in Arrow batches and join the result back (row count kept)."""
     key = "_digest"
@@ -256,13 +270,14 @@ def apply_batch_provider(df: DataFrame, prompt_col: Column, provider: BatchProvi
     prompts = df.select(prompt_col.alias("prompt")).where(F.col("prompt").isNotNull()).select(provider.digest(F.col("prompt")).alias("digest"), "prompt")
     distinct = prompts.groupBy("digest").agg(F.first("prompt").alias("prompt"))
     if provider.memo is None:
-        scored = _scored(distinct, provider)
+        scored = staged(_scored(distinct, provider), "answers")
     else:
         score_unseen(distinct, provider)
         scored = memo_answers(df.sparkSession, provider.memo)
     answer = F.get_json_object(F.col("answer"), f"$.{provider.field}") if provider.field else F.col("answer")
-    # As many as the rows may be: not to be broadcast on the planner's guess of 20 bytes for any text.
-    scored = scored.select(F.col("digest").alias(key), answer.alias(output)).hint("merge")
+    scored = scored.select(F.col("digest").alias(key), answer.alias(output))
+    # As many as the rows may be: not to be broadcast on the planner's guess of 20 bytes for any text, but on what was counted.
+    scored = scored.hint("broadcast" if _few(scored, key, output, df.where(prompt_col.isNotNull())) else "merge")
     # Rows without a prompt stay out of the join, where they would all meet in one partition.
     unasked = with_key.where(F.col(key).isNull()).withColumn(output, F.lit(None).cast(T.StringType()))
     return with_key.where(F.col(key).isNotNull()).join(scored, key, "left").drop(key).unionByName(unasked.drop(key))

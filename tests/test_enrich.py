@@ -173,3 +173,16 @@ def test_answers_are_not_broadcast_on_a_guessed_size(spark):
     out = E.complete(df, F.col("p"), E.BatchProvider(E.fact_lister(), model="names"), output="o")
     assert out.where("o = 'Row'").count() == 50
     assert "BroadcastExchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_few_answers_for_many_rows_are_broadcast(spark):
+    """No row moves to meet an answer that many rows share; rows without a prompt, or without an answer, stay."""
+    from pyspark.sql import functions as F
+
+    p = F.when(F.col("id") % 10 != 9, F.concat(F.lit("Row "), F.col("id") % 5))
+    df = spark.range(60).select("id", p.alias("p"))
+    out = E.complete(df, F.col("p"), E.BatchProvider(lambda s: s.map(lambda t: None if t == "Row 3" else t.upper())), output="o")
+    got = {r["id"]: r["o"] for r in out.collect()}
+    assert got == {i: None if i % 10 == 9 or i % 5 == 3 else f"ROW {i % 5}" for i in range(60)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
