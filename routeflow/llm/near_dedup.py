@@ -48,6 +48,10 @@ BANDS = 32
 ROWS = 4
 REGISTERS = BANDS * ROWS
 BLOCK = 256
+#: Words kept with their hashes by a task (about 200 bytes each); a word met again after that is hashed again.
+KNOWN_WORDS = 100_000
+#: Texts or pairs of multisets sent to a Python worker at once.
+BATCH_TEXTS = 1_000
 #: Registers of the second signature, one byte each (marks that agree by chance only raise the agreement).
 FINE = 1024
 #: Register agreement of a pair at the threshold varies by this; pairs within four of it below are verified.
@@ -117,7 +121,7 @@ def sketch(docs: DataFrame, text: str, key: str) -> DataFrame:
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from hashlib import blake2b
 
-        known = WordHashes()
+        known = WordHashes(limit=KNOWN_WORDS)
         band = np.arange(BANDS, dtype=np.uint64)
         for batch in batches:
             at, digests, weights, bands = [], [], [], []
@@ -156,7 +160,7 @@ def _bags(docs: DataFrame, nodes: DataFrame, text: str, key: str) -> DataFrame:
     rows = rows.join(wanted, F.col("key").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash"))).select("node", "text")
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        known = WordHashes(limit=KNOWN_WORDS)
         for batch in batches:
             bags = [bag_of(known.of(split_words(v.as_py()))) for v in batch.column("text")]
             counts = [c.astype("<u4").tobytes() if c.max() > 1 else b"" for _, c in bags]
@@ -314,7 +318,7 @@ def _missed_pairs(members: DataFrame, best: bool) -> DataFrame:
 
 def node_labels(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Sketches, nodes (digest, node) and (node, label) of the nodes that have a link."""
-    sketches = staged(sketch(docs, text, key), "sketches")
+    sketches = staged(sketch(docs, text, key), "sketches", batch_rows=BATCH_TEXTS)
     bags = sketches.groupBy("digest").agg(
         F.min(F.struct("text_hash", "key")).alias("rep"), F.first("weight").alias("weight"), F.first("bands").alias("bands")
     )
@@ -332,8 +336,8 @@ def node_labels(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tup
     spokes = staged(spokes, "spokes")
     touched = members.select("node").distinct()
     wanted = nodes.select("node", "key", "text_hash").join(touched, "node", "left_semi")
-    multisets = staged(_bags(docs, staged(wanted, "wanted"), text, key), "multisets")
-    links = staged(_verified(spokes, multisets), "verified")
+    multisets = staged(_bags(docs, staged(wanted, "wanted"), text, key), "multisets", batch_rows=BATCH_TEXTS)
+    links = staged(_verified(spokes, multisets), "verified", batch_rows=BATCH_TEXTS)
     labels = components(links)
     # Buckets whose members other than the centre lie in different components.
     others = members.where("node <> centre and n > 2").join(labels, "node", "left")
@@ -352,11 +356,11 @@ def node_labels(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tup
     still = still.join(marks, "node").join(staged(nodes.join(found_in, "node").select("node", slot.alias("slots")), "slots"), "node")
     # First the pair that agrees most of every two components: those it links need not be compared in full.
     top = staged(_missed_pairs(still, best=True), "missed-best")
-    labels = merge(labels, staged(_verified(top, multisets), "verified-best"))
+    labels = merge(labels, staged(_verified(top, multisets), "verified-best", batch_rows=BATCH_TEXTS))
     merged = labels.select(F.col("node").alias("of"), F.col("label").alias("now"))
     moved = still.join(merged, still["node"] == merged["of"], "left").withColumn("label", F.coalesce("now", "label")).drop("of", "now")
     missed = staged(_missed_pairs(moved, best=False), "missed")
-    found = staged(_verified(missed, multisets), "verified-more")
+    found = staged(_verified(missed, multisets), "verified-more", batch_rows=BATCH_TEXTS)
     return sketches, nodes.select("digest", "node"), merge(labels, found)
 
 

@@ -43,8 +43,10 @@ LARGE = 4
 GROUPS = 96
 CLOSING_ID = 1
 BLOCK_ROWS = 20_000
-#: Words kept per Python worker with their ids (about 150 bytes each).
-CACHE_WORDS = 600_000
+#: Words kept per Python worker with their ids (about 150 bytes each), in two generations.
+CACHE_WORDS = 300_000
+#: Documents sent to a Python worker at once: texts are long, and a batch of them is held on both sides.
+BATCH_DOCS = 1_000
 
 PIECE_FIELDS = "piece int, start long, length long, ids_crc32 long"
 
@@ -76,6 +78,7 @@ class WordIds:
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         # The byte alphabet of byte-level BPE: printable bytes stand for themselves, the others follow from 256 on.
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in printable]
@@ -104,14 +107,16 @@ class WordIds:
             return b"".join(map(known.__getitem__, parts))
         except KeyError:
             pass
-        if len(known) > CACHE_WORDS:
-            for word in list(known)[: CACHE_WORDS // 2]:
-                del known[word]
-        out = []
+        if len(known) > CACHE_WORDS // 2:  # words met since then move to the new generation, the others go with the next change
+            self.older, self.known = known, {}
+            known = self.known
+        older, out = self.older, []
         for word in parts:
             ids = known.get(word)
             if ids is None:
-                ids = np.array(self._ids(word), dtype="<u4").tobytes()
+                ids = older.get(word)
+                if ids is None:
+                    ids = np.array(self._ids(word), dtype="<u4").tobytes()
                 if len(word) < 64:
                     known[word] = ids
             out.append(ids)
@@ -311,7 +316,7 @@ def _place(rows: DataFrame, place, names: list[str]) -> DataFrame:
 def pack_pieces(cut: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS, large: int = LARGE) -> DataFrame:
     """Rows (key, piece, start, length, ids_crc32) with sequence_id and offset."""
     order = [F.col(c) for c in ("key", "piece", "ids_crc32", "start")]
-    cut = staged(cut, "pieces")
+    cut = staged(cut, "pieces", batch_rows=BATCH_DOCS)
     counts = _histogram(cut, "length")
     rows = staged(_ranked_by(cut, "length", order, "rank"), "ranked-pieces")
 

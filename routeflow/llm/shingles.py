@@ -29,9 +29,10 @@ class WordHashes(dict):
 
     limit = 500_000
 
-    def __init__(self, seed: int = 0) -> None:
+    def __init__(self, seed: int = 0, limit: int | None = None) -> None:
         super().__init__()
         self.seed = seed
+        self.limit = limit or self.limit
 
     def __missing__(self, word: str) -> int:
         if len(self) >= self.limit:
