@@ -23,9 +23,11 @@ from __future__ import annotations
 
 import bisect
 import re
+import struct
 import sys
 from collections import defaultdict
 from collections.abc import Iterator
+from unicodedata import category, is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +45,8 @@ LARGE = 4
 GROUPS = 96
 CLOSING_ID = 1
 BLOCK_ROWS = 20_000
-#: Words kept per Python worker with their ids (about 150 bytes each), in two generations.
-CACHE_WORDS = 300_000
+#: Words and units kept per Python worker with their ids (about 100 bytes each), half of either, each in two generations; forgotten after each task.
+CACHE_WORDS = 500_000
 #: Documents sent to a Python worker at once: texts are long, and a batch of them is held on both sides.
 BATCH_DOCS = 1_000
 
@@ -59,17 +61,44 @@ def default_tokenizer() -> str:
 
 # --- tokenizing -------------------------------------------------------------------------------------------------------
 
-#: White space to the tokenizer or to str.split, but not to both in the same way.
-_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+#: White space to the tokenizer or to Python, but not to both in the same way.
+_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: The same, a letter they lower-case in different ways, and how the tokenizer's added tokens begin, which are found before anything else.
+_ODD = re.compile(_ODD_SPACE.pattern + "|Σ|<\\|")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: The tokenizer's units of a lower-cased word.
+_UNIT = re.compile(r"[^\W\d_]+|\d|'(?:s|t|re|ve|m|ll|d)|(?:[^\w\s]+|_+)+")
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class _Recent(dict):
+    """key -> what ``make`` returns for it, kept for the keys met last in two generations of ``limit`` keys."""
+
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self.make, self.limit, self.older = make, limit, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) < 64:
+            if len(self) >= self.limit:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+        return value
 
 
 class WordIds:
-    """Ids of white-space separated words as little-endian uint32 bytes, kept in a bounded cache.
+    """Ids of texts as little-endian uint32 bytes; those of the words and units met last are kept.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are those of its words. Words of
-    letters alone are one unit to it after lower-casing; they go straight to its BPE model, any other word through
-    the whole tokenizer.
+    The tokenizer lower-cases a text, drops white space, cuts words into units (runs of letters, single digits, runs of others) and gives
+    each unit to its BPE model, so a text's ids are those of its words, and a word's those of its units. A word that Python might
+    lower-case or cut in another way goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -77,54 +106,50 @@ class WordIds:
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known = _Recent(self._word, CACHE_WORDS // 4)
+        self.units = _Recent(self._unit, CACHE_WORDS // 4)
         # The byte alphabet of byte-level BPE: printable bytes stand for themselves, the others follow from 256 on.
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in printable]
         self.alphabet = {b: b for b in printable} | {b: 256 + k for k, b in enumerate(others)}
 
-    def _letters(self, word: str) -> list[int] | None:
-        from unicodedata import is_normalized
-
-        low = word.lower()
-        if not low.isalpha() or "Σ" in word or not (word.isascii() or is_normalized("NFC", word)):
-            return None
-        unit = low if low.isascii() else low.encode().decode("latin-1").translate(self.alphabet)
-        return [x.id for x in self.model.tokenize(unit)]
-
-    def _ids(self, word: str) -> list[int]:
-        if (ids := self._letters(word)) is not None:
-            return ids
-        if len(word) > 1 and word[-1] in ".," and (ids := self._letters(word[:-1])) is not None:
-            return ids + self.whole.encode(word[-1], add_special_tokens=False).ids
-        return self.whole.encode(word, add_special_tokens=False).ids
+    @property
+    def older(self) -> dict[str, bytes]:
+        return self.known.older
+
+    def _unit(self, unit: str) -> bytes:
+        """KeyError: the tokenizer might cut this in another way."""
+        if not unit.isascii():
+            if not unit.isalpha() and any(c.isalnum() or category(c) == "Cn" for c in unit):
+                raise KeyError(unit)
+            unit = unit.encode().decode("latin-1").translate(self.alphabet)
+        elif not unit.isprintable():
+            unit = unit.translate(self.alphabet)
+        return _packed([x.id for x in self.model.tokenize(unit)])
+
+    def _word(self, word: str) -> bytes:
+        if not _ODD.search(word) and (word.isascii() or is_normalized("NFC", word)):
+            low = word.lower()
+            if low == word:
+                low = word  # both caches hold the same string
+            try:
+                return self.units[low] if low.isalpha() else b"".join(map(self.units.__getitem__, _UNIT.findall(low)))
+            except KeyError:
+                pass
+        return _packed(self.whole.encode(word, add_special_tokens=False).ids)
+
+    def forget(self) -> None:
+        for kept in (self.known, self.units):
+            kept.clear()
+            kept.older = {}
 
     def of(self, text: str) -> bytes:
         parts = text.split() if not _ODD_SPACE.search(text) else _WORD.findall(text)
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, parts))
-        except KeyError:
-            pass
-        if len(known) > CACHE_WORDS // 2:  # words met since then move to the new generation, the others go with the next change
-            self.older, self.known = known, {}
-            known = self.known
-        older, out = self.older, []
-        for word in parts:
-            ids = known.get(word)
-            if ids is None:
-                ids = older.get(word)
-                if ids is None:
-                    ids = np.array(self._ids(word), dtype="<u4").tobytes()
-                if len(word) < 64:
-                    known[word] = ids
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(self.known.__getitem__, parts))
 
 
 def _word_ids(path: str) -> WordIds:
-    """One ``WordIds`` per worker process and file: it lives as long as the worker, over all its tasks."""
+    """One ``WordIds`` per worker process and file, as reading the file takes time. A worker outlives its job: it forgets the words after each task."""
     import tokenizers
 
     kept = tokenizers.__dict__.setdefault("_word_ids_by_path", {})
@@ -144,21 +169,24 @@ def pieces(docs: DataFrame, text: str = "text", key: str = "doc_id", tokenizer:
         ids_of = _word_ids(path)
         closing = np.array([CLOSING_ID], dtype="<u4").tobytes()
         step = 4 * capacity
-        for batch in batches:
-            at, piece, start, length, crc = [], [], [], [], []
-            for row, value in enumerate(batch.column("text")):
-                ids = ids_of.of(value.as_py()) + closing
-                for k, begin in enumerate(range(0, len(ids), step)):
-                    part = ids[begin : begin + step]
-                    at.append(row)
-                    piece.append(k)
-                    start.append(begin // 4)
-                    length.append(len(part) // 4)
-                    crc.append(crc32(part))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key").take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))],
-                names=["key", "piece", "start", "length", "ids_crc32"],
-            )
+        try:
+            for batch in batches:
+                at, piece, start, length, crc = [], [], [], [], []
+                for row, value in enumerate(batch.column("text")):
+                    ids = ids_of.of(value.as_py()) + closing
+                    for k, begin in enumerate(range(0, len(ids), step)):
+                        part = ids[begin : begin + step]
+                        at.append(row)
+                        piece.append(k)
+                        start.append(begin // 4)
+                        length.append(len(part) // 4)
+                        crc.append(crc32(part))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("key").take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))],
+                    names=["key", "piece", "start", "length", "ids_crc32"],
+                )
+        finally:
+            ids_of.forget()
 
     kind = rows.schema["key"].dataType.simpleString()
     return rows.mapInArrow(cut, f"key {kind}, {PIECE_FIELDS}")

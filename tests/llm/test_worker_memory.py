@@ -35,3 +35,38 @@ def test_kept_hashes_are_bounded():
     known, all_words = WordHashes(limit=5), [f"w{k}" for k in range(50)]
     assert known.of(all_words).tolist() == WordHashes().of(all_words).tolist()
     assert len(known) <= 5
+
+
+def test_words_are_forgotten_after_a_task(spark):
+    docs = spark.createDataFrame([(k, f"some words of text {k}x") for k in range(50)], "doc_id long, text string").coalesce(1)
+    assert packing.pieces(docs).count() == 50
+
+    def sizes(batches):
+        import pyarrow as pa
+        import tokenizers
+
+        kept = tokenizers.__dict__.get("_word_ids_by_path", {}).values()
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(len(w.known) + len(w.older) for w in kept)] * batch.num_rows, pa.int64())], names=["n"])
+
+    assert {r["n"] for r in spark.range(0, 64, 1, 8).mapInArrow(sizes, "n long").collect()} == {0}
+
+
+def test_words_are_cut_into_the_units_of_the_tokenizer():
+    ids = packing.WordIds(packing.default_tokenizer())
+    whole, calls = ids.whole, []
+
+    class Counted:
+        def encode(self, *args, **names):
+            calls.append(args)
+            return whole.encode(*args, **names)
+
+    def same(text):
+        want = whole.encode(text, add_special_tokens=False).ids
+        return ids.of(text) == b"".join(i.to_bytes(4, "little") for i in want)
+
+    ids.whole = Counted()
+    plain = ["Tiea. with, (a|b) x_y __ 'Tis don't we've O'CLOCK's ''s .'s", "l'été&&& mailto:hab.03@mail8.example.com 2026-12-03", "ciónestarr ñ's Ñ\"' …été… 漢字。\x7f \x1b[0m", ""]
+    assert all(same(t) for t in plain) and not calls  # each unit went straight to the model
+    odd = ["<|startoftext|> a<|endoftext|>b", "ΟΔΟΣ x", "été ½ Ⅳ² ٣", "a\xa0b \x85 c\x1cd", "\u0378x y\u0378", "İx"]
+    assert all(same(t) for t in odd)
