@@ -22,8 +22,8 @@ ignored whatever their names.
 from __future__ import annotations
 
 import bisect
+import os
 import re
-import struct
 import sys
 from collections import defaultdict
 from collections.abc import Iterator
@@ -31,6 +31,7 @@ from unicodedata import category, is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,10 +46,14 @@ LARGE = 4
 GROUPS = 96
 CLOSING_ID = 1
 BLOCK_ROWS = 20_000
-#: Words and units kept per Python worker with their ids (about 100 bytes each), half of either, each in two generations; forgotten after each task.
+#: Units and odd words kept per Python worker with their ids, half of either at most, each in two generations; forgotten after each task.
 CACHE_WORDS = 500_000
 #: Documents sent to a Python worker at once: texts are long, and a batch of them is held on both sides.
 BATCH_DOCS = 1_000
+#: Units given to the tokenizer's model at once.
+BATCH_UNITS = 4_000
+#: Bytes of text that are cut into words at once, or one text that is longer.
+CUT_BYTES = 1 << 23
 
 PIECE_FIELDS = "piece int, start long, length long, ids_crc32 long"
 
@@ -63,95 +68,155 @@ def default_tokenizer() -> str:
 
 #: White space to the tokenizer or to Python, but not to both in the same way.
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-#: The same, a letter they lower-case in different ways, and how the tokenizer's added tokens begin, which are found before anything else.
-_ODD = re.compile(_ODD_SPACE.pattern + "|Σ|<\\|")
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: The tokenizer's units of a lower-cased word.
-_UNIT = re.compile(r"[^\W\d_]+|\d|'(?:s|t|re|ve|m|ll|d)|(?:[^\w\s]+|_+)+")
+#: A letter they lower-case in different ways, and how the tokenizer's added tokens begin, which are found before anything else.
+_ODD = ("Σ", "<|")
+#: The tokenizer's units of lower-cased words that each end with a line feed, which no word contains.
+_UNIT = re.compile(r"[^\W\d_]+|\n|\d|'(?:s|t|re|ve|m|ll|d)|(?:[^\w\s]+|_+)+")
 
 
-def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+def _is_odd(c: str) -> bool:
+    """Whether Python might cut a word with this character in another way than the tokenizer."""
+    if c.isascii():
+        return bool(_ODD_SPACE.match(c))
+    return not c.isalpha() and (c.isalnum() or category(c) == "Cn" or bool(_ODD_SPACE.match(c)))
 
 
 class _Recent(dict):
-    """key -> what ``make`` returns for it, kept for the keys met last in two generations of ``limit`` keys."""
+    """key -> what ``make`` returns for it (a list for a list of keys), kept for the keys met last in two generations of at most ``limit`` keys."""
 
     def __init__(self, make, limit: int):
         super().__init__()
         self.make, self.limit, self.older = make, limit, {}
 
-    def __missing__(self, key: str) -> bytes:
-        value = self.older.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(key) < 64:
-            if len(self) >= self.limit:
-                self.older = dict(self)
-                self.clear()
-            self[key] = value
-        return value
+    def of(self, keys: list[str]) -> list[bytes]:
+        """``keys`` do not repeat."""
+        out = []
+        for k in range(0, len(keys), self.limit):
+            out += self._some(keys[k : k + self.limit])
+        return out
+
+    def _some(self, keys: list[str]) -> list[bytes]:
+        out = list(map(self.get, keys))
+        missing = [k for k, x in zip(keys, out) if x is None]
+        if not missing:
+            return out
+        values = list(map(self.older.get, missing))
+        made = iter(self.make([k for k, x in zip(missing, values) if x is None]))
+        values = [next(made) if x is None else x for x in values]
+        if len(self) + len(missing) > self.limit:
+            self.older = dict(self)
+            self.clear()
+        self.update((k, x) for k, x in zip(missing, values) if len(k) < 64)
+        found = iter(values)
+        return [next(found) if x is None else x for x in out]
+
+
+def _starts(lengths: pa.Array) -> np.ndarray:
+    """Where parts of these lengths begin, one after the other, and the end of the last."""
+    return np.concatenate([[0], np.cumsum(lengths.to_numpy(zero_copy_only=False), dtype=np.int64)])
 
 
 class WordIds:
-    """Ids of texts as little-endian uint32 bytes; those of the words and units met last are kept.
+    """Ids of texts as little-endian uint32 bytes; those of the units met last are kept.
 
     The tokenizer lower-cases a text, drops white space, cuts words into units (runs of letters, single digits, runs of others) and gives
-    each unit to its BPE model, so a text's ids are those of its words, and a word's those of its units. A word that Python might
-    lower-case or cut in another way goes through the whole tokenizer.
+    each unit to its BPE model, so a text's ids are those of its words, and a word's those of its units. Texts are taken many at once:
+    Arrow finds their different words, one search cuts these into units, and each different unit is looked up or given to the model. A word
+    that Python might lower-case or cut in another way goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.whole = Tokenizer.from_file(path)
-        self.model = self.whole.model
-        self.known = _Recent(self._word, CACHE_WORDS // 4)
-        self.units = _Recent(self._unit, CACHE_WORDS // 4)
-        # The byte alphabet of byte-level BPE: printable bytes stand for themselves, the others follow from 256 on.
+        self.units_only = Tokenizer(self.whole.model)
+        self.units_only.pre_tokenizer = WhitespaceSplit()
+        self.known = _Recent(self._odd_words, CACHE_WORDS // 4)
+        self.units = _Recent(self._units, CACHE_WORDS // 4)
+        # The byte alphabet of byte-level BPE: printable bytes stand for themselves, the others follow from 256 on; the space between units stays.
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in printable]
-        self.alphabet = {b: b for b in printable} | {b: 256 + k for k, b in enumerate(others)}
+        self.alphabet = np.arange(256, dtype="<u4")
+        self.alphabet[others] = 256 + np.arange(len(others))
+        self.alphabet[32] = 32
+        # A unit's last id is one of those whose names have the model's suffix.
+        vocab, suffix = self.whole.get_vocab(with_added_tokens=False), self.whole.model.end_of_word_suffix
+        self.is_last = np.zeros(max(vocab.values()) + 1, bool)
+        self.is_last[[i for x, i in vocab.items() if suffix and x.endswith(suffix)]] = True
 
     @property
     def older(self) -> dict[str, bytes]:
         return self.known.older
 
-    def _unit(self, unit: str) -> bytes:
-        """KeyError: the tokenizer might cut this in another way."""
-        if not unit.isascii():
-            if not unit.isalpha() and any(c.isalnum() or category(c) == "Cn" for c in unit):
-                raise KeyError(unit)
-            unit = unit.encode().decode("latin-1").translate(self.alphabet)
-        elif not unit.isprintable():
-            unit = unit.translate(self.alphabet)
-        return _packed([x.id for x in self.model.tokenize(unit)])
-
-    def _word(self, word: str) -> bytes:
-        if not _ODD.search(word) and (word.isascii() or is_normalized("NFC", word)):
-            low = word.lower()
-            if low == word:
-                low = word  # both caches hold the same string
-            try:
-                return self.units[low] if low.isalpha() else b"".join(map(self.units.__getitem__, _UNIT.findall(low)))
-            except KeyError:
-                pass
-        return _packed(self.whole.encode(word, add_special_tokens=False).ids)
+    def _units(self, units: list[str]) -> list[bytes]:
+        """Ids of units, none of which is empty or has a space."""
+        if len(units) > BATCH_UNITS:
+            return [x for k in range(0, len(units), BATCH_UNITS) for x in self._units(units[k : k + BATCH_UNITS])]
+        text = self.alphabet[np.frombuffer(" ".join(units).encode(), np.uint8)].tobytes().decode("utf-32-le")
+        ids = np.array(self.units_only.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.is_last[ids]) + 1
+        if len(ends) != len(units) or (units and ends[-1] != len(ids)):
+            return [np.array([x.id for x in self.whole.model.tokenize(unit)], "<u4").tobytes() for unit in text.split(" ")]
+        at, data = [0, *(4 * ends).tolist()], ids.tobytes()
+        return [data[a:b] for a, b in zip(at, at[1:])]
+
+    def _odd_words(self, words: list[str]) -> list[bytes]:
+        return [np.array(self.whole.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in words]
 
     def forget(self) -> None:
         for kept in (self.known, self.units):
             kept.clear()
             kept.older = {}
+        pa.default_memory_pool().release_unused()
+
+    def _of_words(self, words: pa.Array) -> pa.Array:
+        """Ids of words that do not repeat."""
+        words = words.to_numpy(zero_copy_only=False).tolist()
+        joined = "\n".join([*words, ""])
+        low, odd = joined.lower(), []
+        odd_parts = [c for c in set(low) if _is_odd(c)] + [x for x in _ODD if x in joined]
+        if odd_parts or not (joined.isascii() or is_normalized("NFC", joined)):
+            find = re.compile("|".join(map(re.escape, odd_parts)) or "(?!)").search
+            odd = [k for k, w in enumerate(words) if find(f"{w}\n{w.lower()}") or not (w.isascii() or is_normalized("NFC", w))]
+            plain = [*words, ""]
+            for k in odd:
+                plain[k] = ""
+            low = "\n".join(plain).lower()
+        if not words:
+            return pa.array([], pa.large_binary())
+        cut = pa.array(_UNIT.findall(low), pa.string()).dictionary_encode()
+        units = cut.dictionary.to_numpy(zero_copy_only=False).tolist()
+        line_feed = units.index("\n")
+        ids = self.units.of(units[:line_feed] + units[line_feed + 1 :])
+        ids.insert(line_feed, b"")
+        ids = pa.array(ids, pa.large_binary()).take(cut.indices)
+        starts = np.concatenate([[0], _starts(pc.binary_length(ids))[1:][cut.indices.to_numpy() == line_feed]])
+        out = pa.Array.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(starts), ids.buffers()[2] or pa.py_buffer(b"")])
+        if odd:
+            out = out.to_numpy(zero_copy_only=False).tolist()
+            for k, x in zip(odd, self.known.of([words[k] for k in odd])):
+                out[k] = x
+            out = pa.array(out, pa.large_binary())
+        return out
+
+    def of_texts(self, texts: pa.Array) -> tuple[memoryview, list[int]]:
+        """The ids of all texts one after the other, and where those of each begin (in bytes) and the last ones end."""
+        parts = pc.ascii_split_whitespace(texts)
+        words = parts.flatten().dictionary_encode()
+        ids = self._of_words(words.dictionary).take(words.indices)
+        at = _starts(pc.binary_length(ids))[_starts(pc.list_value_length(parts))]
+        return memoryview(ids.buffers()[2] or b""), at.tolist()
 
     def of(self, text: str) -> bytes:
-        parts = text.split() if not _ODD_SPACE.search(text) else _WORD.findall(text)
-        return b"".join(map(self.known.__getitem__, parts))
+        return self.of_texts(pa.array([text], pa.string()))[0].tobytes()
 
 
 def _word_ids(path: str) -> WordIds:
     """One ``WordIds`` per worker process and file, as reading the file takes time. A worker outlives its job: it forgets the words after each task."""
     import tokenizers
 
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     kept = tokenizers.__dict__.setdefault("_word_ids_by_path", {})
     if path not in kept:
         kept[path] = WordIds(path)
@@ -168,19 +233,24 @@ def pieces(docs: DataFrame, text: str = "text", key: str = "doc_id", tokenizer:
 
         ids_of = _word_ids(path)
         closing = np.array([CLOSING_ID], dtype="<u4").tobytes()
-        step = 4 * capacity
         try:
             for batch in batches:
+                texts = batch.column("text")
+                group = _starts(pc.binary_length(texts))[1:] // CUT_BYTES
+                cuts = [*np.flatnonzero(np.diff(group, prepend=-1)).tolist(), len(texts)]
                 at, piece, start, length, crc = [], [], [], [], []
-                for row, value in enumerate(batch.column("text")):
-                    ids = ids_of.of(value.as_py()) + closing
-                    for k, begin in enumerate(range(0, len(ids), step)):
-                        part = ids[begin : begin + step]
-                        at.append(row)
-                        piece.append(k)
-                        start.append(begin // 4)
-                        length.append(len(part) // 4)
-                        crc.append(crc32(part))
+                for first, last in zip(cuts, cuts[1:]):
+                    ids, ends = ids_of.of_texts(texts.slice(first, last - first))
+                    for row, (begin, end) in enumerate(zip(ends, ends[1:]), first):
+                        n = (end - begin) // 4 + 1  # with the closing id
+                        for k, before in enumerate(range(0, n, capacity)):
+                            here = min(capacity, n - before)
+                            sum_of_ids = crc32(ids[begin + 4 * before : min(begin + 4 * (before + here), end)])
+                            at.append(row)
+                            piece.append(k)
+                            start.append(before)
+                            length.append(here)
+                            crc.append(crc32(closing, sum_of_ids) if before + here == n else sum_of_ids)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("key").take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))],
                     names=["key", "piece", "start", "length", "ids_crc32"],

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+
 from routeflow.llm import packing
 from routeflow.llm.common import BATCH_ROWS, staged
 from routeflow.llm.shingles import WordHashes
@@ -70,3 +72,32 @@ def test_words_are_cut_into_the_units_of_the_tokenizer():
     assert all(same(t) for t in plain) and not calls  # each unit went straight to the model
     odd = ["<|startoftext|> a<|endoftext|>b", "ΟΔΟΣ x", "été ½ Ⅳ² ٣", "a\xa0b \x85 c\x1cd", "\u0378x y\u0378", "İx"]
     assert all(same(t) for t in odd)
+
+
+def test_texts_are_tokenized_many_at_once(spark, monkeypatch):
+    """Each different unit goes to the model once, in few calls; neither the bounds on kept units nor on calls and texts change an id."""
+    monkeypatch.setattr(packing, "CACHE_WORDS", 60)
+    monkeypatch.setattr(packing, "BATCH_UNITS", 7)
+    ids = packing.WordIds(packing.default_tokenizer())
+    whole, calls = ids.whole, []
+    model = ids.units_only
+
+    class Counted:
+        def encode_batch_fast(self, texts, **names):
+            calls.append(len(texts[0].split(" ")))
+            return model.encode_batch_fast(texts, **names)
+
+    ids.units_only = Counted()
+    texts = ["", " \n", "Plain words, plain WORDS!", "été d'été \x7f", *(" ".join(f"unit{'abcdefgh'[j]}{chr(97 + k)}s" for j in range(8)) for k in range(20))]
+    odd = ["a\xa0b plain \u0378x", "e\u0301 ½ <|endoftext|> ΟΔΟΣ", "x" * 100 + " \x1c " + "é" * 90]
+    for chosen in (texts, [*texts, *odd], odd, texts[:2]):
+        calls.clear()
+        data, at = ids.of_texts(pa.array(chosen, pa.string()))
+        assert [data[a:b].tobytes() for a, b in zip(at, at[1:])] == [b"".join(i.to_bytes(4, "little") for i in whole.encode(t, add_special_tokens=False).ids) for t in chosen]
+        assert max(calls, default=0) <= 7 and sum(calls) <= 200
+        assert max(map(len, (ids.units, ids.units.older, ids.known, ids.known.older))) <= 15
+
+    docs = spark.createDataFrame(list(enumerate([*texts, *odd, "long " * 3000])), "doc_id long, text string").coalesce(1)
+    want = sorted(map(tuple, packing.pieces(docs, capacity=50).collect()))
+    monkeypatch.setattr(packing, "CUT_BYTES", 40)
+    assert sorted(map(tuple, packing.pieces(docs, capacity=50).collect())) == want and len(want) > len(texts) + 60
