@@ -5,10 +5,11 @@ Providers come in two kinds:
 * **Column providers** build the output as a Spark expression (deterministic stand-ins, no Python
   in the hot path): ``RuleClassifier``, ``TemplateSummarizer``.
 * **Batch providers** take a pandas Series of prompts and return a Series of outputs (e.g. a model
-  client). They run as *de-duplicated inference joined back*: distinct prompts -> ``mapInPandas`` in
-  Arrow batches -> left join on a digest of the prompt, so prompt texts are shuffled once, for the scoring. Each distinct
-  prompt is scored once, row count is kept, NULL prompts give NULL. Answers are stored when the join is built; few ones for many rows
-  are broadcast, so that no row moves.
+  client). Each distinct prompt is scored once, row count is kept, NULL prompts give NULL. Answers are stored when the result is built.
+  Where few prompts serve many rows they are *de-duplicated and joined back*: distinct prompts -> ``mapInPandas`` in Arrow batches -> left
+  join on a digest of the prompt, a broadcast of few answers, so that no row moves. Otherwise rows are *scored in place*: dealt by their
+  prompt and sorted, so that equal ones meet in one task, and stored with their answers. Rows move once, and neither prompts, digests nor
+  answers are shuffled. Prompts that many rows share are left out of that and joined back.
 
 With a **memo**, a layer table of prompt digests and answers, only prompts that no earlier run has an answer for are scored. A prompt
 whose scoring fails is kept there with its error, gives NULL, and is tried again by the next run.
@@ -29,7 +30,7 @@ from routeflow.functions import columns as C
 from routeflow.schemas import ENRICHED_COLUMNS
 from routeflow.session import shared_root, staged
 from routeflow.sources import ledger
-from routeflow.sources.tables import new_load_id, read_layer, read_slices, stage_slice
+from routeflow.sources.tables import COMPRESSION, new_load_id, read_layer, read_slices, stage_slice
 
 ENRICH_BASE_COLUMNS = tuple(c for c in ENRICHED_COLUMNS if c not in ("route_classification", "route_summary", "enriched_at"))
 NUMERIC_PLACEHOLDERS = ("distance_km", "seats")
@@ -256,31 +257,111 @@ BROADCAST_ANSWERS, BROADCAST_BYTES = 400_000, 32_000_000
 ROWS_AN_ANSWER = 4
 
 
-def _few(scored: DataFrame, key: str, output: str, asked: DataFrame) -> bool:
+def _few(scored: DataFrame, key: str, output: str, asked: Callable[[], int]) -> bool:
     """Whether the stored answers are small, and few for the rows that ask, by their counted size."""
     size = F.sum(F.octet_length(key) + F.coalesce(F.octet_length(output), F.lit(0)))
     rows, held = scored.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).head()
-    return 0 < rows <= BROADCAST_ANSWERS and held <= BROADCAST_BYTES and asked.count() >= ROWS_AN_ANSWER * rows
+    return 0 < rows <= BROADCAST_ANSWERS and held <= BROADCAST_BYTES and asked() >= ROWS_AN_ANSWER * rows
 
 
-def apply_batch_provider(df: DataFrame, prompt_col: Column, provider: BatchProvider, output: str) -> DataFrame:
-    """Score each distinct prompt once in Arrow batches and join the result back (row count kept)."""
+def _read(answer: str, provider: BatchProvider) -> Column:
+    return F.get_json_object(F.col(answer), f"$.{provider.field}") if provider.field else F.col(answer)
+
+
+def _joined_back(df: DataFrame, prompt_col: Column, provider: BatchProvider, output: str, asked: Callable[[], int]) -> DataFrame:
+    """Rows with a prompt: distinct prompts are scored, and their stored answers joined back."""
     key = "_digest"
-    with_key = df.withColumn(key, F.when(prompt_col.isNotNull(), provider.digest(prompt_col)))
-    prompts = df.select(prompt_col.alias("prompt")).where(F.col("prompt").isNotNull()).select(provider.digest(F.col("prompt")).alias("digest"), "prompt")
+    prompts = df.select(prompt_col.alias("prompt")).select(provider.digest(F.col("prompt")).alias("digest"), "prompt")
     distinct = prompts.groupBy("digest").agg(F.first("prompt").alias("prompt"))
     if provider.memo is None:
         scored = staged(_scored(distinct, provider), "answers")
     else:
         score_unseen(distinct, provider)
         scored = memo_answers(df.sparkSession, provider.memo)
-    answer = F.get_json_object(F.col("answer"), f"$.{provider.field}") if provider.field else F.col("answer")
-    scored = scored.select(F.col("digest").alias(key), answer.alias(output))
+    scored = scored.select(F.col("digest").alias(key), _read("answer", provider).alias(output))
     # As many as the rows may be: not to be broadcast on the planner's guess of 20 bytes for any text, but on what was counted.
-    scored = scored.hint("broadcast" if _few(scored, key, output, df.where(prompt_col.isNotNull())) else "merge")
-    # Rows without a prompt stay out of the join, where they would all meet in one partition.
-    unasked = with_key.where(F.col(key).isNull()).withColumn(output, F.lit(None).cast(T.StringType()))
-    return with_key.where(F.col(key).isNotNull()).join(scored, key, "left").drop(key).unionByName(unasked.drop(key))
+    scored = scored.hint("broadcast" if _few(scored, key, output, asked) else "merge")
+    return df.withColumn(key, provider.digest(prompt_col)).join(scored, key, "left").drop(key)
+
+
+#: Rows a task scores in place, where the provider states no number of tasks: what it sorts stays in memory.
+ROWS_A_TASK = 500_000
+#: A prompt of at least this many rows, and one in so many of all, is joined back instead; most prompts that are.
+HOT_ROWS, HOT_ONE_IN, HOT_PROMPTS = 1_000, 1_000, 512
+
+
+def _in_place_scorer(provider: BatchProvider) -> Callable[[Iterator[pd.Series]], Iterator[pd.Series]]:
+    fn, size, extra = provider.fn, provider.batch_size, () if provider.model is None else (provider.model,)
+
+    def answers(prompts: pd.Series) -> list:
+        return pd.Series(fn(prompts, *extra)).astype(object).reset_index(drop=True).reindex(range(len(prompts))).tolist()
+
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        last, found = None, [None]  # the prompt that the batch before ended with, and its answer
+        for prompts in batches:
+            prompts = prompts.reset_index(drop=True)
+            texts = prompts.astype(object)  # whole numbers would be shifted as floating ones
+            new = texts.ne(texts.shift())
+            new.iloc[:1] = [p != last for p in texts.iloc[:1]]
+            asked = prompts[new]
+            for start in range(0, len(asked), size):
+                found += answers(asked.iloc[start : start + size].reset_index(drop=True))
+            out = pd.Series(found, dtype=object).iloc[new.cumsum().to_numpy()].reset_index(drop=True)
+            yield out
+            for last, answer in zip(texts.iloc[-1:], out.iloc[-1:]):
+                found = [answer]
+
+    return score
+
+
+def _scored_in_place(df: DataFrame, prompt_col: Column, provider: BatchProvider, output: str, asked: int) -> DataFrame:
+    """Rows with a prompt: dealt by it, so that equal ones are neighbours in one task, which asks for their answer once; stored."""
+    tasks = provider.partitions or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-asked // ROWS_A_TASK))
+    ask = F.pandas_udf(_in_place_scorer(provider), T.StringType()).asNondeterministic()  # neither planned twice, nor without the sort
+    rows = df.repartition(tasks, prompt_col).sortWithinPartitions(F.xxhash64(prompt_col), prompt_col)
+    rows = rows.withColumn(output, ask(prompt_col))
+    return staged(rows.withColumn(output, _read(output, provider)), "answered", COMPRESSION)
+
+
+_STORABLE = (T.StringType, T.BinaryType, T.BooleanType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _storable(kind: T.DataType) -> bool:
+    """Whether a Parquet file holds such values."""
+    if isinstance(kind, T.StructType):
+        names = {f.name.lower() for f in kind.fields}
+        return 0 < len(names) == len(kind.fields) and all(_storable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _storable(kind.elementType)
+    return _storable(kind.keyType) and _storable(kind.valueType) if isinstance(kind, T.MapType) else isinstance(kind, _STORABLE)
+
+
+def _asking(df: DataFrame, prompt_col: Column) -> tuple[int, int, list[int]]:
+    """Rows, about how many different prompts they have, and hashes of the prompts that many of them share (frequent-items summary)."""
+    top = F.expr(f"approx_top_k(xxhash64(prompt), {HOT_PROMPTS}, {8 * HOT_PROMPTS})")
+    rows, prompts, top = df.select(prompt_col.alias("prompt")).agg(F.count(F.lit(1)), F.approx_count_distinct("prompt"), top).head()
+    return rows, prompts, [x["item"] for x in top or [] if x["count"] >= max(HOT_ROWS, rows / HOT_ONE_IN)]
+
+
+def apply_batch_provider(df: DataFrame, prompt_col: Column, provider: BatchProvider, output: str, present: Column | None = None) -> DataFrame:
+    """Score each distinct prompt once in Arrow batches and give every row its answer (row count kept).
+
+    ``present`` is TRUE or FALSE as the prompt is not NULL, where that is known at less cost than the prompt.
+    """
+    present = prompt_col.isNotNull() if present is None else present
+    # Rows without a prompt stay out of the exchange, where they would all meet in one partition.
+    out = df.where(~present).withColumn(output, F.lit(None).cast(T.StringType()))
+    rows = df.where(present)
+    if provider.memo is not None or not _storable(df.schema):
+        return out.unionByName(_joined_back(rows, prompt_col, provider, output, rows.count))
+    asked, prompts, hot = _asking(rows, prompt_col)
+    if prompts <= BROADCAST_ANSWERS and asked >= ROWS_AN_ANSWER * prompts:
+        return out.unionByName(_joined_back(rows, prompt_col, provider, output, lambda: asked))
+    if hot:
+        shared = F.xxhash64(prompt_col).isin(hot)
+        common, rows = rows.where(shared), rows.where(~shared)
+        out = out.unionByName(_joined_back(common, prompt_col, provider, output, common.count))
+    return out.unionByName(_scored_in_place(rows, prompt_col, provider, output, asked))
 
 
 def classify(
@@ -300,7 +381,7 @@ def classify(
         ours = tuple(labels) == tuple(FV.ROUTE_LABELS)
         provider = RuleClassifier() if ours else KeywordClassifier(prompt_col, tuple(labels))
     if isinstance(provider, BatchProvider):
-        out = apply_batch_provider(df, prompt_col, provider, output)
+        out = apply_batch_provider(df, prompt_col, provider, output, present)
     else:
         out = df.withColumn(output, F.when(present, provider.column(df)))
     return out.withColumn(output, F.when(F.col(output).isin(*labels), F.col(output)))
@@ -317,7 +398,7 @@ def complete(
     prompt_col = summary_prompt() if prompt_col is None else prompt_col
     provider = provider or TemplateSummarizer()
     if isinstance(provider, BatchProvider):
-        return apply_batch_provider(df, prompt_col, provider, output)
+        return apply_batch_provider(df, prompt_col, provider, output, present)
     return df.withColumn(output, F.when(present, provider.column(df)))
 
 

@@ -186,3 +186,78 @@ def test_few_answers_for_many_rows_are_broadcast(spark):
     assert got == {i: None if i % 10 == 9 or i % 5 == 3 else f"ROW {i % 5}" for i in range(60)}
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def _noting(folder):
+    """A provider function that notes each prompt it is asked for, by task."""
+    import os
+
+    def upper(prompts):
+        from pyspark import TaskContext
+
+        with open(os.path.join(folder, f"{TaskContext.get().taskAttemptId()}"), "a") as f:
+            f.writelines(f"{p}\n" for p in prompts)
+        assert len(prompts) <= 3
+        return prompts.str.upper().where(prompts != "p7")
+
+    return upper
+
+
+def _noted(folder):
+    return [sorted(p.read_text().split()) for p in folder.iterdir()]
+
+
+def test_many_prompts_are_scored_in_place_once_each(spark, tmp_path):
+    """Rows move once to their prompt's task: no digest, no answer and no second shuffle; several rows of a prompt ask once."""
+    from pyspark.sql import functions as F
+
+    df = spark.range(90, numPartitions=6).select("id", F.when(F.col("id") % 9 != 0, F.concat(F.lit("p"), F.col("id") % 31)).alias("p"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # runs of equal prompts go on over several batches
+    try:
+        out = E.complete(df, F.col("p"), E.BatchProvider(_noting(str(tmp_path)), batch_size=3, partitions=3), output="o")
+        want = {i: None if i % 9 == 0 or i % 31 == 7 else f"P{i % 31}" for i in range(90)}
+        for _ in range(2):  # answers are stored: a second use asks nobody
+            got = [(r["id"], r["o"]) for r in out.collect()]
+            assert len(got) == 90 and dict(got) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(p for ps in _noted(tmp_path) for p in ps) == sorted({f"p{i % 31}" for i in range(90) if i % 9})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    assert out.columns == ["id", "p", "o"]
+
+
+def test_a_prompt_of_many_rows_does_not_meet_in_one_task(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    common = F.when(F.col("id") % 2 == 0, F.lit("common")).otherwise(F.concat(F.lit("p"), F.col("id")))
+    df = spark.range(6000, numPartitions=6).select("id", common.alias("p"))
+    assert E._asking(df, F.col("p"))[2] == [df.where("id = 0").select(F.xxhash64("p")).first()[0]]
+    out = E.complete(df, F.col("p"), E.BatchProvider(_noting(str(tmp_path)), batch_size=3, partitions=3), output="o")
+    assert out.count() == 6000 and out.where("o <=> nullif(upper(p), 'P7')").count() == 6000
+    noted = _noted(tmp_path)
+    assert sorted(p for ps in noted for p in ps) == sorted(["common", *(f"p{i}" for i in range(1, 6000, 2))])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_rows_that_no_file_holds_are_joined_back(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(20).select(F.concat(F.lit("Row "), F.col("id")).alias("p"), F.make_interval(F.lit(1)).alias("span"), F.lit(None).alias("none"))
+    out = E.complete(df, F.col("p"), E.BatchProvider(E.fact_lister(), model="numbers"), output="o")
+    assert out.where("p = 'Row ' || o AND span IS NOT NULL").count() == 20
+
+
+def test_in_place_answers_are_read_like_joined_ones(spark):
+    """JSON fields, answers left out at the end, whole numbers as prompts."""
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    df = spark.range(2**60, 2**60 + 12).select(F.col("id").alias("p"))
+
+    def ask(fn, **options):
+        return {r["p"] - 2**60: r["o"] for r in E.complete(df, F.col("p"), E.BatchProvider(fn, partitions=1, **options), output="o").collect()}
+
+    assert ask(lambda s: s.map(lambda p: f'{{"a": "{p - 2**60}"}}'), field="a") == {i: str(i) for i in range(12)}
+    assert sorted(ask(lambda s: pd.Series(["x"] * (len(s) - 1)), batch_size=6).values(), key=str) == [None] * 2 + ["x"] * 10
