@@ -132,7 +132,8 @@ class BatchProvider:
     ``batch_size`` prompts at a time (bounded request size for remote models), and with ``model`` as second argument if that is given.
     A function that workers cannot import must be defined so that it is sent by value (nested, or in a script).
 
-    ``partitions`` is the number of scoring tasks (default: the session's shuffle partitions, not coalesced).
+    ``partitions`` is the number of scoring tasks (default: the session's shuffle partitions, not coalesced; where rows are scored in
+    place, more if a task would have over ``ROWS_A_TASK`` rows).
     ``field`` names the member to read when the provider answers with a JSON object per prompt
     (e.g. ``{"label": "DOMESTIC_SHORT"}`` read at ``label``) instead of plain text.
 
